@@ -63,16 +63,17 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
-def numbered(df: DataFrame, key: str, order: list[str], number: str, weight: str | None = None, parts: int = 64) -> DataFrame:
+def numbered(df: DataFrame, key: str, order: list[str], number: str, weight: str | None = None, parts: int | None = None) -> DataFrame:
     """Gapless positions from 0 within ``key``, or running starts of ``weight``, without one task per key.
 
-    Rows of a key are dealt over ``parts`` sub-groups by a hash of ``order``.
-    Each sub-group is numbered alone; the offsets of the sub-groups come from
+    Rows of a key are dealt over ``parts`` sub-groups by a hash of ``order``
+    (the number of shuffle partitions, 64 at least, unless given). Each sub-group is numbered alone; the offsets of the sub-groups come from
     one small table of at most (keys x parts) sums. A key that holds a third
     of all rows is spread over ``parts`` tasks. Ties in ``order`` are numbered
     in any order among themselves.
     """
     sub, add, base = fresh(df, "sub", "add", "base")
+    parts = parts or max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     amount = F.lit(1).cast("long") if weight is None else F.col(weight).cast("long")
     dealt = df.withColumn(sub, F.pmod(F.xxhash64(*order), F.lit(parts)).cast("int")).withColumn(add, amount)
     inside = Window.partitionBy(key, sub).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
