@@ -1,9 +1,10 @@
 """Cutting-stock patterns by column generation.
 
 Gilmore and Gomory, "A linear programming approach to the cutting-stock
-problem", 1961. The master program covers the counts of all lengths with as few
-full rows as can be; a knapsack by dynamic programming prices new patterns from
-its duals. Farley's bound tells when the value is within ``gap`` of the best.
+problem", 1961, in its packing form: with how many full rows of stock can the
+counts of all lengths be used up, each row by a pattern that fills it exactly?
+The master program is solved by the revised simplex method; its duals price new
+patterns by a knapsack dynamic program; rows already full of tokens bound it.
 """
 
 from __future__ import annotations
@@ -11,93 +12,106 @@ from __future__ import annotations
 import numpy as np
 
 
-def knapsack(lengths: np.ndarray, values: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """Best value for every room up to ``capacity`` and the item taken last (-1: none, one unit unused)."""
-    best = np.zeros(capacity + 1)
-    last = np.full(capacity + 1, -1, np.int64)
+def knapsack(lengths: np.ndarray, prices: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Least price of filling each room up to ``capacity`` exactly, and the item taken last (-1: it can't be filled)."""
     order = np.argsort(lengths, kind="stable")
-    lengths, values = lengths[order], values[order]
+    lengths, prices = lengths[order], prices[order]
+    best = np.full(capacity + 1, np.inf)
+    best[0] = 0
+    last = np.full(capacity + 1, -1, np.int64)
+    upto = np.searchsorted(lengths, np.arange(capacity + 1), "right")
     for room in range(1, capacity + 1):
-        n = np.searchsorted(lengths, room, "right")
-        best[room] = best[room - 1]
+        n = upto[room]
         if n:
-            got = best[room - lengths[:n]] + values[:n]
-            i = int(got.argmax())
-            if got[i] > best[room] + 1e-12:
-                best[room], last[room] = got[i], order[i]
+            cost = best[room - lengths[:n]] + prices[:n]
+            i = int(cost.argmin())
+            if cost[i] < np.inf:
+                best[room], last[room] = cost[i], order[i]
     return best, last
 
 
-def _pattern(lengths: np.ndarray, last: np.ndarray, room: int) -> np.ndarray:
-    out = np.zeros(len(lengths))
+def _items(lengths: np.ndarray, last: np.ndarray, room: int) -> list[int]:
+    out = []
     while room > 0:
-        i = last[room]
-        if i < 0:
-            room -= 1
-        else:
-            out[i] += 1
-            room -= lengths[i]
+        out.append(int(last[room]))
+        room -= int(lengths[out[-1]])
     return out
 
 
-def relaxed(lengths: np.ndarray, counts: np.ndarray, capacity: int, gap: float = 1e-3, pivots: int = 4000) -> tuple[np.ndarray, np.ndarray]:
-    """Patterns (rows: counts by length) and their fractional multiplicities in the master program.
+def relaxed(lengths: np.ndarray, counts: np.ndarray, capacity: int, gap: float = 0.01, pivots: int = 3000) -> list[tuple[float, dict[int, int]]]:
+    """(multiplicity, count by position in ``lengths``) of the patterns in the master program's solution.
 
-    ``pivots`` bounds the work; the solution covers all counts at every step.
+    It stops within ``gap`` of the bound that all tokens fill rows, when no
+    pattern gains, or after ``pivots`` steps; every step's solution is feasible.
     """
     m = len(lengths)
-    basis = np.diag((capacity // lengths).astype(float))  # columns; at first each length by itself
-    inverse = np.diag(1.0 / (capacity // lengths))
-    x = inverse @ counts
+    inverse, x, duals = np.eye(m), counts.astype(float), np.zeros(m)
+    column_of: list[dict[int, int] | None] = [None] * m  # None: unused length
     done = 0
+
+    def enter(items: list[int]) -> bool:
+        nonlocal x, duals, done, inverse
+        column: dict[int, int] = {}
+        for i in items:
+            column[i] = column.get(i, 0) + 1
+        at, n = np.array(list(column)), np.array(list(column.values()), float)
+        gain = 1 - duals[at] @ n
+        if gain <= 1e-7:
+            return False
+        way = inverse[:, at] @ n
+        up = way > 1e-9
+        if not up.any():
+            return False
+        ratio = np.full(m, np.inf)
+        ratio[up] = x[up] / way[up]
+        out = int(ratio.argmin())
+        row = inverse[out] / way[out]
+        x = np.maximum(x - ratio[out] * way, 0)
+        x[out] = ratio[out]
+        changed = np.flatnonzero(np.abs(way) > 1e-12)
+        inverse[changed] -= np.outer(way[changed], row)
+        inverse[out] = row
+        duals = duals + gain * row
+        column_of[out] = column
+        done += 1
+        return True
+
+    place = {int(v): i for i, v in enumerate(lengths)}
+    for v, i in place.items():  # start with pairs
+        if capacity - v in place and v <= capacity - v:
+            enter([i, place[capacity - v]])
+    bound = float(counts @ lengths) / capacity
     while done < pivots:
-        duals = np.maximum(inverse.sum(0), 0)
-        best, last = knapsack(lengths, duals, capacity)
-        if best[capacity] <= 1 + 1e-9 or x.sum() * (1 - gap) <= duals @ counts / best[capacity]:
+        if sum(x[i] for i in range(m) if column_of[i]) >= (1 - gap) * bound:
             break
-        # the best pattern that holds each length: many columns for one table
-        gains = duals + best[capacity - lengths]
-        moved = False
-        for i in np.argsort(-gains)[:64]:
-            if gains[i] <= 1 + 1e-9:
-                break
-            column = _pattern(lengths, last, capacity - lengths[i])
-            column[i] += 1
-            if inverse.sum(0) @ column <= 1 + 1e-9:
-                continue  # an earlier pivot has made it useless
-            way = inverse @ column
-            ratio = np.where(way > 1e-9, x / np.where(way > 1e-9, way, 1), np.inf)
-            out = int(ratio.argmin())
-            if not np.isfinite(ratio[out]):
-                continue
-            x = np.maximum(x - ratio[out] * way, 0)
-            x[out] = ratio[out]
-            row = inverse[out] / way[out]
-            inverse -= np.outer(way, row)
-            inverse[out] = row
-            basis[:, out] = column
-            done, moved = done + 1, True
-        if not moved:
+        best, last = knapsack(lengths, np.maximum(duals, 0), capacity)
+        cost = np.maximum(duals, 0) + best[capacity - lengths]  # of the cheapest pattern that holds each length
+        tried = [enter([int(i), *_items(lengths, last, int(capacity - lengths[i]))]) for i in np.argsort(cost, kind="stable")[:96] if cost[i] < 1 - 1e-7]
+        if not any(tried):
             break
-    return basis.T, x
+    return [(float(x[i]), c) for i, c in enumerate(column_of) if c and x[i] > 1e-9]
 
 
 def rounded(counts: dict[int, int], capacity: int) -> list[tuple[int, list[int]]]:
-    """Whole multiplicities and lengths of patterns that fill ``capacity`` exactly; they never take more than ``counts``."""
+    """Whole multiplicities and lengths of patterns that fill ``capacity`` exactly and never take more than ``counts``.
+
+    Multiplicities are rounded down; then patterns with the largest fractions
+    are used once more while their lengths last.
+    """
     lengths = np.array(sorted(length for length, n in counts.items() if 0 < length <= capacity and n > 0), np.int64)
     if not len(lengths):
         return []
-    left = np.array([counts[int(x)] for x in lengths], np.int64)
-    basis, x = relaxed(lengths, left.astype(float), capacity)
-    out = []
-    for i in np.argsort(-x, kind="stable"):
-        column = basis[i].astype(np.int64)
-        times = int(np.floor(x[i] + 1e-6))
-        if not times or column @ lengths != capacity:
-            continue
-        held = column > 0
-        times = min(times, int((left[held] // column[held]).min()))
-        if times:
-            left -= times * column
-            out.append((times, [int(v) for v, n in zip(lengths, column) for _ in range(n)][::-1]))
-    return out
+    left = np.array([counts[int(v)] for v in lengths], np.int64)
+    found = relaxed(lengths, left, capacity)
+    times = []
+    for x, column in found:
+        n = min([int(x + 1e-6), *(int(left[i]) // c for i, c in column.items())])
+        for i, c in column.items():
+            left[i] -= n * c
+        times.append(n)
+    for j in sorted(range(len(found)), key=lambda j: (times[j] - found[j][0], j)):
+        if all(left[i] >= c for i, c in found[j][1].items()):
+            for i, c in found[j][1].items():
+                left[i] -= c
+            times[j] += 1
+    return [(n, [int(lengths[i]) for i, c in sorted(column.items(), reverse=True) for _ in range(c)]) for n, (_, column) in zip(times, found) if n]
