@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.llm import fuse
-from strandline.llm.frames import read, written
+from strandline.llm.frames import chosen, read, written
 
 #: Buckets of digests a snapshot has; each holds one filter and about (distinct texts / BUCKETS) digests.
 BUCKETS = 128
@@ -116,6 +116,11 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
+def first_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of ``docs``, all columns, for each distinct text."""
+    return chosen(docs, deduplicate(docs, id_col, text_col).where("kept"))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduplicate(read(spark, sf_dir, "documents")).drop("uid")
 

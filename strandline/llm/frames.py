@@ -86,3 +86,13 @@ def numbered(df: DataFrame, key: str, order: list[str], number: str, weight: str
         .withColumn(number, F.col(number) + F.col(base))
         .drop(sub, add, base, f"{base}_key", f"{base}_sub")
     )
+
+
+def chosen(docs: DataFrame, uids: DataFrame, uid: str = "uid") -> DataFrame:
+    """The rows of ``docs``, all columns, whose place in the table is in ``uids``.
+
+    Places are those of monotonically_increasing_id over ``docs``, which are the
+    same in every read of the same files.
+    """
+    own = fresh(docs, "place")[0]
+    return docs.withColumn(own, F.monotonically_increasing_id()).join(uids.select(F.col(uid).alias(own)), own, "left_semi").drop(own)

@@ -42,6 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.llm.components import components
+from strandline.llm.frames import chosen as rows_at
 from strandline.llm.frames import read, written
 from strandline.llm.shingles import shingle_sets
 
@@ -413,5 +414,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, id_col:
     ).select("uid", "doc_id", "n_shingles", label(F.col("head.label")).alias("component_id"), (F.col("uid") == F.col("head.uid")).alias("first"))
 
 
+def first_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of ``docs``, all columns, for each component of near duplicates."""
+    return rows_at(docs, near_duplicates(docs, id_col=id_col, text_col=text_col).where("first"))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")

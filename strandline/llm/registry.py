@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from strandline.llm import bpe, exact_dedup, exact_topk, html_text, ngram_join, packing, sharding, url_filter
+from strandline.llm import bpe, exact_dedup, exact_topk, html_text, line_crf, ngram_join, packing, sharding, toxicity, url_filter
 
 QUERIES = {
     "op1_url_filter": url_filter,
+    "op2_toxicity": toxicity,
     "op3_exact_topk": exact_topk,
     "op4_html_text": html_text,
     "op5_ngram_join": ngram_join,
+    "op6_line_crf": line_crf,
     "op7_bpe": bpe,
     "op8_sharding": sharding,
     "op9_packing": packing,

@@ -67,12 +67,16 @@ def parts(offsets: np.ndarray, most: int = SLICE) -> Iterator[tuple[int, int]]:
         at = end
 
 
-def word_hashes(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words and, for each row, where its words begin (one more entry at the end)."""
+def word_hashes(offsets: np.ndarray, data: np.ndarray, space: np.ndarray = SPACE, prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, ...]:
+    """Hashes of all words and, for each row, where its words begin (one more entry at the end).
+
+    ``space`` says which bytes part words. Further results are hashes of the
+    words' first bytes, one for each length in ``prefixes``.
+    """
     n = len(data)
     if n == 0:
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    word = ~SPACE[data]
+        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64), *(np.zeros(0, np.uint64) for _ in prefixes)
+    word = ~space[data]
     first = np.zeros(n + 1, bool)
     first[offsets] = True
     opens = word.copy()
@@ -83,8 +87,12 @@ def word_hashes(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.n
     sums = np.empty(n + 1, np.uint64)
     sums[0] = 0
     np.cumsum(CODES[data] * _power(BASE, n), out=sums[1:])
-    hashes = mixed((sums[ends] - sums[starts]) * _power(INVERSE, n + 1)[starts] + (ends - starts).astype(np.uint64))
-    return hashes, np.searchsorted(starts, offsets)
+    back = _power(INVERSE, n + 1)[starts]
+
+    def upto(stop: np.ndarray) -> np.ndarray:
+        return mixed((sums[stop] - sums[starts]) * back + (stop - starts).astype(np.uint64))
+
+    return upto(ends), np.searchsorted(starts, offsets), *(upto(np.minimum(ends, starts + k)) for k in prefixes)
 
 
 def shingle_sets(texts: pa.Array, width: int = 5) -> Iterator[np.ndarray]:
