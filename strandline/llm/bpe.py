@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.frames import read
+from strandline.llm.frames import at_workers, read
 
 #: Fixed value: the word pattern of the byte-level pre-tokenizer.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
@@ -294,6 +294,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    at_workers(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 

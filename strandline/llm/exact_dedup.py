@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.llm import fuse
-from strandline.llm.frames import chosen, read, written
+from strandline.llm.frames import at_workers, chosen, read, written
 
 #: Buckets of digests a snapshot has; each holds one filter and about (distinct texts / BUCKETS) digests.
 BUCKETS = 128
@@ -48,6 +48,7 @@ def normalised(text: Column) -> Column:
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """uid, doc_id, sha, bytes of every row; uid is the row's place in the table."""
+    at_workers(docs.sparkSession)
     text = normalised(F.col(text_col))
     return docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).cast("long").alias("doc_id"), text.alias("text")).select(
         "uid", "doc_id", F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("sha"), F.octet_length("text").cast("long").alias("bytes")

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strandline.llm.frames import read, written
+from strandline.llm.frames import at_workers, read, written
 
 BLOCK = 8192
 QUERY_BLOCK = 2048
@@ -78,6 +78,7 @@ def _file_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def build(vectors: DataFrame) -> DataFrame:
     """The approximation file of ``integers(...)`` rows, written to the shared folder. No shuffle."""
+    at_workers(vectors.sparkSession)
     return written(vectors.mapInArrow(_file_rows, FILE_DDL), "va-file")
 
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.frames import held_out
+from strandline.llm.frames import at_workers, held_out
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, features: Callable[[pa.Array], Iterator[bytes]], per_class: int, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang") -> list[tuple[bytes, int, str]]:
@@ -19,6 +19,7 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, features: Callable[[p
     decides, so the sample doesn't depend on the order of the table. The
     language is for thresholds, never for scores.
     """
+    at_workers(docs.sparkSession)
     known = (
         labels.select(F.col("doc_id").cast("long").alias("sample_id"), F.col(label).cast("int").alias("sample_label"))
         .where(F.col("sample_id").isNotNull() & F.col("sample_label").isin(0, 1) & ~held_out(F.col("sample_id")))

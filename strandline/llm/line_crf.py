@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.frames import fresh, held_out, read
+from strandline.llm.frames import at_workers, fresh, held_out, read
 from strandline.llm.labelled import platt, sample, sigmoid
 from strandline.llm.shingles import buffers, mixed, parts, word_hashes
 
@@ -263,6 +263,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: i
 
 def scorer(spark: SparkSession, model: Model):
     """The model as a function of a text column."""
+    at_workers(spark)
     shared = spark.sparkContext.broadcast(model)  # a few hundred weights
 
     @F.arrow_udf("double")

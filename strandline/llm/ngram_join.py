@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from strandline.llm.components import components
 from strandline.llm.frames import chosen as rows_at
-from strandline.llm.frames import read, written
+from strandline.llm.frames import at_workers, read, written
 from strandline.llm.shingles import shingle_sets
 
 #: Share of a set, beyond the prefix, that is screened as well; it changes what survives, never the links.
@@ -388,6 +388,7 @@ def merged(comps: DataFrame, edges: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """uid, doc_id, n_shingles, component_id, first (its row stays) of every row."""
+    at_workers(docs.sparkSession)
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     known = screen(rows, width, percent)
     order = F.struct("label", "uid")

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from strandline.llm import cutting_stock
 from strandline.llm.bpe import encoder, slices
-from strandline.llm.frames import numbered, read, written
+from strandline.llm.frames import at_workers, numbered, read, written
 
 ENCODED = "uid long, doc_id long, doc_tokens long, full array<long>, rest int, rest_crc32 long, rest_ids binary"
 
@@ -57,6 +57,7 @@ def _encoded(path: str, closing: int, length: int):
 
 def encoded(docs: DataFrame, path: str, closing: int = 0, length: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Token counts, checksums and the ids of the rest of every document, written to the shared folder."""
+    at_workers(docs.sparkSession)
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return written(rows.mapInArrow(_encoded(path, closing, length), ENCODED), "encoded")
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.frames import fresh, held_out, read
+from strandline.llm.frames import at_workers, fresh, held_out, read
 from strandline.llm.labelled import platt, sample, sigmoid
 from strandline.llm.shingles import buffers, parts, word_hashes
 
@@ -41,6 +41,8 @@ FILTERS = 4
 #: Labelled documents of each class in the training sample.
 PER_CLASS = 2500
 EPOCHS = 5
+#: Buckets in fewer training documents say nothing: their embeddings stay zero.
+LEAST_DOCUMENTS = 3
 
 APART = np.ones(256, bool)  # bytes that part words: all of ASCII but letters and digits
 APART[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
@@ -141,12 +143,15 @@ def train(docs: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, batc
     random = np.random.default_rng(seed)
     n1, n0 = int(labels.sum()), int((1 - labels).sum())
     embedding = random.normal(0, 0.02, (FEATURES, BUCKETS, DIM)).astype(np.float32)
+    common = np.zeros((FEATURES, BUCKETS), bool)
     for f in range(FEATURES):  # how much likelier a bucket is in documents of label 1, at least
         held = np.zeros((2, BUCKETS))
         for words, y in zip(docs, labels):
             held[y, np.unique(words[:, f])] += 1
-        odds = np.log((held[1] + 0.5) / (n1 + 1)) - np.log((held[0] + 0.5) / (n0 + 1)) - 1.6 * np.sqrt(1 / (held[1] + 0.5) + 1 / (held[0] + 1))
-        embedding[f, :, 0] = np.clip(odds, -1, 6) * (held.sum(0) > 0) / FEATURES
+        odds = np.log((held[1] + 0.5) / (n1 + 1)) - np.log((held[0] + 0.5) / (n0 + 1)) - 2.5 * np.sqrt(1 / (held[1] + 0.5) + 1 / (held[0] + 1))
+        embedding[f, :, 0] = np.clip(odds, -1, 6) / FEATURES
+        common[f] = held.sum(0) >= LEAST_DOCUMENTS
+    embedding[~common] = 0
     filters = [random.normal(0, 0.1, (w, DIM, FILTERS)).astype(np.float32) for w in WIDTHS]
     for weight in filters:
         weight[:, 0, :] = np.abs(weight[:, 0, :]) + 0.5
@@ -183,9 +188,11 @@ def train(docs: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, batc
             steps["b"].step(back.sum(0))
             steps["o"].step(np.concatenate([(g[:, None] * top).sum(0), [g.sum()]]).astype(np.float32))
             if buckets:
-                touched, inverse = np.unique(np.concatenate(buckets), return_inverse=True)
+                rows_of, grad = np.concatenate(buckets), np.concatenate(grads)
+                learnt = common.ravel()[rows_of]
+                touched, inverse = np.unique(rows_of[learnt], return_inverse=True)
                 total = np.zeros((len(touched), DIM), np.float32)
-                np.add.at(total, inverse, np.concatenate(grads))
+                np.add.at(total, inverse, grad[learnt])
                 steps["e"].step(total, touched)
     return model
 
@@ -229,6 +236,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
 
 def scorer(spark: SparkSession, model: Model):
     """The model as a function of a text column."""
+    at_workers(spark)
     shared = spark.sparkContext.broadcast(model)  # its size is fixed by BUCKETS and DIM
 
     @F.arrow_udf("double")
