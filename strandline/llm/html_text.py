@@ -47,6 +47,7 @@ RAW = frozenset("script style noscript template textarea iframe svg math object
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul br".split()
 )
+LISTS = frozenset("div section ul ol table p dl".split())  # menus, if most of their text is links
 DROPPED = frozenset("head nav aside footer form button select option dialog menu".split())
 #: An open element of the first kind is closed by the opening of one of the second.
 CLOSED_BY = {
@@ -58,9 +59,11 @@ CLOSED_BY = {
 SCOPE = frozenset("table td th ul ol dl article section div body html main aside nav header footer form blockquote".split())
 
 BOILERPLATE = re.compile(
-    r"(?<![a-z])(?:ads?|advert\w*|adsense|banner|breadcrumbs?|byline|comments?|comment-?list|consent|cookies?|disqus|footer|gdpr|masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|notification|pagination|pager|popup|promo\w*|recommend\w*|related|replies|responses|search|share|sharing|sidebar|signup|site-?header|skip|social|sponsor\w*|subscribe|tags|toolbar|widget)(?![a-z])",
+    r"(?<![a-z])(?:ads?|ad(?:box|slot|unit|wrapper|container|space)|advert\w*|adsense|banner|breadcrumbs?|comments?|comment-?list|consent|cookies?|disqus|footer|gdpr|masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|notification|pagination|pager|popup|promo\w*|recommend\w*|related|replies|responses|search|share|sharing|sidebar|signup|site-?header|skip|social|sponsor\w*|subscribe|tags|toolbar|widget)(?![a-z])",
     re.I,
 )
+#: Whole class names or ids of the same meaning, outside an article.
+OUTER = frozenset("header top topbar top-bar bottom copyright legal disclaimer".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar".split())
 
 
@@ -74,20 +77,24 @@ class Node:
         self.density = self.total = 0.0
 
 
+def _in_article(node: Node | None) -> bool:
+    while node is not None:
+        if node.tag in ("article", "main"):
+            return True
+        node = node.parent
+    return False
+
+
 def _boilerplate(tag: str, attributes: str, parent: Node) -> bool:
     if tag in DROPPED:
         return True
     if tag == "header":  # the article's own header holds its title
-        while parent is not None:
-            if parent.tag in ("article", "main"):
-                return False
-            parent = parent.parent
-        return True
+        return not _in_article(parent)
     if not attributes or tag in ("html", "body", "article", "main"):
         return False
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
-        if name in ("class", "id") and BOILERPLATE.search(value) or name == "role" and value.lower() in ROLES:
+        if name in ("class", "id") and (BOILERPLATE.search(value) or not OUTER.isdisjoint(value.lower().split()) and not _in_article(parent)) or name == "role" and value.lower() in ROLES:
             return True
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and re.search(r"display\s*:\s*none", value, re.I):
             return True
@@ -192,12 +199,13 @@ def main_nodes(root: Node) -> list[Node]:
         if up is not None and up.density:
             threshold = min(threshold, up.density)
     # what a tag or block closes early (unclosed <p> or <b>) leaves siblings beside the top: its article-level parent has them all
-    home = up = top
-    while up is not body and up is not None:
-        if up.tag in ("article", "main"):
-            home = up
+    around = []
+    up = top
+    while up is not None:
+        around.append(up)
         up = up.parent
-    if home is not top:
+    home = next((x for name in ("article", "main") for x in reversed(around) if x.tag == name), None)
+    if home is not None:
         return [home]
     return [x for x in _beside(top, threshold, body)]
 
@@ -231,7 +239,7 @@ def blocks(node: Node) -> list[str]:
             close()
         elif isinstance(x, str):
             run.append(x)
-        elif not x.dropped:
+        elif not x.dropped and not (x.tag in LISTS and x.link_tags > 1 and 10 * x.link_chars > 6 * x.chars):
             if x.tag in BLOCKS:
                 close()
                 stack.append(None)
