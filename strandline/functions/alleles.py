@@ -97,12 +97,12 @@ def unscored_entry(alt: Column, gene: Column) -> Column:
     return F.concat_ws("|", alt, gene, *([F.lit(".")] * (len(FIELDS) - 2)))
 
 
-def skip_reason(has_alts: Column, n_transcripts: Column, window: Column, ref: Column, distance: int) -> Column:
+def skip_reason(has_alts: Column, n_transcripts: Column, window: Column, ref: Column, distance: int, context: int = 10_000) -> Column:
     """Why a record isn't scored, the first reason that applies; null if it is.
 
     ``window`` is the reference around the position, null if it can't be read.
     """
-    width = 10000 + 2 * distance + 1
+    width = context + 2 * distance + 1
     return (
         F.when(~has_alts, "bad input")
         .when(n_transcripts == 0, "no transcript")

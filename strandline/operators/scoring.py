@@ -31,13 +31,13 @@ class Scorer(Protocol):
 class StubScorer:
     """A deterministic stand-in for a model: channel c is a weighted count of bases around each position."""
 
-    def __init__(self, weight: float = 1.0, reach: int = 3):
-        self.weight, self.reach = weight, reach
+    def __init__(self, weight: float = 1.0, reach: int = 3, context: int = CONTEXT):
+        self.weight, self.reach, self.context = weight, reach, context
 
     def predict(self, inputs: np.ndarray, batch_size: int, verbose: int) -> np.ndarray:
         signal = inputs.astype(np.float32) @ np.array([0.11, 0.23, 0.37, 0.05], np.float32)
         sums = np.cumsum(np.pad(signal, ((0, 0), (1, 0))), axis=1)
-        half, cov = CONTEXT // 2, inputs.shape[1] - CONTEXT
+        half, cov = self.context // 2, inputs.shape[1] - self.context
         at = np.arange(cov) + half
         mean = (sums[:, at + self.reach + 1] - sums[:, at - self.reach]) / (2 * self.reach + 1)
         acceptor = np.clip(mean * self.weight, 0, 1)
@@ -121,7 +121,7 @@ def annotate(records: DataFrame, transcripts: DataFrame, blocks: DataFrame, load
     hits = stab(records, transcripts)
     counted = hits.groupBy("line_no").agg(F.count("*").alias("n"))
     known = records.join(counted, "line_no", "left").join(windows(hits, blocks, width // 2, block_size), ["contig", "pos"], "left")
-    reason = alleles.skip_reason(F.coalesce(F.size("alts") > 0, F.lit(False)), F.coalesce("n", F.lit(0)), F.col("window"), F.col("ref"), distance)
+    reason = alleles.skip_reason(F.coalesce(F.size("alts") > 0, F.lit(False)), F.coalesce("n", F.lit(0)), F.col("window"), F.col("ref"), distance, context)
     judged = known.withColumn("skip_reason", reason)
     fine = judged.where("skip_reason is null").select("line_no", "window")
     tasks = (
@@ -148,7 +148,10 @@ def annotate(records: DataFrame, transcripts: DataFrame, blocks: DataFrame, load
     minus = F.col("strand") == "-"
     both = ready.drop("window", "padded").join(of_ref, "ref_key").join(of_alt, "alt_key")
     channel = lambda name: scores.channel_scores(scores.oriented(F.col(f"ref_{name}"), minus), scores.oriented(F.col(f"alt_{name}"), minus), cov, F.length("ref"), F.length("alt"))
-    scored = both.withColumn("entry", scores.score_entry(F.col("alt"), F.col("gene"), channel("acceptor"), channel("donor"), cov, F.col("exon"), mask))
+    peaks = dict(zip(("ag", "al", "dg", "dl"), (*channel("acceptor"), *channel("donor"))))
+    # peaks are columns first, so that no array is gone through twice
+    found = both.select("line_no", "alt_no", "transcript", "alt", "gene", "exon", *(c.alias(name) for name, c in peaks.items()))
+    scored = found.withColumn("entry", scores.score_entry(F.col("alt"), F.col("gene"), (F.col("ag"), F.col("al")), (F.col("dg"), F.col("dl")), cov, F.col("exon"), mask))
     every = scored.select("line_no", "alt_no", "transcript", "entry").unionByName(tasks.where("entry is not null").select("line_no", "alt_no", "transcript", "entry"))
     told = every.groupBy("line_no").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("alt_no", "transcript", "entry"))), lambda x: x["entry"]), ",").alias("annotation"))
     return judged.select("line_no", "skip_reason").join(told, "line_no", "left")

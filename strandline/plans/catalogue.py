@@ -328,7 +328,8 @@ def masked_score_string(spark, sf_dir):
     rows = predictions(spark, sf_dir)
     acceptor = scores.channel_scores(F.col("ref"), F.col("alt"), COV, one, one)
     donor = scores.channel_scores(F.col("ref2"), F.col("alt2"), COV, one, one)
-    return rows.select("vec_id", scores.score_entry(F.lit("A"), F.concat(F.lit("G"), F.col("label").cast("string")), acceptor, donor, COV, F.col("label") - 5, True).alias("entry"))
+    found = rows.select("vec_id", "label", *(c.alias(n) for n, c in zip(("ag", "al", "dg", "dl"), (*acceptor, *donor))))
+    return found.select("vec_id", scores.score_entry(F.lit("A"), F.concat(F.lit("G"), F.col("label").cast("string")), (F.col("ag"), F.col("al")), (F.col("dg"), F.col("dl")), COV, F.col("label") - 5, True).alias("entry"))
 
 
 @query("select vec_id, cast((case when label % 2 = 0 then list_reverse(embedding) else embedding end)[1] as double) as first, cast((case when label % 2 = 0 then list_reverse(embedding) else embedding end)[-1] as double) as last from embeddings")

@@ -8,17 +8,26 @@ from pyspark.sql import functions as F
 from strandline.operators import scoring
 
 
+SHORT = 200
+WEIGHTS = (0.6, 0.8, 1.0, 1.2, 1.4)
+
+
 def models() -> list[scoring.Scorer]:
-    return [scoring.StubScorer(w) for w in (0.6, 0.8, 1.0, 1.2, 1.4)]
+    return [scoring.StubScorer(w) for w in WEIGHTS]
+
+
+def short_models() -> list[scoring.Scorer]:
+    """The same with a context that suits sequences of a few hundred bases."""
+    return [scoring.StubScorer(w, context=SHORT) for w in WEIGHTS]
 
 
 def scored(sequences: DataFrame, distance: int = 10, block_size: int = 1 << 16) -> DataFrame:
     """line_no, skip_reason, annotation of one record in the middle of every sequence (doc_id, sequence).
 
-    A contig is its sequence between two flanks of ``scoring.CONTEXT`` A's, and
+    A contig is its sequence between two flanks of SHORT A's, and
     one transcript covers it.
     """
-    flank = scoring.CONTEXT
+    flank = SHORT
     whole = sequences.select(F.col("doc_id").cast("string").alias("contig"), F.col("doc_id").alias("line_no"), F.concat(F.repeat(F.lit("A"), flank), "sequence", F.repeat(F.lit("A"), flank)).alias("bases"))
     n = F.length("bases")
     pos = (F.floor(n / 2) + 1).cast("long")
@@ -26,4 +35,4 @@ def scored(sequences: DataFrame, distance: int = 10, block_size: int = 1 << 16)
     ref = F.upper(F.substring("bases", pos.cast("int"), F.lit(1)))
     records = whole.select("line_no", "contig", pos.alias("pos"), ref.alias("ref"), F.array(F.when(ref == "A", "C").otherwise("A"), F.concat(ref, F.lit("GT")), F.lit("<DEL>")).alias("alts"))
     transcripts = whole.select(F.col("line_no").alias("transcript"), F.concat(F.lit("G"), "contig").alias("gene"), "contig", F.when(F.col("line_no") % 2 == 0, "+").otherwise("-").alias("strand"), F.lit(flank).cast("long").alias("start"), (n - flank).cast("long").alias("stop"), F.array(F.lit(flank).cast("long")).alias("exon_starts"), F.array((n - flank).cast("long")).alias("exon_stops")).where("stop > start")
-    return scoring.annotate(records, transcripts, blocks, models, distance, True, 64, block_size)
+    return scoring.annotate(records, transcripts, blocks, short_models, distance, True, 64, block_size, SHORT)
