@@ -10,8 +10,8 @@ five-word shingles. The join keeps every link and returns connected components.
     shards answer which keys occur more than once. Documents with too few are
     proven to have no partner and leave; no text or full set has been moved.
 2.  Classes. Documents with equal sets become one class.
-3.  Anchors. Classes that share their smallest shingle meet in buckets of bounded
-    size and are linked by exact intersections, so that thousands of near copies
+3.  Anchors. Classes that share the smallest of those of their shingles that occur
+    elsewhere meet in buckets of bounded size and are linked by exact intersections, so that thousands of near copies
     become a few components at about one comparison each.
 4.  Tiles. Classes meet in tiles of (shingle of the prefix, size band); a pair
     shares a prefix shingle if it links, and its sizes lie in one band or two
@@ -38,7 +38,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strandline.llm.components import components
@@ -164,7 +164,7 @@ def _sets(width: int):
                 some = batch.slice(at, 1024)
                 sets = list(shingle_sets(some.column(1), width))
                 yield pa.RecordBatch.from_arrays(
-                    [some.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([int(s[0].view(np.int64)) if len(s) else 0 for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "n", "anchor", "tokens"]
+                    [some.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "n", "tokens"]
                 )
 
     return rows
@@ -189,173 +189,238 @@ def bitmap(tokens: np.ndarray, width: int) -> np.ndarray:
     return np.packbits(bits)
 
 
+def pivoted(sets: list[np.ndarray], percent: int, idle: int = 64) -> np.ndarray:
+    """For each set, the smallest position it is linked with through pivots.
+
+    Sets are pivots in turn, those whose shingles are most common first, for
+    that is what the original of many near copies looks like; a pivot is
+    intersected with all sets at once. It ends after ``idle`` pivots in a row
+    that merge nothing. Every link is exact; what is missed, tiles find.
+    """
+    sizes = np.array([len(s) for s in sets])
+    values, inverse, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    starts = np.cumsum(sizes) - sizes
+    common = np.add.reduceat(times[inverse], starts) / sizes
+    root, unused = np.arange(len(sets)), 0
+    for k in np.argsort(-common, kind="stable"):
+        mark = np.zeros(len(values), np.int64)
+        mark[inverse[starts[k] : starts[k] + sizes[k]]] = 1
+        shared = np.add.reduceat(mark[inverse], starts)
+        near = np.unique(root[100 * shared >= percent * (sizes + sizes[k] - shared)])
+        if len(near) > 1:
+            root[np.isin(root, near)] = near[0]
+            unused = 0
+        else:
+            unused += 1
+            if unused == idle:
+                break
+    return root
+
+
 def _bucket(percent: int):
-    """Links classes of one bucket into components: each against the last member of each component so far."""
+    """Links classes of one bucket into components."""
 
     def rows(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["n", "node"])
-        nodes, roots = pdf["node"].to_numpy(), []
-        heads: list[list] = []  # root, last member's set
-        for node, blob in zip(nodes, pdf["tokens"]):
-            own = np.frombuffer(blob, np.uint64)
-            for head in reversed(heads[-64:]):  # a heuristic only: tiles find what is missed
-                if percent * len(own) <= 100 * len(head[1]) and links(len(own), len(head[1]), overlap(head[1], own), percent):
-                    head[1] = own
-                    roots.append(head[0])
-                    break
-            else:
-                heads.append([node, own])
-                roots.append(node)
-        return pd.DataFrame({"node": nodes, "root": roots})
+        pdf = pdf.sort_values("node")
+        nodes = pdf["node"].to_numpy()
+        root = pivoted([np.frombuffer(b, np.uint64) for b in pdf["tokens"]], percent) if len(nodes) > 1 else np.zeros(len(nodes), np.int64)
+        return pd.DataFrame({"node": nodes, "root": nodes[root]})
 
     return rows
 
 
 def anchored(sets: DataFrame, percent: int) -> DataFrame:
-    """(node, root): components among classes with equal smallest shingle. Large buckets are dealt into parts, whose roots meet again."""
-    roots = None
-    left = sets.select("node", "anchor", "n", "tokens")
+    """(node, root): components among classes whose smallest shingle that others have as well is the same.
+
+    Buckets of more than BUCKET classes are dealt into parts; what is left of
+    them meets again as long as a tenth of it merges. The sets are sent once to
+    their bucket, and again only for such buckets.
+    """
+    roots, left = None, sets.select("node", "anchor", "n", "tokens")
     while True:
-        counts = left.groupBy("anchor").agg(F.count("*").alias("m")).where("m > 1")
-        if (most := counts.agg(F.max("m")).head()[0]) is None:
+        counts = written(left.groupBy("anchor").agg(F.count("*").alias("m")).where(F.col("m") > (1 if roots is None else BUCKET)), "buckets")
+        rows = counts.agg(F.coalesce(F.sum("m"), F.lit(0))).head()[0]
+        if not rows:
             break
-        parts = F.ceil(F.col("m") / BUCKET)
-        found = left.join(counts, "anchor").withColumn("part", F.pmod(F.xxhash64("node"), parts)).groupBy("anchor", "part").applyInPandas(_bucket(percent), "node long, root long")
-        found = written(found.where("node <> root"), "anchored")
-        if roots is None:
-            roots = found
-        else:
-            again = found.select(F.col("node").alias("root"), F.col("root").alias("top"))
-            roots = written(roots.join(again, "root", "left").select("node", F.coalesce("top", "root").alias("root")).unionByName(found), "roots")
-        if most <= BUCKET or found.isEmpty():
+        dealt = left.join(counts, "anchor").withColumn("part", F.pmod(F.xxhash64("node"), F.ceil(F.col("m") / BUCKET)))
+        found = written(dealt.groupBy("anchor", "part").applyInPandas(_bucket(percent), "node long, root long").where("node <> root"), "anchored")
+        again = found.select(F.col("node").alias("root"), F.col("root").alias("top"))
+        roots = found if roots is None else written(roots.join(again, "root", "left").select("node", F.coalesce("top", "root").alias("root")).unionByName(found), "roots")
+        if found.count() * 10 < rows:
             break
         left = left.join(found.select("node"), "node", "left_anti")
     return roots if roots is not None else sets.select("node", F.col("node").alias("root")).limit(0)
 
 
-POSTINGS = pa.schema([("token", pa.int64()), ("band", pa.int32()), ("own", pa.bool_()), ("node", pa.int64()), ("comp", pa.int64()), ("n", pa.int64()), ("bits", pa.binary())])
-
-
 def _band(n: np.ndarray, percent: int) -> np.ndarray:
+    """Number of the size band: a partner's sizes are at most 100 / percent apart, so in the same band or the next."""
     return np.floor(np.log(np.maximum(n, 1)) / np.log(100 / percent) + 1e-9).astype(np.int32)
 
 
 def _width(band: int, percent: int) -> int:
+    """Bits of the signatures in a band: about twice its largest size, so that half of them stay clear."""
     return 1 << int(np.ceil(np.log2(max(64, 2 * (100 / percent) ** (band + 1)))))
 
 
-def _postings(percent: int, bits: bool):
-    """A row for every prefix shingle of every class, in its own size band and in the next."""
+def _postings(percent: int):
+    """A row for every prefix shingle of every class. The prefix is what a linked pair can't miss."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, comps, sizes = (batch.column(c).to_numpy(zero_copy_only=False) for c in range(3))
-            bands = _band(sizes, percent)
-            for at in range(0, len(nodes), 256):
-                columns: list[list] = [[] for _ in POSTINGS.names]
-                for i in range(at, min(at + 256, len(nodes))):
-                    tokens = np.frombuffer(batch.column(3)[i].as_py(), np.uint64)
-                    prefix = tokens[: len(tokens) - least_overlap(np.int64(len(tokens)), percent) + 1].view(np.int64)
-                    for band, own in ((bands[i], True), (bands[i] + 1, False)):
-                        k = len(prefix)
-                        sign = bitmap(tokens, _width(band, percent)).tobytes() if bits else None
-                        for c, v in zip(columns, (prefix, np.full(k, band), np.full(k, own), np.full(k, nodes[i]), np.full(k, comps[i]), np.full(k, sizes[i]))):
-                            c.append(v)
-                        columns[6] += [sign] * k
-                arrays = [pa.array(np.concatenate(c), t) for c, t in zip(columns[:6], POSTINGS.types)]
-                yield pa.RecordBatch.from_arrays([*arrays, pa.array(columns[6], pa.binary())], schema=POSTINGS)
+            nodes, sizes = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
+            for at in range(0, len(nodes), 512):
+                prefixes = []
+                for blob in batch.column(2)[at : at + 512]:
+                    tokens = np.frombuffer(blob.as_buffer(), np.int64)
+                    prefixes.append(tokens[: len(tokens) - int(least_overlap(np.int64(len(tokens)), percent)) + 1])
+                some = slice(at, at + len(prefixes))
+                k = [len(p) for p in prefixes]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(prefixes)), pa.array(np.repeat(nodes[some], k)), pa.array(np.repeat(sizes[some], k)), pa.array(np.repeat(_band(sizes[some], percent), k)), pa.array(np.concatenate([np.arange(m, dtype=np.int32) for m in k]))], names=["token", "node", "n", "band", "pos"]
+                )
 
     return rows
 
 
-POSTINGS_DDL = "token long, band int, own boolean, node long, comp long, n long, bits binary"
-PAIRS_DDL = "a long, b long, comp_a long, comp_b long, bound long"
+def _signatures(percent: int):
+    """Hashed bitmaps of every class, for the tiles of its own band and of the next."""
 
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            bands = _band(batch.column(1).to_numpy(zero_copy_only=False), percent)
+            for node, blob, band in zip(batch.column(0).to_pylist(), batch.column(2), bands):
+                tokens = np.frombuffer(blob.as_buffer(), np.uint64)
+                out += [(node, int(t), bitmap(tokens, _width(t, percent)).tobytes()) for t in (band, band + 1)]
+            for at in range(0, len(out), 4096):
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[at : at + 4096]), (pa.int64(), pa.int32(), pa.binary()))], names=["node", "tile_band", "bits"])
 
-def _tile_pairs(tile: pd.DataFrame, percent: int, single: bool) -> list[np.ndarray]:
-    """Pairs of different components whose sizes and bit counts allow a link: a, b, comp_a, comp_b, bound."""
-    bits = np.frombuffer(b"".join(tile["bits"]), np.uint8).reshape(len(tile), -1)
-    words = np.ascontiguousarray(bits).view(np.uint64)
-    nodes, comps, sizes, own, side = (tile[c].to_numpy() for c in ("node", "comp", "n", "own", "side"))
-    left, right = tile["i"].iloc[0], tile["j"].iloc[0]
-    found = []
-    for k in range(len(tile)):
-        other = (comps != comps[k]) & ((nodes > nodes[k]) | ~own) if own[k] else np.zeros(len(tile), bool)
-        if left != right:
-            other &= side != side[k]
-        other &= (percent * sizes <= 100 * sizes[k]) & (percent * sizes[k] <= 100 * sizes)
-        at = np.flatnonzero(other)
-        if not len(at):
-            continue
-        bound = (sizes[at] + sizes[k] - np.bitwise_count(words[at] ^ words[k]).sum(1).astype(np.int64)) // 2
-        fits = 100 * bound >= percent * (sizes[at] + sizes[k] - bound)
-        at, bound = at[fits], bound[fits]
-        if len(at):
-            swap = comps[at] < comps[k]
-            found.append(np.stack([np.where(swap, nodes[at], nodes[k]), np.where(swap, nodes[k], nodes[at]), np.minimum(comps[at], comps[k]), np.maximum(comps[at], comps[k]), bound]))
-    if not found:
-        return []
-    pairs = np.concatenate(found, axis=1)
-    if single:
-        pairs = pairs[:, np.lexsort((-pairs[4], pairs[3], pairs[2]))]
-        first = np.ones(pairs.shape[1], bool)
-        first[1:] = (pairs[2, 1:] != pairs[2, :-1]) | (pairs[3, 1:] != pairs[3, :-1])
-        pairs = pairs[:, first]
-    return [pairs]
+    return rows
 
 
-def _tiles(percent: int, single: bool):
-    """Rows come sorted by tile; a tile may go over several batches."""
+def mixed_only(rows: DataFrame) -> DataFrame:
+    """Postings of shingles that classes of several components have: the others can link nothing new."""
+    shingle = Window.partitionBy("token")
+    return rows.withColumn("low", F.min("comp").over(shingle)).withColumn("high", F.max("comp").over(shingle)).where("low < high").drop("low", "high")
+
+
+#: From a tile: the pair (a, b) of the highest bound for two components, or a class with all those it may be linked with.
+PAIRS_DDL = "a long, b long, comp_a long, comp_b long, bound long"
+LISTS_DDL = "a long, others array<bigint>"
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = ["token", "band", "i", "j"]
-        held: pd.DataFrame | None = None
 
-        def done(frame: pd.DataFrame) -> Iterator[pa.RecordBatch]:
-            change = np.flatnonzero((frame[key].to_numpy()[1:] != frame[key].to_numpy()[:-1]).any(1)) + 1
+def _pairs_of(starts: np.ndarray, ends: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs (k, j), k < j, of rows of the same tile, in pieces of about ``most``."""
+    row_end = np.repeat(ends, ends - starts)
+    row = np.concatenate([np.arange(a, b) for a, b in zip(starts, ends)]) if len(starts) else np.zeros(0, np.int64)
+    count = row_end - row - 1
+    total = np.cumsum(count)
+    at = 0
+    while at < len(row):
+        stop = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + most, "right")))
+        n = count[at:stop]
+        k = np.repeat(row[at:stop], n)
+        j = k + 1 + np.arange(len(k)) - np.repeat(np.cumsum(n) - n, n)
+        yield k, j
+        at = stop
+
+
+def _tiles(percent: int, single: bool):
+    """Candidate pairs of tiles. Rows come sorted by tile; a tile may go over several batches."""
+    key = ["token", "tile_band", "i", "j"]
+
+    def done(frame: pa.Table) -> Iterator[pa.RecordBatch]:
+        own, side, nodes, comps, sizes, pos, band, left, right = (frame.column(c).to_numpy() for c in ("own", "side", "node", "comp", "n", "pos", "tile_band", "i", "j"))
+        rest = sizes - pos
+        keys = np.stack([frame.column(c).to_numpy().astype(np.int64) for c in key])
+        starts = np.flatnonzero(np.concatenate([[True], (keys[:, 1:] != keys[:, :-1]).any(0)]))
+        ends = np.concatenate([starts[1:], [len(nodes)]])
+        several = ends - starts > 1
+        starts, ends = starts[several], ends[several]
+        blobs = frame.column("bits").combine_chunks()
+        for width in np.unique(band[starts]):
+            of = band[starts] == width
+            # rows of these tiles hold bitmaps of one width
+            rows = np.concatenate([np.arange(a, b) for a, b in zip(starts[of], ends[of])])
+            words = np.frombuffer(b"".join(blobs.take(pa.array(rows)).to_pylist()), np.uint64).reshape(len(rows), -1)
+            place = np.zeros(len(nodes), np.int64)
+            place[rows] = np.arange(len(rows))
             out = []
-            for a, b in zip([0, *change], [*change, len(frame)]):
-                if b - a > 1:
-                    out += _tile_pairs(frame.iloc[a:b], percent, single)
+            for k, j in _pairs_of(starts[of], ends[of]):
+                fits = (comps[k] != comps[j]) & (own[k] | own[j]) & (percent * sizes[k] <= 100 * sizes[j]) & (percent * sizes[j] <= 100 * sizes[k]) & ((left[k] == right[k]) | (side[k] != side[j]))
+                # a linked pair passes at its first common shingle: from there on both sets must have enough left
+                fits &= (100 + percent) * np.minimum(rest[k], rest[j]) >= percent * (sizes[k] + sizes[j])
+                k, j = k[fits], j[fits]
+                for at in range(0, len(k), 1 << 16):
+                    x, y = k[at : at + (1 << 16)], j[at : at + (1 << 16)]
+                    total = sizes[x] + sizes[y]
+                    bound = (total - np.bitwise_count(words[place[x]] ^ words[place[y]]).sum(1, dtype=np.int64)) // 2
+                    good = 100 * bound >= percent * (total - bound)
+                    if good.any():
+                        x, y, bound = x[good], y[good], bound[good]
+                        swap = comps[y] < comps[x]
+                        a, b = np.where(swap, y, x), np.where(swap, x, y)
+                        out.append(np.stack([nodes[a], nodes[b], comps[a], comps[b], bound]))
             if out:
                 pairs = np.concatenate(out, axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in pairs], names=["a", "b", "comp_a", "comp_b", "bound"])
+                pairs = pairs[:, np.lexsort((pairs[1], pairs[0], -pairs[4], pairs[3], pairs[2]))]
+                by = (2, 3) if single else (0, 1)
+                if not single:
+                    pairs = pairs[:, np.lexsort((pairs[1], pairs[0]))]
+                first = np.ones(pairs.shape[1], bool)
+                first[1:] = (pairs[by[0], 1:] != pairs[by[0], :-1]) | (pairs[by[1], 1:] != pairs[by[1], :-1])
+                pairs = pairs[:, first]
+                if single:
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in pairs], names=["a", "b", "comp_a", "comp_b", "bound"])
+                else:
+                    heads, at = np.unique(pairs[0], return_index=True)
+                    lists = pa.ListArray.from_arrays(pa.array([*at, pairs.shape[1]], pa.int32()), pa.array(pairs[1]))
+                    yield pa.RecordBatch.from_arrays([pa.array(heads), lists], names=["a", "others"])
 
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
         for batch in batches:
-            frame = batch.to_pandas()
+            frame = pa.Table.from_batches([batch])
             if held is not None:
-                frame = pd.concat([held, frame], ignore_index=True)
-            last = (frame[key].to_numpy() == frame[key].to_numpy()[-1]).all(1)
-            held = frame[last]
-            if (~last).any():
-                yield from done(frame[~last])
+                frame = pa.concat_tables([held, frame])
+            last = np.ones(len(frame), bool)
+            for c in key:
+                values = frame.column(c).to_numpy()
+                last &= values == values[-1]
+            cut = int(last.argmax())
+            held = frame.slice(cut)
+            if cut:
+                yield from done(frame.slice(0, cut))
         if held is not None and len(held):
             yield from done(held)
 
     return rows
 
 
-def candidates(sets: DataFrame, comps: DataFrame, percent: int, single: bool) -> DataFrame:
-    """Pairs of classes of different components that tiles and bitmaps can't rule out."""
-    labelled = sets.join(comps, "node", "left").select("node", F.coalesce("root", "node").alias("comp"), "n", "tokens")
-    bare = labelled.mapInArrow(_postings(percent, False), POSTINGS_DDL)
-    mixed_tiles = bare.groupBy("token", "band").agg(F.count("*").alias("m"), F.min("comp").alias("low"), F.max("comp").alias("high"), F.max("own").alias("owned")).where("low < high and owned").select("token", "band", "m")
-    mixed_tiles = written(mixed_tiles, "tiles")
-    parts = F.ceil(F.col("m") / TILE).cast("int")
+def candidates(kept: DataFrame, signatures: DataFrame, percent: int, single: bool) -> DataFrame:
+    """Pairs of classes of different components that tiles and bitmaps can't rule out.
+
+    ``kept``: token, node, n, band, pos, comp of shingles in several components. With
+    ``single``, each pair of components has its pair of the highest bound alone.
+    """
+    spread = kept.withColumn("own", F.explode(F.array(F.lit(True), F.lit(False)))).withColumn("tile_band", F.col("band") + F.when(F.col("own"), 0).otherwise(1))
+    tile = ["token", "tile_band"]
+    counts = spread.groupBy(*tile).agg(F.count("*").alias("m"), F.max("own").alias("owned"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("owned and low < high")
+    parts = counts.select(*tile, F.ceil(F.col("m") / TILE).cast("int").alias("parts"))
     side = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     rows = (
-        labelled.mapInArrow(_postings(percent, True), POSTINGS_DDL)
-        .join(mixed_tiles.withColumn("parts", parts), ["token", "band"])
+        spread.join(parts, tile)
         .withColumn("side", side)
         .withColumn("k", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .select("token", "band", F.least("side", "k").alias("i"), F.greatest("side", "k").alias("j"), "side", "own", "node", "comp", "n", "bits")
+        .join(signatures, ["node", "tile_band"])
+        .select(*tile, F.least("side", "k").alias("i"), F.greatest("side", "k").alias("j"), "side", "own", "node", "comp", "n", "pos", "bits")
     )
-    key = ["token", "band", "i", "j"]
-    pairs = rows.repartition(*key).sortWithinPartitions(*key).mapInArrow(_tiles(percent, single), PAIRS_DDL)
+    key = [*tile, "i", "j"]
+    tiles = rows.repartition(*key).sortWithinPartitions(*key).mapInArrow(_tiles(percent, single), PAIRS_DDL if single else LISTS_DDL)
     if single:
-        best = pairs.groupBy("comp_a", "comp_b").agg(F.max(F.struct("bound", "a", "b")).alias("best"))
-        return best.select("best.a", "best.b", "comp_a", "comp_b")
-    return pairs.select("a", "b", "comp_a", "comp_b").distinct()
+        return tiles.groupBy("comp_a", "comp_b").agg(F.max(F.struct("bound", "a", "b")).alias("best")).select("best.a", "best.b")
+    # tiles that share a pair tell it again and again: lists of a class are joined before pairs are spelt out
+    return tiles.groupBy("a").agg(F.array_distinct(F.flatten(F.collect_list("others"))).alias("others")).select("a", F.explode("others").alias("b"))
 
 
 def _verified(percent: int):
@@ -370,11 +435,15 @@ def _verified(percent: int):
     return rows
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Edges (a, b) between components, from the pairs whose sorted arrays intersect enough."""
+def verified(pairs: DataFrame, sets: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
+    """Edges (a, b) between the components of pairs whose sorted arrays intersect enough."""
     tokens = sets.select("node", "tokens")
     own = pairs.join(tokens.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a").join(tokens.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b")
-    return written(own.select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b"), "x", "y").mapInArrow(_verified(percent), "a long, b long").distinct(), "edges")
+    linked = own.select("a", "b", "x", "y").mapInArrow(_verified(percent), "a long, b long")
+    for end in ("a", "b"):
+        top = comps.select(F.col("node").alias(end), F.col("root").alias("top"))
+        linked = linked.join(top, end, "left").withColumn(end, F.coalesce("top", end)).drop("top")
+    return written(linked.select("a", "b").where("a <> b").distinct(), "edges")
 
 
 def merged(comps: DataFrame, edges: DataFrame) -> DataFrame:
@@ -396,15 +465,18 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, id_col:
     chosen = written(classes.where("near").select(F.col("node").alias("uid")), "chosen")
     # the ids of the classes that are left: sent to every task only if they are few, joined by a shuffle otherwise
     few = F.broadcast(chosen) if chosen.count() <= BROADCAST_ROWS else chosen
-    sets = written(rows.select("uid", "text").join(few, "uid").select("uid", "text").mapInArrow(_sets(width), "node long, n long, anchor long, tokens binary"), "sets")
-    comps = anchored(sets, percent)
+    sets = written(rows.select("uid", "text").join(few, "uid").select("uid", "text").mapInArrow(_sets(width), "node long, n long, tokens binary"), "sets")
+    signatures = sets.select("node", "n", "tokens").mapInArrow(_signatures(percent), "node long, tile_band int, bits binary")
+    kept = sets.select("node", "n", "tokens").mapInArrow(_postings(percent), "token long, node long, n long, band int, pos int")
+    kept = written(mixed_only(kept.withColumn("comp", F.col("node"))).drop("comp"), "kept")
+    comps = anchored(sets.join(kept.groupBy("node").agg(F.min("token").alias("anchor")), "node"), percent)
     for single in (True, False):
-        edges = verified(candidates(sets, comps, percent, single), sets, percent)
-        if edges.isEmpty():
-            if single:
-                continue  # the second round tests every pair
-            break
-        comps = merged(comps, edges)
+        labelled = kept.join(comps, "node", "left").select("token", "node", "n", "band", "pos", F.coalesce("root", "node").alias("comp"))
+        kept = written(mixed_only(labelled), "kept")  # the second round needs no more than what the first one keeps
+        edges = verified(candidates(kept, signatures, percent, single), sets, comps, percent)
+        kept = kept.drop("comp")
+        if not edges.isEmpty():
+            comps = merged(comps, edges)
     rooted = classes.join(comps, "node", "left").select("digest", "first", F.coalesce("root", "node").alias("root"))
     heads = rooted.groupBy("root").agg(F.min("first").alias("head"))
     placed = rooted.join(heads, "root").select("digest", "head")
