@@ -33,8 +33,8 @@ WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_S
 CUT = re.compile(r" (?=\S)")
 IRREGULAR = re.compile(r" \s")
 
-#: Distinct cuts that a worker keeps; beyond that it starts anew. Bounds memory, not results.
-KEPT = 600_000
+#: Distinct cuts that a task keeps; beyond that it starts anew. Bounds memory, not results.
+KEPT = 500_000
 #: Characters of text that are worked on at once.
 SLICE = 4_000_000
 
@@ -170,6 +170,10 @@ class Encoder:
         for c, ws in spelt.items():
             known[c] = b"".join([words[w] for w in ws])
 
+    def forget(self) -> None:
+        """Drop what has been encoded; workers outlive a task and are shared with other stages."""
+        self.first, self.later = {}, {}
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text, 4 bytes each, little-endian; a null text has none."""
         parts: list[tuple[int, list[str] | bytes]] = []
@@ -186,7 +190,7 @@ class Encoder:
                 if name is not None:
                     parts.append((i, self.vocabulary.special[name].to_bytes(4, "little")))
         if len(self.first) + len(self.later) > KEPT:
-            self.first, self.later = {}, {}
+            self.forget()
         self._learn({p[0] for _, p in parts if isinstance(p, list)}, self.first, "")
         seen: set[str] = set()
         for _, p in parts:
@@ -265,6 +269,7 @@ def _round_trip(path: str):
                     shas.append(hashlib.sha256(speller.decimals(ids)).hexdigest())
                     back.append(hashlib.sha256(speller.decode(ids)).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(shas, pa.string()), pa.array(back, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        own.forget()
 
     return rows
 
@@ -277,6 +282,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         for batch in batches:
             ids = [np.frombuffer(b, "<u4").astype(np.int32) for some in slices(batch.column(1)) for b in own.encode(some)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
+        own.forget()
 
     return _rows(docs, id_col, text_col).mapInArrow(rows, "doc_id long, ids array<int>")
 

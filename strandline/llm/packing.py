@@ -51,6 +51,7 @@ def _encoded(path: str, closing: int, length: int):
                 columns = [batch.column(c).slice(at, len(texts)) for c in (0, 1)] + [pa.array(c, t) for c, t in zip(zip(*out), types)]
                 yield pa.RecordBatch.from_arrays(columns, names=["uid", "doc_id", "doc_tokens", "full", "rest", "rest_crc32", "rest_ids"])
                 at += len(texts)
+        own.forget()
 
     return rows
 
