@@ -11,8 +11,11 @@ link characters LC and link tags LT among them. Its composite density is
 where nLC = C - LC and zeros count as one. Children's densities sum to the
 density sum of their parent. The subtree with the largest sum holds the
 article; the smallest density on the path from it to the body is the threshold.
-Starting at the body, nodes below the threshold are dropped, and of those
-above it the descendant with the largest density sum is kept as content.
+Starting at the body, nodes below the threshold are dropped, and of each node
+that reaches it, at any depth, the one with the largest density sum in its
+subtree is kept as content, whole. A departure, which only adds text: content
+inside an article (or else a main) element brings the whole of that element, for
+its title and short paragraphs would fall below the threshold.
 
 Nodes that can't hold the article by their very meaning are never counted:
 scripts, styles, forms, menus, headers and footers outside the article, asides,
@@ -180,44 +183,53 @@ def _weigh(root: Node) -> Node:
     return body
 
 
+def _home(node: Node) -> Node | None:
+    """The outermost article around a node, or the outermost main element if there is none."""
+    around, up = [], node
+    while up is not None:
+        around.append(up)
+        up = up.parent
+    return next((x for name in ("article", "main") for x in reversed(around) if x.tag == name), None)
+
+
 def main_nodes(root: Node) -> list[Node]:
-    """The content nodes in page order."""
+    """The content nodes in page order, none below another."""
     body = _weigh(root)
+    if not body.chars:
+        return []
     inside, stack = [], [body]
     while stack:
         node = stack.pop()
         inside.append(node)
         stack += [x for x in reversed(node.children) if not isinstance(x, str) and not x.dropped]
-    if not body.chars:
-        return []
-    top = max(inside, key=lambda x: x.total)
-    while top is not body and top.tag not in BLOCKS:  # an inline element is part of its block
-        top = top.parent
-    threshold, up = top.density, top
-    while up is not None and up is not body:
+    # the node of the largest sum in each subtree, the first of equal ones; children come before their parents
+    best: dict[Node, Node] = {}
+    for node in reversed(inside):
+        best[node] = max([node, *(best[x] for x in node.children if x in best)], key=lambda x: x.total)
+    up = best[body]
+    threshold = up.density
+    while up is not body:
         up = up.parent
-        if up is not None and up.density:
-            threshold = min(threshold, up.density)
-    # what a tag or block closes early (unclosed <p> or <b>) leaves siblings beside the top: its article-level parent has them all
-    around = []
-    up = top
-    while up is not None:
-        around.append(up)
-        up = up.parent
-    home = next((x for name in ("article", "main") for x in reversed(around) if x.tag == name), None)
-    if home is not None:
-        return [home]
-    return [x for x in _beside(top, threshold, body)]
-
-
-def _beside(top: Node, threshold: float, body: Node) -> Iterator[Node]:
-    """The top and those of its siblings that pass the threshold, in page order."""
-    if top is body or top.parent is None:
-        yield top
-        return
-    for x in top.parent.children:
-        if not isinstance(x, str) and not x.dropped and (x is top or x.density >= threshold and x.chars and x.tag in BLOCKS):
-            yield x
+        threshold = min(threshold, up.density)
+    chosen: set[Node] = set()
+    stack = [body]
+    while stack:
+        node = stack.pop()
+        if node.density < threshold or not node.chars:
+            continue
+        top = best[node]
+        while top is not body and top.tag not in BLOCKS:  # an inline element is part of its block
+            top = top.parent
+        chosen.add(_home(top) or top)
+        stack += [x for x in node.children if x in best]
+    found, stack = [], [body]
+    while stack:
+        node = stack.pop()
+        if node in chosen:
+            found.append(node)
+        else:
+            stack += [x for x in reversed(node.children) if x in best]
+    return found
 
 
 def blocks(node: Node) -> list[str]:

@@ -128,6 +128,14 @@ def test_html():
     assert html_text.extract("<p>a < b and c</p>").startswith("a")
 
 
+def test_html_selects_at_any_parent():
+    part = lambda k: "".join(f"<p>Part {k}, paragraph {i}, has enough words in it to be content of its own.</p>" for i in range(4))
+    said = lambda k: [f"Part {k}, paragraph {i}, has enough words in it to be content of its own." for i in range(4)]
+    low = "<div>" + "<span>x</span>" * 40 + "</div>"
+    for page in ("<body><div><div class='part1'>{}</div>{}</div><div><div class='part2'>{}</div></div></body>", "<body><article>{}</article>{}<div><div>{}</div></div></body>"):
+        assert html_text.extract(page.format(part(1), low, part(2))).split("\n") == said(1) + said(2)
+
+
 def test_html_rows(spark):
     rows = spark.createDataFrame([(1, "u", "<p>é  x</p>", "a"), (1, "u", "<p>é  x</p>", "a"), (None, None, None, None), (2, "v", "", "b")], "page_id long, url string, html string, text string")
     assert sorted(map(tuple, html_text.extract_pages(rows).collect()), key=str) == sorted([(1, "u", "é x", 3), (1, "u", "é x", 3), (None, None, "", 0), (2, "v", "", 0)], key=str)
