@@ -17,10 +17,11 @@ subtree is kept as content, whole. A departure, which only adds text: content
 inside an article (or else a main) element brings the whole of that element, for
 its title and short paragraphs would fall below the threshold.
 
-Nodes that can't hold the article by their very meaning are never counted:
+Nodes that can't hold the article by their very meaning are not counted:
 scripts, styles, forms, menus, headers and footers outside the article, asides,
 and elements whose class, id or role names an advert, notice, menu, sidebar or
-comment list.
+comment list. A class or id counts as a whole ("sidebar", not "has-sidebar"), and
+a node that holds most of the body's text outside links is counted all the same.
 
 Defined results: a null or empty html gives an empty text. A page without tags
 is one block of text. Character references are decoded (cut ones as far as
@@ -46,9 +47,9 @@ ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|style|hidden|aria-hidden)(?:\s*=
 
 # Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea iframe svg math object canvas title xmp noembed noframes".split())
+RAW = frozenset("script style noscript template textarea iframe svg canvas title xmp noembed noframes".split())
 BLOCKS = frozenset(
-    "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul br".split()
+    "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul xmp br".split()
 )
 LISTS = frozenset("div section ul ol table p dl".split())  # menus, if most of their text is links
 DROPPED = frozenset("head nav aside footer form button select option dialog menu".split())
@@ -61,10 +62,9 @@ CLOSED_BY = {
 #: Elements past which an end tag or an implied end is not looked for.
 SCOPE = frozenset("table td th ul ol dl article section div body html main aside nav header footer form blockquote".split())
 
-BOILERPLATE = re.compile(
-    r"(?<![a-z])(?:ads?|ad(?:box|slot|unit|wrapper|container|space)|advert\w*|adsense|banner|breadcrumbs?|comments?|comment-?list|consent|cookies?|disqus|footer|gdpr|masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|notification|pagination|pager|popup|promo\w*|recommend\w*|related|replies|responses|search|share|sharing|sidebar|signup|site-?header|skip|social|sponsor\w*|subscribe|tags|toolbar|widget)(?![a-z])",
-    re.I,
-)
+#: A class name or id that says so as a whole: every part of it is one of these words, after the place at most.
+WORD = r"(?:ads?|ad(?:box|slot|unit|wrapper|container|space)|advert\w*|adsense|banner|breadcrumbs?|comments?|comment-?list|consent|cookies?|disqus|footer|gdpr|masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|notification|pagination|pager|popup|promo\w*|recommend\w*|related|replies|responses|search|share|sharing|sidebar|signup|site-?header|skip|social|sponsor\w*|subscribe|tags|toolbar|widget)"
+BOILERPLATE = re.compile(rf"(?:(?:site|page|main|primary|secondary|global)[-_]+)?{WORD}(?:[-_]+{WORD})*", re.I)
 #: Whole class names or ids of the same meaning, outside an article.
 OUTER = frozenset("header top topbar top-bar bottom copyright legal disclaimer".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar".split())
@@ -97,7 +97,7 @@ def _boilerplate(tag: str, attributes: str, parent: Node) -> bool:
         return False
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
-        if name in ("class", "id") and (BOILERPLATE.search(value) or not OUTER.isdisjoint(value.lower().split()) and not _in_article(parent)) or name == "role" and value.lower() in ROLES:
+        if name in ("class", "id") and (any(map(BOILERPLATE.fullmatch, value.split())) or not OUTER.isdisjoint(value.lower().split()) and not _in_article(parent)) or name == "role" and value.lower() in ROLES:
             return True
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and re.search(r"display\s*:\s*none", value, re.I):
             return True
@@ -129,8 +129,14 @@ def tree(page: str) -> Node:
             elif name == "p":
                 node.children.append(Node("br", node))
             continue
-        if name in RAW:  # up to its own end tag nothing is markup; none of these holds article text
+        if name in RAW:  # up to its own end tag nothing is markup; of these only xmp shows its text
             end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
+            if name == "xmp":
+                shown = Node(name, node)
+                shown.children.append(html.escape(page[at : end.start() if end else size], quote=False))
+                node.children.append(shown)
+                at = end.end() if end else size
+                continue
             if not found.group(3).rstrip().endswith("/") or name in ("script", "style"):
                 at = end.end() if end else (size if name in ("script", "style") else at)
             continue
@@ -149,6 +155,32 @@ def tree(page: str) -> Node:
     return root
 
 
+def _readmit(root: Node) -> None:
+    """Count nodes set aside after all that hold most of the body's text outside links.
+
+    A single run of text without blocks, such as a footer that is longer than a
+    very short article, stays aside where an article or main element has text.
+    """
+    body, home, order, stack = None, False, [], [(root, False, False)]
+    while stack:
+        node, aside, inside = stack.pop()
+        order.append(node)
+        aside, inside = aside or node.dropped, inside or node.tag in ("article", "main")
+        if node.tag == "body" and body is None:
+            body = node
+        home = home or inside and not aside and any(isinstance(x, str) and x.strip() for x in node.children)
+        stack += [(x, aside, inside) for x in node.children if not isinstance(x, str) and x.tag != "a"]
+    plain: dict[Node, int] = {}
+    parted: set[Node] = set()
+    for node in reversed(order):
+        plain[node] = sum(len(" ".join(x.split())) if isinstance(x, str) else plain.get(x, 0) for x in node.children)
+        if any(not isinstance(x, str) and (x.tag in BLOCKS or x in parted) for x in node.children):
+            parted.add(node)
+    for node in order:
+        if node.dropped and 2 * plain[node] > plain[body or root] and (node in parted or not home):
+            node.dropped = False
+
+
 def _weigh(root: Node) -> Node:
     """Fill in counts and densities, children first; returns the body."""
     order, body = [], root
@@ -194,6 +226,7 @@ def _home(node: Node) -> Node | None:
 
 def main_nodes(root: Node) -> list[Node]:
     """The content nodes in page order, none below another."""
+    _readmit(root)
     body = _weigh(root)
     if not body.chars:
         return []

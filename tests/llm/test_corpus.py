@@ -136,6 +136,19 @@ def test_html_selects_at_any_parent():
         assert html_text.extract(page.format(part(1), low, part(2))).split("\n") == said(1) + said(2)
 
 
+def test_html_wrappers_named_like_boilerplate():
+    said = [f"Paragraph {i} of the text has enough words in it to be content." for i in range(6)]
+    text = "".join(f"<p>{x}</p>" for x in said)
+    beside = "<nav>Here there</nav><div class='site-footer ad-container'>Elsewhere and so on</div>"
+    for wrapper in ("<div class='content has-sidebar'>{}</div>", "<div class='no-sidebar'>{}</div>", "<div class='page nav-open'>{}</div>", "<div class='post tags-news'>{}</div>", "<div id='widget-12'>{}</div>", "<form action='x'>{}</form>", "<div class='widget'>{}</div>"):
+        assert html_text.extract(f"<body>{wrapper.format(beside + text)}</body>").split("\n") == said, wrapper
+    assert html_text.extract(f"<html><head><title>t</title><body>{text}</body>").split("\n") == said
+    assert html_text.extract("<body><form>Only a run of text</form></body>") == "Only a run of text"
+    assert html_text.extract("<body><article><p>Tiny.</p></article><footer>Longer than the article it is below</footer></body>") == "Tiny."
+    kept = html_text.extract(f"<article>{text}<p>where <math><mi>x</mi>=<mn>1</mn></math> holds</p><object data='a'><p>Instead of it</p></object><xmp><b>&lt;</xmp><p>End.</p></article>")
+    assert kept.split("\n") == [*said, "where x=1 holds", "Instead of it", "<b>&lt;", "End."]
+
+
 def test_html_rows(spark):
     rows = spark.createDataFrame([(1, "u", "<p>é  x</p>", "a"), (1, "u", "<p>é  x</p>", "a"), (None, None, None, None), (2, "v", "", "b")], "page_id long, url string, html string, text string")
     assert sorted(map(tuple, html_text.extract_pages(rows).collect()), key=str) == sorted([(1, "u", "é x", 3), (1, "u", "é x", 3), (None, None, "", 0), (2, "v", "", 0)], key=str)
