@@ -51,7 +51,6 @@ RAW = frozenset("script style noscript template textarea iframe svg canvas title
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul xmp br".split()
 )
-LISTS = frozenset("div section ul ol table p dl".split())  # menus, if most of their text is links
 DROPPED = frozenset("head nav aside footer form button select option dialog menu".split())
 #: An open element of the first kind is closed by the opening of one of the second.
 CLOSED_BY = {
@@ -284,7 +283,7 @@ def blocks(node: Node) -> list[str]:
             close()
         elif isinstance(x, str):
             run.append(x)
-        elif not x.dropped and not (x.tag in LISTS and x.link_tags > 1 and 10 * x.link_chars > 6 * x.chars):
+        elif not x.dropped:
             if x.tag in BLOCKS:
                 close()
                 stack.append(None)

@@ -149,6 +149,17 @@ def test_html_wrappers_named_like_boilerplate():
     assert kept.split("\n") == [*said, "where x=1 holds", "Instead of it", "<b>&lt;", "End."]
 
 
+def test_html_keeps_links_of_the_article():
+    said = [f"Paragraph {i} of the text has enough words in it to be content." for i in range(6)]
+    text = "".join(f"<p>{x}</p>" for x in said)
+    links = "<p><a href='1'>First cited work</a> and <a href='2'>the second cited work</a></p>"
+    sources = "<ol>" + "".join(f"<li><a href='{i}'>Source number {i}</a></li>" for i in range(4)) + "</ol>"
+    wanted = [*said, "First cited work and the second cited work", *(f"Source number {i}" for i in range(4))]
+    for home in ("<article>{}</article>", "<div><div>{}</div></div>"):
+        assert html_text.extract(f"<body>{home.format(text + links + sources)}</body>").split("\n") == wanted
+    assert html_text.extract(f"<body><div>{sources}</div></body>").split("\n") == wanted[-4:]
+
+
 def test_html_rows(spark):
     rows = spark.createDataFrame([(1, "u", "<p>é  x</p>", "a"), (1, "u", "<p>é  x</p>", "a"), (None, None, None, None), (2, "v", "", "b")], "page_id long, url string, html string, text string")
     assert sorted(map(tuple, html_text.extract_pages(rows).collect()), key=str) == sorted([(1, "u", "é x", 3), (1, "u", "é x", 3), (None, None, "", 0), (2, "v", "", 0)], key=str)
