@@ -171,8 +171,19 @@ def contig_resolution(spark, sf_dir):
 spans as (select distinct l_suppkey % 50 as contig, l_orderkey as start, l_orderkey + 2 as stop, l_suppkey as name from lineitem where l_linenumber = 1)
 select r.contig, pos, start, name from records r join spans s on r.contig = s.contig and pos - 1 < stop and pos - 1 + length(ref) > start""")
 def range_scan(spark, sf_dir):
+    """The spans of first lines alone, as its SQL has it; range_scan_all takes every line."""
+    return scanned(spark, sf_dir, table(spark, sf_dir, "lineitem").where("l_linenumber = 1"))
+
+
+@query()
+def range_scan_all(spark, sf_dir):
+    return scanned(spark, sf_dir, table(spark, sf_dir, "lineitem"))
+
+
+def scanned(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
+    """Records of orders that meet the spans of ``lines``."""
     records = table(spark, sf_dir, "orders").select((F.col("o_custkey") % 50).alias("contig"), F.col("o_orderkey").alias("pos"), F.repeat(F.lit("A"), (F.col("o_orderkey") % 4 + 1).cast("int")).alias("ref"))
-    wanted = table(spark, sf_dir, "lineitem").where("l_linenumber = 1").select((F.col("l_suppkey") % 50).alias("contig"), F.col("l_orderkey").alias("start"), (F.col("l_orderkey") + 2).alias("stop"), F.col("l_suppkey").alias("name")).distinct()
+    wanted = lines.select((F.col("l_suppkey") % 50).alias("contig"), F.col("l_orderkey").alias("start"), (F.col("l_orderkey") + 2).alias("stop"), F.col("l_suppkey").alias("name")).distinct()
     return intervals.overlapping(records, wanted).select("contig", "pos", "start", "name")
 
 

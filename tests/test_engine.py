@@ -48,6 +48,24 @@ def test_intervals_against_loops(spark):
     assert got == sorted((r["i"], s, e) for r in recs.collect() for c, s, e in raw if c == r["contig"] and r["pos"] - 1 < e and r["pos"] - 1 + len(r["ref"]) > s)
 
 
+def test_range_scan_takes_every_line(spark, tmp_path):
+    from strandline.plans import catalogue
+
+    rnd = random.Random(4)
+    orders = [(k, rnd.randint(0, 200)) for k in range(150)]
+    lines = [(rnd.randrange(150), rnd.randint(0, 60), rnd.randint(1, 7)) for _ in range(400)]
+    lines += lines[:20]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long").write.parquet(str(tmp_path / "orders.parquet"))
+    spark.createDataFrame(lines, "l_orderkey long, l_suppkey long, l_linenumber int").write.parquet(str(tmp_path / "lineitem.parquet"))
+
+    def meeting(chosen):
+        return sorted((c % 50, k, start, name) for k, c in orders for start, name in {x[:2] for x in chosen} if c % 50 == name % 50 and k - 1 < start + 2 and k + k % 4 > start)
+
+    found = sorted(map(tuple, catalogue.queries()["range_scan_all"](spark, str(tmp_path)).collect()))
+    assert found == meeting(lines) and len(found) > len(meeting([x for x in lines if x[2] == 1])) > 0
+    assert sorted(map(tuple, catalogue.queries()["range_scan"](spark, str(tmp_path)).collect())) == meeting([x for x in lines if x[2] == 1])
+
+
 def test_universe(spark):
     def of(sequence, stop, kind):
         table = spark.createDataFrame([("1", 0, stop, sequence)], "contig string, start long, stop long, sequence string")
