@@ -1,7 +1,8 @@
 """Exact n-gram Jaccard self-join: size-banded tiles, bitmap bounds, exact intersections.
 
 Two documents link when 100 |x & y| >= 75 |x | y| over their sets of distinct
-five-word shingles. The join keeps every link and returns connected components.
+five-word shingles. The join returns connected components and, for every row,
+the exact number of other rows that it links with.
 
 1.  Screening. Of a set of n shingles sorted by hash, a linked partner shares at
     least ``ceil(0.75 n)``. So among the first ``n - ceil(0.75 n) + l`` shingles
@@ -21,6 +22,10 @@ five-word shingles. The join keeps every link and returns connected components.
     each pair of components gets its most promising pair alone; in the second,
     over what is still apart, every pair gets its test. Tiles of more than
     TILE classes are split into pairs of parts.
+5.  Links. No link leaves a component, so all classes of a component meet in
+    blocks of at most PART classes of one size band (or two that adjoin) and
+    are intersected exactly. Only the number of links of a class leaves a block,
+    weighted by the rows of the other classes.
 
 Defined results: a null or empty text (or white space alone) has no shingles and
 links with nothing. A text of fewer than five words is one shingle of all its
@@ -32,6 +37,7 @@ table gives an empty result. Extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,6 +60,9 @@ TILE = 2000
 BUCKET = 1000
 #: Rows whose ids and classes may be broadcast (8 bytes each); beyond it a shuffle join is used.
 BROADCAST_ROWS = 1_000_000
+#: Classes of one side of a block in which links are counted, and shingles of all of them, at about the most.
+PART = 1000
+PART_TOKENS = 4_000_000
 
 
 def least_overlap(n: np.ndarray, percent: int) -> np.ndarray:
@@ -455,13 +464,82 @@ def merged(comps: DataFrame, edges: DataFrame) -> DataFrame:
     return written(old.unionByName(new), "comps")
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """uid, doc_id, n_shingles, component_id, first (its row stays) of every row."""
+def linked_rows(sets: list[np.ndarray], weights: np.ndarray, sides: np.ndarray, across: bool, percent: int) -> np.ndarray:
+    """For each set, the weights of the other sets it links with; with ``across``, of those on another side."""
+    sizes = np.array([len(s) for s in sets])
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row, common = np.repeat(np.arange(len(sets)), sizes), times[column] > 1
+    row, column = row[common], (np.cumsum(times > 1) - 1)[column[common]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    shared = np.zeros((len(sets), len(sets)), np.float32)  # whole numbers up to 2^24 are exact
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+        a, b = np.searchsorted(column, (low, low + 4096))
+        held = np.zeros((len(sets), min(4096, int(column[b - 1]) + 1 - low)), np.float32)
+        held[row[a:b], column[a:b] - low] = 1
+        shared += held @ held.T
+    shared = shared.astype(np.int64)
+    met = 100 * shared >= percent * (sizes[:, None] + sizes - shared)
+    if across:
+        met &= sides[:, None] != sides
+    np.fill_diagonal(met, False)
+    return met.astype(np.int64) @ weights
+
+
+def _block(percent: int):
+    """Counts the links in one block, which holds a part or two of a large component, or whole small ones."""
+
+    def rows(pdf: pd.DataFrame) -> pd.DataFrame:
+        across = bool((pdf["step"] > 0).iloc[0] or (pdf["i"] != pdf["j"]).iloc[0])
+        found = []
+        for _, own in pdf.groupby("root"):
+            if len(own) > 1:
+                others = linked_rows([np.frombuffer(b, np.uint64) for b in own["tokens"]], own["rows"].to_numpy(), own["side"].to_numpy(), across, percent)
+                found.append(pd.DataFrame({"node": own["node"].to_numpy(), "others": others}))
+        return pd.concat(found) if found else pd.DataFrame({"node": np.zeros(0, np.int64), "others": np.zeros(0, np.int64)})
+
+    return rows
+
+
+def link_counts(sets: DataFrame, comps: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(node, others): rows of other classes that a class links with, for the classes of components of several."""
+    rooted = sets.select("node", "n").join(comps, "node", "left").select("node", "n", F.coalesce("root", "node").alias("root")).join(classes.select("node", "rows"), "node")
+    groups = rooted.groupBy("root").agg(F.count("*").alias("m"), F.sum("n").alias("total")).where("m > 1")
+    large = (F.col("m") > PART) | (F.col("total") > PART_TOKENS)
+    band = F.floor(F.log(F.greatest("n", F.lit(1)).cast("double")) / math.log(100 / percent) + 1e-9).cast("int")
+    own = written(rooted.join(groups, "root").withColumn("large", large).withColumn("band", band).drop("m", "total"), "members")
+    parts = F.greatest(F.ceil(F.count("*") / PART), F.ceil(F.sum("n") / PART_TOKENS)).cast("int")
+    units = own.where("large").groupBy("root", "band").agg(parts.alias("parts"))
+    after = units.select("root", (F.col("band") - 1).alias("band"), F.col("parts").alias("parts_after"))
+    before = units.select("root", (F.col("band") + 1).alias("band"), F.col("parts").alias("parts_before"))
+    placed = own.where("large").join(units, ["root", "band"]).join(after, ["root", "band"], "left").join(before, ["root", "band"], "left").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+
+    def at(key, lower, step, i, j, side):
+        return F.struct(key.cast("long").alias("key"), lower.cast("int").alias("lower"), F.lit(step).alias("step"), i.cast("int").alias("i"), j.cast("int").alias("j"), side.cast("int").alias("side"))
+
+    def each(count, block):
+        return F.when(F.col(count) > 0, F.transform(F.sequence(F.lit(0), F.col(count) - 1), block)).otherwise(F.array().cast("array<struct<key:bigint,lower:int,step:int,i:int,j:int,side:int>>"))
+
+    root, low, part = F.col("root"), F.col("band"), F.col("part")
+    same = each("parts", lambda k: at(root, low, 0, F.least(part, k), F.greatest(part, k), part))
+    up = each("parts_after", lambda k: at(root, low, 1, part, k, F.lit(0)))
+    down = each("parts_before", lambda k: at(root, low - 1, 1, k, part, F.lit(1)))
+    bundles = max(1, own.where("not large").count() // PART)
+    nothing = F.lit(0)
+    few = own.where("not large").withColumn("block", at(F.pmod(F.xxhash64("root"), F.lit(bundles)), F.lit(-1), 0, nothing, nothing, nothing))
+    dealt = placed.withColumn("block", F.explode(F.concat(same, up, down))).select("node", "root", "rows", "block.*").unionByName(few.select("node", "root", "rows", "block.*"))
+    blocks = dealt.join(sets.select("node", "tokens"), "node")
+    found = blocks.groupBy("key", "lower", "step", "i", "j").applyInPandas(_block(percent), "node long, others long")
+    return written(found.groupBy("node").agg(F.sum("others").alias("others")), "link-counts")
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text", counted: bool = True) -> DataFrame:
+    """uid, doc_id, n_shingles, component_id, first (its row stays) and, if ``counted``, n_links (other rows it links with) of every row."""
     at_workers(docs.sparkSession)
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     known = screen(rows, width, percent)
     order = F.struct("label", "uid")
-    classes = written(known.where("n > 0").groupBy("digest").agg(F.min(order).alias("first"), F.min("uid").alias("node"), F.max("near").alias("near")), "classes")
+    classes = written(known.where("n > 0").groupBy("digest").agg(F.min(order).alias("first"), F.min("uid").alias("node"), F.max("near").alias("near"), F.count("*").alias("rows")), "classes")
     chosen = written(classes.where("near").select(F.col("node").alias("uid")), "chosen")
     # the ids of the classes that are left: sent to every task only if they are few, joined by a shuffle otherwise
     few = F.broadcast(chosen) if chosen.count() <= BROADCAST_ROWS else chosen
@@ -477,20 +555,23 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, id_col:
         kept = kept.drop("comp")
         if not edges.isEmpty():
             comps = merged(comps, edges)
-    rooted = classes.join(comps, "node", "left").select("digest", "first", F.coalesce("root", "node").alias("root"))
+    others = link_counts(sets, comps, classes, percent) if counted else classes.select("node", F.lit(None).cast("long").alias("others")).limit(0)
+    links_of = (F.coalesce("others", F.lit(0)) + F.col("rows") - 1).alias("n_links")
+    rooted = classes.join(comps, "node", "left").join(others, "node", "left").select("digest", "first", F.coalesce("root", "node").alias("root"), links_of)
     heads = rooted.groupBy("root").agg(F.min("first").alias("head"))
-    placed = rooted.join(heads, "root").select("digest", "head")
+    placed = rooted.join(heads, "root").select("digest", "head", "n_links")
     alone = F.struct("label", "uid")
     label = lambda c: F.when(c != F.lit(2**63 - 1), c)
-    return known.join(placed, "digest", "left").select(
-        "uid", label(F.col("label")).alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce(F.col("head"), alone).alias("head")
-    ).select("uid", "doc_id", "n_shingles", label(F.col("head.label")).alias("component_id"), (F.col("uid") == F.col("head.uid")).alias("first"))
+    found = known.join(placed, "digest", "left").select(
+        "uid", label(F.col("label")).alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce(F.col("head"), alone).alias("head"), F.coalesce("n_links", F.lit(0)).alias("n_links")
+    ).select("uid", "doc_id", "n_shingles", label(F.col("head.label")).alias("component_id"), (F.col("uid") == F.col("head.uid")).alias("first"), "n_links")
+    return found if counted else found.drop("n_links")
 
 
 def first_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of ``docs``, all columns, for each component of near duplicates."""
-    return rows_at(docs, near_duplicates(docs, id_col=id_col, text_col=text_col).where("first"))
+    return rows_at(docs, near_duplicates(docs, id_col=id_col, text_col=text_col, counted=False).where("first"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+    return near_duplicates(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "n_links")

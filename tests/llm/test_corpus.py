@@ -213,6 +213,26 @@ def test_ngram_join(spark, monkeypatch, tile, bucket):
     assert key  # ordering of ids with nulls
 
 
+@pytest.mark.parametrize("part,tokens", [(1000, 4_000_000), (3, 4_000_000), (1000, 500)])
+def test_ngram_links(spark, monkeypatch, part, tokens):
+    monkeypatch.setattr(ngram_join, "PART", part)
+    monkeypatch.setattr(ngram_join, "PART_TOKENS", tokens)
+    rnd = random.Random(11)
+    base = [f"v{i}" for i in range(90)]
+    near = []
+    for i in range(30):  # one component whose members are not all linked with each other
+        w = base[: rnd.randint(70, 90)] + [f"t{rnd.randint(0, 3)}-{k}" for k in range(rnd.randint(0, 25))]
+        if rnd.random() < 0.6:
+            w[rnd.randrange(len(w))] = "other"
+        near.append((4000 + i, " ".join(w)))
+    rows = [*ROWS, *near, *near[:4]]
+    sets = [shingle_set(t) for _, t in rows]
+    wanted = [(rows[a][0], len(x), sum(b != a and bool(x and y) and 100 * len(x & y) >= 75 * len(x | y) for b, y in enumerate(sets))) for a, x in enumerate(sets)]
+    found = ngram_join.near_duplicates(docs_of(spark, rows).repartition(3, "n_chars")).select("doc_id", "n_shingles", "n_links").collect()
+    assert sorted(map(tuple, found), key=str) == sorted(wanted, key=str)
+    assert len({n for i, _, n in wanted if i is not None and i >= 4000}) > 5
+
+
 def test_ngram_empty(spark):
     assert ngram_join.near_duplicates(docs_of(spark, []).limit(0)).count() == 0
     rows = ngram_join.near_duplicates(docs_of(spark, [(1, None), (2, ""), (3, "lonely")])).collect()
