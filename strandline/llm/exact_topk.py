@@ -15,8 +15,9 @@ Defined results: a vector that is null, empty, or holds a null or non-finite
 component takes no part, nor does one whose id is null. Rows with equal ids are
 rows of their own: a query row leaves out only itself. Vectors of different
 length never meet. Equal scores are ranked by the smaller id. With fewer than
-k candidates all are returned. Components must stay below 2^26 after scaling,
-so that scores are exact in 64 bits. Extra columns are ignored.
+k candidates all are returned. Scores are exact in 64 bits; if a query and a
+block hold components so large that a score might not be, the search raises an
+error. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -55,6 +56,21 @@ def integers(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embeddi
     )
 
 
+def narrowed(exact: np.ndarray) -> np.ndarray:
+    """The components in 32 bits if all fit, in 64 otherwise."""
+    return exact.astype(np.int32 if -(1 << 31) <= exact.min() and exact.max() < 1 << 31 else np.int64)
+
+
+def refuse_inexact(query: np.ndarray, most: np.ndarray) -> None:
+    """An error if a score of ``query`` with components of at most ``most`` might not fit 64 bits."""
+    if np.abs(query.astype(np.float64)) @ most >= 2.0**63 * (1 - 1e-6):
+        raise ValueError("components are too large for scores that are exact in 64 bits")
+
+
+def stored(blob: bytes, n: int, dim: int) -> np.ndarray:
+    return np.frombuffer(blob, np.int32 if len(blob) == 4 * n * dim else np.int64).reshape(n, dim)
+
+
 def _file_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     part, count = TaskContext.get().partitionId() << 33, 0
     for batch in batches:
@@ -68,10 +84,10 @@ def _file_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 some = rows[at : at + BLOCK]
                 exact = flat[starts[some][:, None] + np.arange(dim)]
                 low, high = exact.min(0), exact.max(0)
-                step = np.maximum((high - low + 1) / CELLS, 1e-9)
-                cells = np.minimum((exact - low) / step, CELLS - 1).astype(np.uint8)
+                step = np.maximum((high.astype(np.float64) - low + 1) / CELLS, 1e-9)
+                cells = np.minimum((exact.astype(np.float64) - low) / step, CELLS - 1).astype(np.uint8)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([x], t) for x, t in zip((part + count, int(dim), len(some), ids[some].astype(np.int64).tobytes(), low.tobytes(), step.tobytes(), cells.tobytes(), exact.astype(np.int32).tobytes()), FILE.types)], schema=FILE
+                    [pa.array([x], t) for x, t in zip((part + count, int(dim), len(some), ids[some].astype(np.int64).tobytes(), low.tobytes(), step.tobytes(), cells.tobytes(), narrowed(exact).tobytes()), FILE.types)], schema=FILE
                 )
                 count += len(some)
 
@@ -88,10 +104,10 @@ def _query_rows(every: int):
             for r in batch.to_pylist():
                 ids = np.frombuffer(r["ids"], np.int64)
                 own = np.flatnonzero(ids % every == 0)
-                exact = np.frombuffer(r["exact"], np.int32).reshape(-1, r["dim"])
+                exact = stored(r["exact"], len(ids), r["dim"])
                 for at in range(0, len(own), QUERY_BLOCK):
                     some = own[at : at + QUERY_BLOCK]
-                    yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((r["dim"], len(some), (r["block"] + some).tobytes(), ids[some].tobytes(), exact[some].tobytes()), QUERIES.types)], schema=QUERIES)
+                    yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((r["dim"], len(some), (r["block"] + some).tobytes(), ids[some].tobytes(), narrowed(exact[some]).tobytes()), QUERIES.types)], schema=QUERIES)
 
     return rows
 
@@ -130,10 +146,12 @@ def _meet(k: int):
                 ids, dim = np.frombuffer(r["ids"], np.int64), r["dim"]
                 low, step = np.frombuffer(r["low"], np.int64).astype(np.float64), np.frombuffer(r["step"], np.float64)
                 cells = np.frombuffer(r["cells"], np.uint8).reshape(-1, dim).astype(np.float64)
-                exact = np.frombuffer(r["exact"], np.int32).reshape(-1, dim)
+                exact = stored(r["exact"], len(ids), dim)
+                most = np.abs(exact.astype(np.float64)).max(0)
                 uids, query_ids = np.frombuffer(r["q_uids"], np.int64), np.frombuffer(r["q_ids"], np.int64)
                 out = []
-                for uid, query_id, query in zip(uids, query_ids, np.frombuffer(r["q_exact"], np.int32).reshape(-1, dim)):
+                for uid, query_id, query in zip(uids, query_ids, stored(r["q_exact"], len(uids), dim)):
+                    refuse_inexact(query, most)
                     own = int(uid - r["block"])
                     found, scores = best(query, own if 0 <= own < len(ids) else -1, ids, low, step, cells, exact, k)
                     out.append((np.full(len(found), uid), np.full(len(found), query_id), ids[found], scores))

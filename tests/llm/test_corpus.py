@@ -111,6 +111,19 @@ def test_topk(spark, monkeypatch):
     assert exact_topk.search(exact_topk.build(exact_topk.integers(table.limit(0)))).count() == 0
 
 
+def test_topk_large_components(spark):
+    rows = [(i, [float(i % 7 - 3), 5.0 if i % 100 == 0 else 2.0**21 * (1 + i % 3), -3.0]) for i in range(120)]
+    found = exact_topk.search(exact_topk.build(exact_topk.integers(spark.createDataFrame(rows, "vec_id long, embedding array<double>")))).collect()
+    own = [(i, [math.floor(1024 * x) for x in v]) for i, v in rows]
+    wanted = []
+    for q in (0, 100):
+        scored = sorted((-sum(a * b for a, b in zip(own[q][1], w)), i) for i, w in own if i != q)[:10]
+        wanted += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored)]
+    assert sorted(map(tuple, found)) == sorted(wanted)
+    with pytest.raises(ValueError, match="too large"):
+        exact_topk.refuse_inexact(np.array([1 << 32, 0]), np.array([2.0**32, 1]))
+
+
 # html ----------------------------------------------------------------------
 
 
