@@ -623,7 +623,7 @@ def pending_shards(spark, sf_dir):
 
 @query()
 def scored_variants(spark, sf_dir):
-    """Records at the middle of every sequence, scored end to end by the stub model over a short context."""
+    """Records at the middle of every sequence, scored end to end by the stub model over the whole context."""
     from strandline.plans.demo import scored
 
     return scored(sequences(spark, sf_dir))

@@ -326,6 +326,15 @@ def test_score_command(spark, tmp_path):
     assert json.loads((tmp_path / "c.json").read_text())[0]["passed"] is True
 
 
+def test_demo_scores_over_the_whole_context(spark, monkeypatch):
+    from strandline.plans import demo
+
+    widths = set()
+    monkeypatch.setattr(scoring, "annotate", lambda *args, **more: widths.update([m.context for m in args[3]()] + [more.get("context", (*args, *[scoring.CONTEXT] * 9)[8])]))
+    demo.scored(spark.createDataFrame([(1, "ACGT")], "doc_id long, sequence string"))
+    assert widths == {10_000}
+
+
 def test_ensemble_checks():
     class Wrong:
         def predict(self, inputs, batch_size, verbose):
