@@ -106,9 +106,10 @@ def pack(docs: DataFrame, path: str, length: int = 1024, closing: int = 0, id_co
     )
 
     ranked = numbered(narrow.where("rest > 0"), "rest", ["uid"], "rank")
+    # each rank finds its place once, and the pieces below read it from there
     table = spark.createDataFrame(slots, "slot_length int, low long, high long, sequence long, slot_offset long")
     # at most length^2 / 2 places, however many documents there are
-    placed = ranked.join(F.broadcast(table), (F.col("rest") == F.col("slot_length")) & (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high")), "left")
+    placed = written(ranked.join(F.broadcast(table), (F.col("rest") == F.col("slot_length")) & (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high")), "left"), "placed")
     fitted = placed.where("sequence is not null").select(
         "doc_id", (F.col("doc_tokens") - F.col("rest")).alias("start"), F.col("rest").cast("long").alias("length"), F.col("rest_crc32").alias("ids_crc32"), "doc_tokens", (F.lit(whole) + F.col("sequence") + F.col("rank") - F.col("low")).alias("sequence_id"), F.col("slot_offset").alias("offset")
     )
