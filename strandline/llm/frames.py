@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -31,9 +32,11 @@ def at_workers(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    """The folder in ``spark.checkpoint.dir``; a temporary one only in a local session that doesn't set it."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = Path(tempfile.mkdtemp(prefix="strandline-")).as_uri()
         spark.conf.set("spark.checkpoint.dir", found)
     return found
@@ -43,7 +46,53 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read again: its lineage ends here."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``written`` that nothing reads any more."""
+    for table in tables:
+        jvm = table.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(table._written_to)
+        path.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files and broadcasts of plans that are done with.
+
+    Spark frees them when the driver's garbage is collected, which in a short
+    run of many small jobs may be never; so they would pile up on the disks.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+#: The largest long stands for an id that isn't known: it comes after all others.
+UNKNOWN = 2**63 - 1
+
+
+def label_of(doc_id: Column) -> Column:
+    return F.coalesce(doc_id.cast("long"), F.lit(UNKNOWN))
+
+
+def text_key(text: Column) -> Column:
+    """Sixteen bytes that tell texts of one doc_id apart; a null text counts as empty."""
+    return F.unhex(F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary")))
+
+
+def rows_of(docs: DataFrame, keys: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that ``keys`` (label, key; no pair twice) names by id and text.
+
+    A row is known by what it holds, not by its place, so that any number of
+    tasks may read the table anew. Of rows that agree in both, one is returned.
+    """
+    label, key, place = fresh(docs, "label", "key", "place")
+    tagged = docs.withColumn(label, label_of(F.col(id_col))).withColumn(key, text_key(F.col(text_col)))
+    found = tagged.join(keys.select(F.col("label").alias(label), F.col("key").alias(key)), [label, key], "left_semi")
+    # rows of a pair are in one partition already, in order
+    return found.withColumn(place, F.row_number().over(Window.partitionBy(label, key).orderBy(label))).where(F.col(place) == 1).drop(label, key, place)
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:
@@ -86,13 +135,3 @@ def numbered(df: DataFrame, key: str, order: list[str], number: str, weight: str
         .withColumn(number, F.col(number) + F.col(base))
         .drop(sub, add, base, f"{base}_key", f"{base}_sub")
     )
-
-
-def chosen(docs: DataFrame, uids: DataFrame, uid: str = "uid") -> DataFrame:
-    """The rows of ``docs``, all columns, whose place in the table is in ``uids``.
-
-    Places are those of monotonically_increasing_id over ``docs``, which are the
-    same in every read of the same files.
-    """
-    own = fresh(docs, "place")[0]
-    return docs.withColumn(own, F.monotonically_increasing_id()).join(uids.select(F.col(uid).alias(own)), own, "left_semi").drop(own)

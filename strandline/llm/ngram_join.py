@@ -7,14 +7,20 @@ the exact number of other rows that it links with.
 1.  Screening. Of a set of n shingles sorted by hash, a linked partner shares at
     least ``ceil(0.75 n)``. So among the first ``n - ceil(0.75 n) + l`` shingles
     at least about ``l`` occur in some other document. All documents send that
-    part of their sets, as packed 32-bit keys, to shards of the hash space;
-    shards answer which keys occur more than once. Documents with too few are
-    proven to have no partner and leave; no text or full set has been moved.
+    part of their sets, as packed 32-bit keys, to shards of the hash space, whose
+    number grows with the table; shards answer which keys occur more than once.
+    Documents with too few are proven to have no partner and leave; no text or
+    full set has been moved.
 2.  Classes. Documents with equal sets become one class.
-3.  Anchors. Classes that share the smallest of those of their shingles that occur
+3.  Prefixes. Shingles are put in one order for all sets, rare ones first: by the
+    binary logarithm of the load of a table of counters that the shingle's hash
+    falls into, then by hash. A linked pair can't miss each other in the first
+    quarter of both sets, so shingles that a large part of the corpus has (a
+    licence line) hardly ever bring classes together.
+4.  Anchors. Classes that share the first of those of their shingles that occur
     elsewhere meet in buckets of bounded size and are linked by exact intersections, so that thousands of near copies
     become a few components at about one comparison each.
-4.  Tiles. Classes meet in tiles of (shingle of the prefix, size band); a pair
+5.  Tiles. Classes meet in tiles of (shingle of the prefix, size band); a pair
     shares a prefix shingle if it links, and its sizes lie in one band or two
     that adjoin. Tiles whose classes are all of one component are dropped.
     In a tile the bit counts of hashed bitmaps bound a pair's overlap from
@@ -22,7 +28,7 @@ the exact number of other rows that it links with.
     each pair of components gets its most promising pair alone; in the second,
     over what is still apart, every pair gets its test. Tiles of more than
     TILE classes are split into pairs of parts.
-5.  Links. No link leaves a component, so all classes of a component meet in
+6.  Links. No link leaves a component, so all classes of a component meet in
     blocks of at most PART classes of one size band (or two that adjoin) and
     are intersected exactly. Only the number of links of a class leaves a block,
     weighted by the rows of the other classes.
@@ -30,8 +36,9 @@ the exact number of other rows that it links with.
 Defined results: a null or empty text (or white space alone) has no shingles and
 links with nothing. A text of fewer than five words is one shingle of all its
 words. Equal texts are linked whatever their doc_ids; repeated rows each give a
-row. A null doc_id is never the smallest of a component with other ids. An empty
-table gives an empty result. Extra columns are ignored.
+row. A null doc_id is never the smallest of a component with other ids. Very long
+texts are hashed alone. An empty table gives an empty result. Extra columns are
+ignored or passed through. Rows are known by doc_id and text, never by their place.
 """
 
 from __future__ import annotations
@@ -44,12 +51,12 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.core.broadcast import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.llm.components import components
-from strandline.llm.frames import chosen as rows_at
-from strandline.llm.frames import at_workers, read, written
+from strandline.llm.frames import UNKNOWN, at_workers, discard, label_of, read, release, rows_of, text_key, written
 from strandline.llm.shingles import shingle_sets
 
 #: Share of a set, beyond the prefix, that is screened as well; it changes what survives, never the links.
@@ -58,8 +65,12 @@ EXTRA = 0.15
 TILE = 2000
 #: Classes in an anchor bucket at most.
 BUCKET = 1000
-#: Rows whose ids and classes may be broadcast (8 bytes each); beyond it a shuffle join is used.
-BROADCAST_ROWS = 1_000_000
+#: Classes in an anchor bucket have about so many shingles at most.
+BUCKET_TOKENS = 4_000_000
+#: Rows whose ids may be broadcast (about 100 bytes each); beyond it a shuffle join is used.
+BROADCAST_ROWS = 100_000
+#: Documents and screened keys that a task packs together at most.
+PACK, PACK_KEYS = 65_536, 8_000_000
 #: Classes of one side of a block in which links are counted, and shingles of all of them, at about the most.
 PART = 1000
 PART_TOKENS = 4_000_000
@@ -78,43 +89,50 @@ def screened(n: np.ndarray, percent: int) -> np.ndarray:
     return np.minimum(n, n - least_overlap(n, percent) + np.maximum(1, np.ceil(n * EXTRA)).astype(np.int64))
 
 
-SCREEN = "shard int, batch long, docs binary, keys binary, uids binary, ids binary, sizes binary, digests binary"
+SCREEN = "shard int, batch long, docs binary, keys binary, labels binary, ids binary, sizes binary, digests binary"
 
 
 def _dealt(shards: int, width: int, percent: int):
-    """Packed keys by shard, and one row with the batch's documents."""
+    """Packed keys by shard, and one row with the documents packed."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, count = TaskContext.get().partitionId() << 33, 0
+        prefixes, sizes, digests, labels, ids, held = [], [], [], [], [], 0
+
+        def packed() -> pa.RecordBatch:
+            keys = np.concatenate(prefixes)
+            docs = np.repeat(np.arange(len(prefixes), dtype=np.uint16), [len(p) for p in prefixes])
+            shard = ((keys >> np.uint64(32)) & np.uint64(0xFFFFFFF)).astype(np.int64) % shards
+            order = np.argsort(shard, kind="stable")
+            ends = np.cumsum(np.bincount(shard, minlength=shards))
+            keys, docs = keys.astype(np.uint32)[order], docs[order]
+            out = {"shard": [], "batch": [], "docs": [], "keys": [], "labels": [], "ids": [], "sizes": [], "digests": []}
+
+            def put(**own: object) -> None:
+                for c in out:
+                    out[c].append(own.get(c))
+
+            put(shard=(part + count) % shards, batch=part + count, labels=np.array(labels, np.int64).tobytes(), ids=b"".join(ids), sizes=np.array(sizes, np.int64).tobytes(), digests=b"".join(digests))
+            for s in np.unique(shard):
+                a, b = (ends[s - 1] if s else 0), ends[s]
+                put(shard=int(s), batch=part + count, docs=docs[a:b].tobytes(), keys=keys[a:b].tobytes())
+            return pa.RecordBatch.from_arrays([pa.array(out[c], t) for c, t in zip(out, (pa.int32(), pa.int64(), *[pa.binary()] * 6))], names=list(out))
+
         for batch in batches:
-            for at in range(0, batch.num_rows, 4096):
-                some = batch.slice(at, 4096)
-                sets = list(shingle_sets(some.column(2), width))
-                sizes = np.array([len(s) for s in sets], np.int64)
-                take = screened(sizes, percent)
-                keys = np.concatenate([s[:k] for s, k in zip(sets, take)])
-                docs = np.repeat(np.arange(len(sets), dtype=np.uint16), take)
-                shard = ((keys >> np.uint64(32)) & np.uint64(0xFFFFF)).astype(np.int64) % shards
-                order = np.argsort(shard, kind="stable")
-                ends = np.cumsum(np.bincount(shard, minlength=shards))
-                keys, docs = keys.astype(np.uint32)[order], docs[order]
-                digests = b"".join(hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets)
-                uids, ids = (some.column(c).to_pandas(integer_object_nulls=False) for c in (0, 1))
-                known = some.column(1).is_valid().to_numpy(zero_copy_only=False)
-                label = np.where(known, ids.fillna(0).to_numpy(np.int64), np.iinfo(np.int64).max)
-                out = {"shard": [], "batch": [], "docs": [], "keys": [], "uids": [], "ids": [], "sizes": [], "digests": []}
-
-                def put(**own: object) -> None:
-                    for c in out:
-                        out[c].append(own.get(c))
-
-                put(shard=(part + count) % shards, batch=part + count, uids=uids.to_numpy(np.int64).tobytes(), ids=label.tobytes(), sizes=sizes.tobytes(), digests=digests)
-                for s in range(shards):
-                    a, b = (ends[s - 1] if s else 0), ends[s]
-                    if b > a:
-                        put(shard=s, batch=part + count, docs=docs[a:b].tobytes(), keys=keys[a:b].tobytes())
-                count += 1
-                yield pa.RecordBatch.from_arrays([pa.array(out[c], t) for c, t in zip(out, (pa.int32(), pa.int64(), *[pa.binary()] * 6))], names=list(out))
+            for label, key, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), shingle_sets(batch.column(2), width)):
+                prefix = own[: int(screened(np.int64(len(own)), percent))]
+                if prefixes and (len(prefixes) == PACK or held + len(prefix) > PACK_KEYS):
+                    yield packed()
+                    count += 1
+                    prefixes, sizes, digests, labels, ids, held = [], [], [], [], [], 0
+                prefixes.append(prefix.copy())
+                sizes.append(len(own))
+                digests.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
+                labels.append(label)
+                ids.append(key)
+                held += len(prefix)
+        if prefixes:
+            yield packed()
 
     return rows
 
@@ -137,20 +155,20 @@ def _answered(pdf: pd.DataFrame) -> pd.DataFrame:
         own = np.frombuffer(blob, np.uint16)
         docs.append(own[shared[at : at + len(own)]].tobytes())
         at += len(own)
-    return pd.concat([blobs.assign(docs=docs, keys=None), pdf[~held]])[["batch", "docs", "uids", "ids", "sizes", "digests"]]
+    return pd.concat([blobs.assign(docs=docs, keys=None), pdf[~held]])[["batch", "docs", "labels", "ids", "sizes", "digests"]]
 
 
 def _judged(percent: int):
     def rows(pdf: pd.DataFrame) -> pd.DataFrame:
-        own = pdf[pdf["uids"].notna()].iloc[0]
+        own = pdf[pdf["labels"].notna()].iloc[0]
         sizes = np.frombuffer(own["sizes"], np.int64)
         docs = np.frombuffer(b"".join(pdf["docs"].dropna()), np.uint16)
         shared = np.bincount(docs, minlength=len(sizes))
-        digests = own["digests"]
+        split = lambda blob: [blob[16 * i : 16 * i + 16] for i in range(len(sizes))]
         return pd.DataFrame(
             {
-                "uid": np.frombuffer(own["uids"], np.int64), "label": np.frombuffer(own["ids"], np.int64), "n": sizes,
-                "digest": [digests[16 * i : 16 * i + 16] for i in range(len(sizes))], "near": (sizes > 0) & (shared >= needed(sizes, percent)),
+                "label": np.frombuffer(own["labels"], np.int64), "key": split(own["ids"]), "n": sizes,
+                "digest": split(own["digests"]), "near": (sizes > 0) & (shared >= needed(sizes, percent)),
             }
         )
 
@@ -158,14 +176,53 @@ def _judged(percent: int):
 
 
 def screen(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """uid, label (doc_id; the largest long if null), n, digest of the set, near (may have a partner) of all rows."""
-    shards = max(32, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    dealt = docs.select("uid", "doc_id", "text").mapInArrow(_dealt(shards, width, percent), SCREEN)
-    answered = dealt.groupBy("shard").applyInPandas(_answered, "batch long, docs binary, uids binary, ids binary, sizes binary, digests binary")
-    judged = answered.groupBy("batch").applyInPandas(_judged(percent), "uid long, label long, n long, digest binary, near boolean")
+    """label, key (which row it is), n, digest of the set, near (may have a partner) of all rows."""
+    # a shard holds the keys of about half a split of the table
+    shards = max(32, 2 * docs.rdd.getNumPartitions())
+    dealt = docs.select("label", "key", "text").mapInArrow(_dealt(shards, width, percent), SCREEN)
+    answered = dealt.groupBy("shard").applyInPandas(_answered, "batch long, docs binary, labels binary, ids binary, sizes binary, digests binary")
+    judged = answered.groupBy("batch").applyInPandas(_judged(percent), "label long, key binary, n long, digest binary, near boolean")
     return written(judged, "screened")
 
 
+#: Counters of the table that orders shingles, as a power of two, at least and at most (one byte each when sent to tasks).
+LEAST_BITS, MOST_BITS = 12, 22
+
+
+def loads(sets: DataFrame) -> np.ndarray:
+    """For each of 2^k hash values, the binary logarithm of how many shingles of all sets fall on it.
+
+    k follows the number of shingles up to MOST_BITS, so a few megabytes at most
+    are gathered and sent out. Any table gives right results; it sets an order.
+    """
+    total = sets.agg(F.coalesce(F.sum("n"), F.lit(0))).head()[0]
+    bits = min(MOST_BITS, max(LEAST_BITS, int(total // 64).bit_length()))
+    part = 1 << (bits - 6)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(1 << bits, np.uint32)
+        for batch in batches:
+            for blob in batch.column(0):
+                np.add.at(table, np.frombuffer(blob.as_buffer(), np.uint64) & np.uint64((1 << bits) - 1), 1)
+        held = np.flatnonzero(table)
+        ends = np.searchsorted(held, np.arange(0, (1 << bits) + 1, part))
+        for k in range(64):
+            own = held[ends[k] : ends[k + 1]]
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([(own - k * part).astype(np.uint32).tobytes()], pa.binary()), pa.array([table[own].tobytes()], pa.binary())], names=["part", "at", "n"])
+
+    def summed(pdf: pd.DataFrame) -> pd.DataFrame:
+        table = np.zeros(part, np.int64)
+        for at, n in zip(pdf["at"], pdf["n"]):
+            table[np.frombuffer(at, np.uint32)] += np.frombuffer(n, np.uint32)
+        return pd.DataFrame({"part": pdf["part"].iloc[:1], "load": [np.ceil(np.log2(table + 1)).astype(np.uint8).tobytes()]})
+
+    found = sets.select("tokens").mapInArrow(counted, "part int, at binary, n binary").groupBy("part").applyInPandas(summed, "part int, load binary").collect()  # 2^MOST_BITS bytes at most
+    out = np.zeros(1 << bits, np.uint8)
+    for r in found:
+        out[r["part"] * part : (r["part"] + 1) * part] = np.frombuffer(r["load"], np.uint8)
+    return out
+
+
 def _sets(width: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -241,17 +298,18 @@ def _bucket(percent: int):
 def anchored(sets: DataFrame, percent: int) -> DataFrame:
     """(node, root): components among classes whose smallest shingle that others have as well is the same.
 
-    Buckets of more than BUCKET classes are dealt into parts; what is left of
+    Buckets of more than BUCKET classes or BUCKET_TOKENS shingles are dealt into parts; what is left of
     them meets again as long as a tenth of it merges. The sets are sent once to
     their bucket, and again only for such buckets.
     """
     roots, left = None, sets.select("node", "anchor", "n", "tokens")
     while True:
-        counts = written(left.groupBy("anchor").agg(F.count("*").alias("m")).where(F.col("m") > (1 if roots is None else BUCKET)), "buckets")
+        parts = F.greatest(F.ceil(F.count("*") / BUCKET), F.ceil(F.sum("n") / BUCKET_TOKENS))
+        counts = written(left.groupBy("anchor").agg(F.count("*").alias("m"), parts.alias("parts")).where("m > 1" if roots is None else "parts > 1"), "buckets")
         rows = counts.agg(F.coalesce(F.sum("m"), F.lit(0))).head()[0]
         if not rows:
             break
-        dealt = left.join(counts, "anchor").withColumn("part", F.pmod(F.xxhash64("node"), F.ceil(F.col("m") / BUCKET)))
+        dealt = left.join(counts, "anchor").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
         found = written(dealt.groupBy("anchor", "part").applyInPandas(_bucket(percent), "node long, root long").where("node <> root"), "anchored")
         again = found.select(F.col("node").alias("root"), F.col("root").alias("top"))
         roots = found if roots is None else written(roots.join(again, "root", "left").select("node", F.coalesce("top", "root").alias("root")).unionByName(found), "roots")
@@ -271,22 +329,28 @@ def _width(band: int, percent: int) -> int:
     return 1 << int(np.ceil(np.log2(max(64, 2 * (100 / percent) ** (band + 1)))))
 
 
-def _postings(percent: int):
-    """A row for every prefix shingle of every class. The prefix is what a linked pair can't miss."""
+def _postings(percent: int, table: Broadcast):
+    """A row for every prefix shingle of every class. The prefix, rare shingles first, is what a linked pair can't miss."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        load = table.value
+        mask = np.uint64(len(load) - 1)
         for batch in batches:
             nodes, sizes = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
             for at in range(0, len(nodes), 512):
-                prefixes = []
+                prefixes, orders = [], []
                 for blob in batch.column(2)[at : at + 512]:
-                    tokens = np.frombuffer(blob.as_buffer(), np.int64)
-                    prefixes.append(tokens[: len(tokens) - int(least_overlap(np.int64(len(tokens)), percent)) + 1])
+                    tokens = np.frombuffer(blob.as_buffer(), np.uint64)
+                    own = load[tokens & mask]
+                    order = np.argsort(own, kind="stable")[: len(tokens) - int(least_overlap(np.int64(len(tokens)), percent)) + 1]  # tokens are sorted by hash
+                    prefixes.append(tokens[order].view(np.int64))
+                    orders.append(own[order].astype(np.int16))
                 some = slice(at, at + len(prefixes))
                 k = [len(p) for p in prefixes]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(prefixes)), pa.array(np.repeat(nodes[some], k)), pa.array(np.repeat(sizes[some], k)), pa.array(np.repeat(_band(sizes[some], percent), k)), pa.array(np.concatenate([np.arange(m, dtype=np.int32) for m in k]))], names=["token", "node", "n", "band", "pos"]
-                )
+                    [pa.array(np.concatenate(prefixes)), pa.array(np.concatenate(orders)), pa.array(np.repeat(nodes[some], k)), pa.array(np.repeat(sizes[some], k)), pa.array(np.repeat(_band(sizes[some], percent), k)), pa.array(np.concatenate([np.arange(m, dtype=np.int32) for m in k]))],
+                    names=["token", "load", "node", "n", "band", "pos"],
+                )
 
     return rows
 
@@ -308,9 +372,12 @@ def _signatures(percent: int):
 
 
 def mixed_only(rows: DataFrame) -> DataFrame:
-    """Postings of shingles that classes of several components have: the others can link nothing new."""
-    shingle = Window.partitionBy("token")
-    return rows.withColumn("low", F.min("comp").over(shingle)).withColumn("high", F.max("comp").over(shingle)).where("low < high").drop("low", "high")
+    """Postings of shingles that classes of several components have: the others can link nothing new.
+
+    Components are compared by a map-side aggregate, so a common shingle costs one row a task.
+    """
+    several = rows.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("token")
+    return rows.join(several, "token", "left_semi")
 
 
 #: From a tile: the pair (a, b) of the highest bound for two components, or a class with all those it may be linked with.
@@ -524,7 +591,8 @@ def link_counts(sets: DataFrame, comps: DataFrame, classes: DataFrame, percent:
     same = each("parts", lambda k: at(root, low, 0, F.least(part, k), F.greatest(part, k), part))
     up = each("parts_after", lambda k: at(root, low, 1, part, k, F.lit(0)))
     down = each("parts_before", lambda k: at(root, low - 1, 1, k, part, F.lit(1)))
-    bundles = max(1, own.where("not large").count() // PART)
+    small = own.where("not large").agg(F.count("*").alias("m"), F.coalesce(F.sum("n"), F.lit(0)).alias("total")).head()
+    bundles = max(1, small["m"] // PART, small["total"] // PART_TOKENS)
     nothing = F.lit(0)
     few = own.where("not large").withColumn("block", at(F.pmod(F.xxhash64("root"), F.lit(bundles)), F.lit(-1), 0, nothing, nothing, nothing))
     dealt = placed.withColumn("block", F.explode(F.concat(same, up, down))).select("node", "root", "rows", "block.*").unionByName(few.select("node", "root", "rows", "block.*"))
@@ -533,45 +601,82 @@ def link_counts(sets: DataFrame, comps: DataFrame, classes: DataFrame, percent:
     return written(found.groupBy("node").agg(F.sum("others").alias("others")), "link-counts")
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text", counted: bool = True) -> DataFrame:
-    """uid, doc_id, n_shingles, component_id, first (its row stays) and, if ``counted``, n_links (other rows it links with) of every row."""
-    at_workers(docs.sparkSession)
-    rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+def grouped(docs: DataFrame, width: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text", counted: bool = True) -> tuple[DataFrame, DataFrame]:
+    """All rows of ``docs`` (label, key, n, digest) and the classes of equal sets (digest, first, root, head, n_links).
+
+    ``first`` is the class's first row (label, key) and ``head`` that of its
+    component; ``n_links`` counts the other rows that a row of the class links
+    with, and is null unless ``counted``.
+    """
+    spark = docs.sparkSession
+    at_workers(spark)
+    text = F.col(text_col).cast("string")
+    rows = docs.select(label_of(F.col(id_col)).alias("label"), text_key(text).alias("key"), text.alias("text"))
     known = screen(rows, width, percent)
-    order = F.struct("label", "uid")
-    classes = written(known.where("n > 0").groupBy("digest").agg(F.min(order).alias("first"), F.min("uid").alias("node"), F.max("near").alias("near"), F.count("*").alias("rows")), "classes")
-    chosen = written(classes.where("near").select(F.col("node").alias("uid")), "chosen")
+    classes = known.where("n > 0").groupBy("digest").agg(F.min(F.struct("label", "key")).alias("first"), F.max("near").alias("near"), F.count("*").alias("rows"))
+    classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "classes")  # numbers that stay, for they are written
+    chosen = classes.where("near").select("first.label", "first.key", "node")
     # the ids of the classes that are left: sent to every task only if they are few, joined by a shuffle otherwise
     few = F.broadcast(chosen) if chosen.count() <= BROADCAST_ROWS else chosen
-    sets = written(rows.select("uid", "text").join(few, "uid").select("uid", "text").mapInArrow(_sets(width), "node long, n long, tokens binary"), "sets")
+    own = rows.join(few, ["label", "key"]).dropDuplicates(["label", "key"]).select("node", "text")
+    sets = written(own.mapInArrow(_sets(width), "node long, n long, tokens binary"), "sets")
+    release(spark)
+    table = spark.sparkContext.broadcast(loads(sets))
+    posted = written(sets.select("node", "n", "tokens").mapInArrow(_postings(percent, table), "token long, load short, node long, n long, band int, pos int"), "postings")
+    table.destroy()
     signatures = sets.select("node", "n", "tokens").mapInArrow(_signatures(percent), "node long, tile_band int, bits binary")
-    kept = sets.select("node", "n", "tokens").mapInArrow(_postings(percent), "token long, node long, n long, band int, pos int")
-    kept = written(mixed_only(kept.withColumn("comp", F.col("node"))).drop("comp"), "kept")
-    comps = anchored(sets.join(kept.groupBy("node").agg(F.min("token").alias("anchor")), "node"), percent)
+    kept = written(mixed_only(posted.withColumn("comp", F.col("node"))).drop("comp"), "kept")
+    discard(posted)
+    anchors = kept.groupBy("node").agg(F.min(F.struct("load", "token"))["token"].alias("anchor"))
+    comps = anchored(sets.join(anchors, "node"), percent)
     for single in (True, False):
         labelled = kept.join(comps, "node", "left").select("token", "node", "n", "band", "pos", F.coalesce("root", "node").alias("comp"))
-        kept = written(mixed_only(labelled), "kept")  # the second round needs no more than what the first one keeps
-        edges = verified(candidates(kept, signatures, percent, single), sets, comps, percent)
-        kept = kept.drop("comp")
+        left = written(mixed_only(labelled), "kept")  # the second round needs no more than what the first one keeps
+        discard(kept)
+        edges = verified(candidates(left, signatures, percent, single), sets, comps, percent)
+        kept = left
         if not edges.isEmpty():
             comps = merged(comps, edges)
-    others = link_counts(sets, comps, classes, percent) if counted else classes.select("node", F.lit(None).cast("long").alias("others")).limit(0)
-    links_of = (F.coalesce("others", F.lit(0)) + F.col("rows") - 1).alias("n_links")
-    rooted = classes.join(comps, "node", "left").join(others, "node", "left").select("digest", "first", F.coalesce("root", "node").alias("root"), links_of)
+        release(spark)
+    others = link_counts(sets, comps, classes, percent) if counted else None
+    links_of = F.lit(None).cast("long") if others is None else F.coalesce("others", F.lit(0)) + F.col("rows") - 1
+    rooted = classes.join(comps, "node", "left")
+    rooted = (rooted if others is None else rooted.join(others, "node", "left")).select("digest", "first", F.coalesce("root", "node").alias("root"), "rows", links_of.alias("n_links"))
     heads = rooted.groupBy("root").agg(F.min("first").alias("head"))
-    placed = rooted.join(heads, "root").select("digest", "head", "n_links")
-    alone = F.struct("label", "uid")
-    label = lambda c: F.when(c != F.lit(2**63 - 1), c)
-    found = known.join(placed, "digest", "left").select(
-        "uid", label(F.col("label")).alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce(F.col("head"), alone).alias("head"), F.coalesce("n_links", F.lit(0)).alias("n_links")
-    ).select("uid", "doc_id", "n_shingles", label(F.col("head.label")).alias("component_id"), (F.col("uid") == F.col("head.uid")).alias("first"), "n_links")
-    return found if counted else found.drop("n_links")
+    found = written(rooted.join(heads, "root"), "components")
+    discard(kept, sets, classes)
+    release(spark)
+    return known, found
+
+
+#: A class of more than one in SHARE rows is sent to all tasks; there are at most SHARE of them.
+SHARE = 10_000
+
+
+def by_row(known: DataFrame, classes: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id, n_links of every row."""
+    large = F.col("rows") * SHARE > known.count()
+    columns = ("digest", "head", "n_links")
+    hot = classes.where(large).select(F.col("digest"), F.col("head").alias("hot_head"), F.col("n_links").alias("hot_links"))  # fewer than SHARE rows
+    told = known.join(F.broadcast(hot), "digest", "left")
+    rest = told.where("hot_head is null").drop("hot_head", "hot_links").join(classes.where(~large).select(*columns), "digest", "left")
+    every = told.where("hot_head is not null").withColumnsRenamed({"hot_head": "head", "hot_links": "n_links"}).unionByName(rest)
+    label = lambda c: F.when(c != UNKNOWN, c)
+    # without shingles there is no class, and the row is its own component
+    return every.select(label(F.col("label")).alias("doc_id"), F.col("n").alias("n_shingles"), label(F.coalesce("head.label", "label")).alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id, n_links (other rows it links with) of every row."""
+    return by_row(*grouped(docs, width, percent, id_col, text_col))
 
 
 def first_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of ``docs``, all columns, for each component of near duplicates."""
-    return rows_at(docs, near_duplicates(docs, id_col=id_col, text_col=text_col, counted=False).where("first"))
+    """One row of ``docs``, all columns, for each component of near duplicates; all rows without words."""
+    heads = grouped(docs, id_col=id_col, text_col=text_col, counted=False)[1].where(F.col("first") == F.col("head")).select("first.label", "first.key")
+    worded = F.coalesce(F.col(text_col).cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    return rows_of(docs.where(worded), heads, id_col, text_col).unionByName(docs.where(~worded))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "n_links")
+    return near_duplicates(read(spark, sf_dir, "documents"))

@@ -216,14 +216,39 @@ def components(rows):
 def test_ngram_join(spark, monkeypatch, tile, bucket):
     monkeypatch.setattr(ngram_join, "TILE", tile)
     monkeypatch.setattr(ngram_join, "BUCKET", bucket)
-    found = ngram_join.near_duplicates(docs_of(spark, ROWS).repartition(3, "n_chars"))
-    rows = found.collect()
-    key = lambda r: (r[0] is None, r)
-    assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in rows), key=str) == sorted(components(ROWS), key=str)
-    kept = [r for r in rows if r["first"]]
-    heads = {(r["component_id"], r["n_shingles"]) if r["doc_id"] is None or r["n_shingles"] == 0 else r["component_id"] for r in rows}
-    assert len(kept) >= len({h for h in heads if not isinstance(h, tuple)})
-    assert key  # ordering of ids with nulls
+    docs = docs_of(spark, ROWS).repartition(3, "n_chars")
+    rows = ngram_join.near_duplicates(docs).collect()
+    wanted = components(ROWS)
+    assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in rows), key=str) == sorted(wanted, key=str)
+    kept = ngram_join.first_rows(docs)
+    assert kept.columns == docs.columns
+    # one row of each component, and every row without words
+    bare = sum(not shingle_set(t) for _, t in ROWS)
+    known = {c for i, n, c in wanted if n and c is not None}
+    assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None and shingle_set(r["text"])) == sorted(known)
+    assert sum(not shingle_set(r["text"]) for r in kept.collect()) == bare
+
+
+def test_rows_are_known_by_what_they_hold(spark, tmp_path):
+    docs_of(spark, ROWS).write.parquet(str(tmp_path / "docs"))
+    found = []
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in ("128m", "4k"):  # other splits number rows otherwise
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        docs = spark.read.parquet(str(tmp_path / "docs"))
+        kept = exact_dedup.first_rows(docs)
+        near = ngram_join.first_rows(docs)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4k" if size == "128m" else "128m")  # between the plan's jobs, as when executors go
+        found.append([sorted(map(str, x.collect())) for x in (kept, near)])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert found[0] == found[1]
+    assert len(found[0][0]) == len({re.sub(r"[\x20\x09-\x0D]+", " ", t or "") for _, t in ROWS})
+
+
+def test_common_shingles_come_last(spark):
+    sets = spark.createDataFrame([(i, 3, np.sort(np.array([7, 100 + i, 5000 + 2 * i], np.uint64)).tobytes()) for i in range(200)], "node long, n long, tokens binary")
+    load = ngram_join.loads(sets)
+    assert len(load) == 1 << ngram_join.LEAST_BITS and load[7] == 8 and load[100:300].max() <= 2
 
 
 @pytest.mark.parametrize("part,tokens", [(1000, 4_000_000), (3, 4_000_000), (1000, 500)])
@@ -249,7 +274,7 @@ def test_ngram_links(spark, monkeypatch, part, tokens):
 def test_ngram_empty(spark):
     assert ngram_join.near_duplicates(docs_of(spark, []).limit(0)).count() == 0
     rows = ngram_join.near_duplicates(docs_of(spark, [(1, None), (2, ""), (3, "lonely")])).collect()
-    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["first"]) for r in rows) == [(1, 0, 1, True), (2, 0, 2, True), (3, 1, 3, True)]
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["n_links"]) for r in rows) == [(1, 0, 1, 0), (2, 0, 2, 0), (3, 1, 3, 0)]
 
 
 def test_screening_keeps_linked_pairs():
@@ -397,10 +422,19 @@ def test_exact_dedup(spark):
 
 def test_snapshot_finds_what_came_before(spark):
     first, second = docs_of(spark, [(1, "a"), (2, "b"), (9, "b")]), docs_of(spark, [(5, "b"), (6, "c"), (7, "c"), (0, "a")])
-    known = exact_dedup.snapshot(exact_dedup.grouped(exact_dedup.digests(first)))
-    found = exact_dedup.absorb(exact_dedup.grouped(exact_dedup.digests(second)), known).collect()
+    known = exact_dedup.snapshot(exact_dedup.grouped(exact_dedup.digests(first), 4))
+    found = exact_dedup.absorb(exact_dedup.grouped(exact_dedup.digests(second), 4), known, first.unionByName(second)).collect()
     sha = {hashlib.sha256(t.encode()).digest(): t for t in "abc"}
-    assert {(sha[bytes(r["sha"])], r["first"]["doc_id"], r["n"]) for r in found} == {("a", 0, 2), ("b", 2, 3), ("c", 6, 2)}
+    assert {(sha[bytes(r["sha"])], r["first"]["label"], r["n"]) for r in found} == {("a", 0, 2), ("b", 2, 3), ("c", 6, 2)}
+
+
+def test_bytes_are_compared(spark):
+    docs = docs_of(spark, [(1, "a b"), (2, "a  b"), (3, "c")])
+    rows = exact_dedup.digests(docs)
+    met = lambda x, y: rows.where(f"label = {x}").selectExpr("sha", "bytes", "struct(label, key) as first").crossJoin(rows.where(f"label = {y}").selectExpr("struct(label, key) as own"))
+    exact_dedup.compared(met(1, 2), docs)
+    with pytest.raises(ValueError, match="SHA-256"):
+        exact_dedup.compared(met(1, 3), docs)
 
 
 # classifiers -----------------------------------------------------------------
