@@ -92,34 +92,60 @@ def relaxed(lengths: np.ndarray, counts: np.ndarray, capacity: int, gap: float =
     return [(float(x[i]), c) for i, c in enumerate(column_of) if c and x[i] > 1e-9]
 
 
-def rounded(counts: dict[int, int], capacity: int, passes: int = 40) -> list[tuple[int, list[int]]]:
-    """Whole multiplicities and lengths of patterns that fill ``capacity`` exactly and never take more than ``counts``.
+def filled(lengths: np.ndarray, amounts: np.ndarray, capacity: int) -> list[tuple[int, dict[int, int]]]:
+    """Patterns one after another, each used as often as its lengths last; ``amounts`` falls accordingly.
 
-    Multiplicities are rounded down; then patterns with the largest fractions
-    are used once more while their lengths last. The program is solved anew over
-    what is left, until what is left is less than a row or no pattern can be used.
+    A length is the cheaper the more of it is left, so plentiful ones are used
+    up together. A pattern that asks for more than there is makes its lengths
+    dearer for the next try.
     """
-    left = {int(length): int(n) for length, n in counts.items() if 0 < length <= capacity and n > 0}
-    out: list[tuple[int, list[int]]] = []
-    for _ in range(passes):
-        lengths = np.array(sorted(length for length, n in left.items() if n), np.int64)
-        if sum(left[int(v)] * int(v) for v in lengths) < capacity:
+    out, dearer, misses = [], np.ones(len(lengths)), 0
+    while misses < 20:
+        open_ = np.flatnonzero(amounts > 0)
+        if amounts[open_] @ lengths[open_] < capacity:
             break
-        amounts = np.array([left[int(v)] for v in lengths], np.int64)
-        found = relaxed(lengths, amounts, capacity)
-        times = []
-        for x, column in found:
-            n = min([int(x + 1e-6), *(int(amounts[i]) // c for i, c in column.items())])
-            for i, c in column.items():
-                amounts[i] -= n * c
-            times.append(n)
-        for j in sorted(range(len(found)), key=lambda j: (times[j] - found[j][0], j)):
-            if all(amounts[i] >= c for i, c in found[j][1].items()):
-                for i, c in found[j][1].items():
-                    amounts[i] -= c
-                times[j] += 1
-        if not sum(times):
+        best, last = knapsack(lengths[open_], dearer[open_] / amounts[open_], capacity)
+        if best[capacity] == np.inf:
             break
-        out += [(n, [int(lengths[i]) for i, c in sorted(column.items(), reverse=True) for _ in range(c)]) for n, (_, column) in zip(times, found) if n]
-        left = {int(v): int(n) for v, n in zip(lengths, amounts)}
+        column: dict[int, int] = {}
+        for i in _items(lengths[open_], last, capacity):
+            column[int(open_[i])] = column.get(int(open_[i]), 0) + 1
+        n = min(int(amounts[i]) // c for i, c in column.items())
+        if not n:
+            misses += 1
+            for i, c in column.items():
+                if c > amounts[i]:
+                    dearer[i] *= 4
+            continue
+        misses = 0
+        for i, c in column.items():
+            amounts[i] -= n * c
+        out.append((n, column))
     return out
+
+
+def rounded(counts: dict[int, int], capacity: int) -> list[tuple[int, list[int]]]:
+    """Whole multiplicities and lengths of patterns that fill ``capacity`` exactly and never take more than ``counts``.
+
+    Multiplicities are rounded down; then patterns with the largest fractions
+    are used once more while their lengths last. What is left is filled by
+    knapsack patterns priced by how much of each length there is.
+    """
+    lengths = np.array(sorted(length for length, n in counts.items() if 0 < length <= capacity and n > 0), np.int64)
+    if not len(lengths):
+        return []
+    left = np.array([counts[int(v)] for v in lengths], np.int64)
+    found = relaxed(lengths, left, capacity)
+    times = []
+    for x, column in found:
+        n = min([int(x + 1e-6), *(int(left[i]) // c for i, c in column.items())])
+        for i, c in column.items():
+            left[i] -= n * c
+        times.append(n)
+    for j in sorted(range(len(found)), key=lambda j: (times[j] - found[j][0], j)):
+        if all(left[i] >= c for i, c in found[j][1].items()):
+            for i, c in found[j][1].items():
+                left[i] -= c
+            times[j] += 1
+    every = [(n, column) for n, (_, column) in zip(times, found) if n] + filled(lengths, left, capacity)
+    return [(n, [int(lengths[i]) for i, c in sorted(column.items(), reverse=True) for _ in range(c)]) for n, column in every]

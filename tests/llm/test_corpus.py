@@ -368,6 +368,14 @@ def test_cutting_stock():
     assert best[11] == 3.5 and best[1] == math.inf and best[0] == 0 and last[1] == -1
 
 
+def test_patterns_place_nearly_all_rests():
+    rnd = np.random.default_rng(5)
+    lengths, n = np.unique(np.minimum(1023, rnd.gamma(2, 180, 10_000).astype(int) + 1), return_counts=True)
+    counts = dict(zip(lengths.tolist(), n.tolist()))
+    placed = sum(times * len(pattern) for times, pattern in cutting_stock.rounded(counts, 1024))
+    assert placed >= 0.95 * sum(counts.values())
+
+
 # sharding, exact dedup -------------------------------------------------------
 
 
