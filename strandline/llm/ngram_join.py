@@ -12,13 +12,13 @@ the exact number of other rows that it links with.
     Documents with too few are proven to have no partner and leave; no text or
     full set has been moved.
 2.  Classes. Documents with equal sets become one class.
-3.  Prefixes. Shingles are put in one order for all sets, rare ones first: by the
-    binary logarithm of the load of a table of counters that the shingle's hash
-    falls into, then by hash. A linked pair can't miss each other in the first
+3.  Prefixes. Shingles are put in one order for all sets: by hash, but very common
+    ones last, by the load of the counter (of a table of bounded size) that the
+    shingle's hash falls on. A linked pair can't miss each other in the first
     quarter of both sets, so shingles that a large part of the corpus has (a
     licence line) hardly ever bring classes together.
-4.  Anchors. Classes that share the first of those of their shingles that occur
-    elsewhere meet in buckets of bounded size and are linked by exact intersections, so that thousands of near copies
+4.  Anchors. Classes that share the smallest hash of those of their prefix shingles that
+    occur elsewhere meet in buckets of bounded size and are linked by exact intersections, so that thousands of near copies
     become a few components at about one comparison each.
 5.  Tiles. Classes meet in tiles of (shingle of the prefix, size band); a pair
     shares a prefix shingle if it links, and its sizes lie in one band or two
@@ -187,10 +187,12 @@ def screen(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
 #: Counters of the table that orders shingles, as a power of two, at least and at most (one byte each when sent to tasks).
 LEAST_BITS, MOST_BITS = 12, 22
+#: Shingles whose counters bear so many times the average load come last; all others are in the order of their hashes.
+HOT = 16
 
 
 def loads(sets: DataFrame) -> np.ndarray:
-    """For each of 2^k hash values, the binary logarithm of how many shingles of all sets fall on it.
+    """For each of 2^k hash values, how many times the load of HOT average ones it bears, as a binary logarithm; 0 for all that bear less.
 
     k follows the number of shingles up to MOST_BITS, so a few megabytes at most
     are gathered and sent out. Any table gives right results; it sets an order.
@@ -198,6 +200,7 @@ def loads(sets: DataFrame) -> np.ndarray:
     total = sets.agg(F.coalesce(F.sum("n"), F.lit(0))).head()[0]
     bits = min(MOST_BITS, max(LEAST_BITS, int(total // 64).bit_length()))
     part = 1 << (bits - 6)
+    common = HOT * max(1.0, total / (1 << bits))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(1 << bits, np.uint32)
@@ -214,7 +217,7 @@ def loads(sets: DataFrame) -> np.ndarray:
         table = np.zeros(part, np.int64)
         for at, n in zip(pdf["at"], pdf["n"]):
             table[np.frombuffer(at, np.uint32)] += np.frombuffer(n, np.uint32)
-        return pd.DataFrame({"part": pdf["part"].iloc[:1], "load": [np.ceil(np.log2(table + 1)).astype(np.uint8).tobytes()]})
+        return pd.DataFrame({"part": pdf["part"].iloc[:1], "load": [np.ceil(np.log2(np.maximum(table / common, 1))).astype(np.uint8).tobytes()]})
 
     found = sets.select("tokens").mapInArrow(counted, "part int, at binary, n binary").groupBy("part").applyInPandas(summed, "part int, load binary").collect()  # 2^MOST_BITS bytes at most
     out = np.zeros(1 << bits, np.uint8)
@@ -330,7 +333,7 @@ def _width(band: int, percent: int) -> int:
 
 
 def _postings(percent: int, table: Broadcast):
-    """A row for every prefix shingle of every class. The prefix, rare shingles first, is what a linked pair can't miss."""
+    """A row for every prefix shingle of every class. The prefix, very common shingles last, is what a linked pair can't miss."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         load = table.value
@@ -401,11 +404,27 @@ def _pairs_of(starts: np.ndarray, ends: np.ndarray, most: int = 1 << 20) -> Iter
         at = stop
 
 
+def once(pairs: np.ndarray, x: int, y: int) -> np.ndarray:
+    """The first column of each run of equal values in rows ``x`` and ``y``."""
+    first = np.ones(pairs.shape[1], bool)
+    first[1:] = (pairs[x, 1:] != pairs[x, :-1]) | (pairs[y, 1:] != pairs[y, :-1])
+    return pairs[:, first]
+
+
+def best_of(pairs: np.ndarray) -> np.ndarray:
+    """Of the pairs (a, b, comp_a, comp_b, bound) of each two components the one of the highest bound."""
+    return once(pairs[:, np.lexsort((pairs[1], pairs[0], -pairs[4], pairs[3], pairs[2]))], 2, 3)
+
+
+#: Pairs that a task holds before it tells the best ones.
+HELD = 1_000_000
+
+
 def _tiles(percent: int, single: bool):
     """Candidate pairs of tiles. Rows come sorted by tile; a tile may go over several batches."""
     key = ["token", "tile_band", "i", "j"]
 
-    def done(frame: pa.Table) -> Iterator[pa.RecordBatch]:
+    def done(frame: pa.Table) -> Iterator[np.ndarray | pa.RecordBatch]:
         own, side, nodes, comps, sizes, pos, band, left, right = (frame.column(c).to_numpy() for c in ("own", "side", "node", "comp", "n", "pos", "tile_band", "i", "j"))
         rest = sizes - pos
         keys = np.stack([frame.column(c).to_numpy().astype(np.int64) for c in key])
@@ -439,21 +458,15 @@ def _tiles(percent: int, single: bool):
                         out.append(np.stack([nodes[a], nodes[b], comps[a], comps[b], bound]))
             if out:
                 pairs = np.concatenate(out, axis=1)
-                pairs = pairs[:, np.lexsort((pairs[1], pairs[0], -pairs[4], pairs[3], pairs[2]))]
-                by = (2, 3) if single else (0, 1)
-                if not single:
-                    pairs = pairs[:, np.lexsort((pairs[1], pairs[0]))]
-                first = np.ones(pairs.shape[1], bool)
-                first[1:] = (pairs[by[0], 1:] != pairs[by[0], :-1]) | (pairs[by[1], 1:] != pairs[by[1], :-1])
-                pairs = pairs[:, first]
+                pairs = best_of(pairs) if single else once(pairs[:, np.lexsort((pairs[1], pairs[0]))], 0, 1)
                 if single:
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in pairs], names=["a", "b", "comp_a", "comp_b", "bound"])
+                    yield pairs
                 else:
                     heads, at = np.unique(pairs[0], return_index=True)
                     lists = pa.ListArray.from_arrays(pa.array([*at, pairs.shape[1]], pa.int32()), pa.array(pairs[1]))
                     yield pa.RecordBatch.from_arrays([pa.array(heads), lists], names=["a", "others"])
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         held: pa.Table | None = None
         for batch in batches:
             frame = pa.Table.from_batches([batch])
@@ -463,12 +476,35 @@ def _tiles(percent: int, single: bool):
             for c in key:
                 values = frame.column(c).to_numpy()
                 last &= values == values[-1]
-            cut = int(last.argmax())
-            held = frame.slice(cut)
-            if cut:
-                yield from done(frame.slice(0, cut))
+            at = int(last.argmax())
+            held = frame.slice(at)
+            if at:
+                yield frame.slice(0, at)
         if held is not None and len(held):
-            yield from done(held)
+            yield held
+
+    def told(pairs: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in pairs], names=["a", "b", "comp_a", "comp_b", "bound"])
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not single:
+            for frame in cut(batches):
+                yield from done(frame)
+            return
+        # tiles of a task tell of the same components again and again
+        some, n = [], 0
+        for frame in cut(batches):
+            for pairs in done(frame):
+                some.append(pairs)
+                n += pairs.shape[1]
+            if n > HELD:
+                some = [best_of(np.concatenate(some, axis=1))]
+                n = some[0].shape[1]
+                if n > HELD // 2:
+                    yield told(some[0])
+                    some, n = [], 0
+        if n:
+            yield told(best_of(np.concatenate(some, axis=1)))
 
     return rows
 
@@ -627,7 +663,7 @@ def grouped(docs: DataFrame, width: int = 5, percent: int = 75, id_col: str = "d
     signatures = sets.select("node", "n", "tokens").mapInArrow(_signatures(percent), "node long, tile_band int, bits binary")
     kept = written(mixed_only(posted.withColumn("comp", F.col("node"))).drop("comp"), "kept")
     discard(posted)
-    anchors = kept.groupBy("node").agg(F.min(F.struct("load", "token"))["token"].alias("anchor"))
+    anchors = kept.groupBy("node").agg(F.min("token").alias("anchor"))  # by hash alone: near copies agree in it most likely
     comps = anchored(sets.join(anchors, "node"), percent)
     for single in (True, False):
         labelled = kept.join(comps, "node", "left").select("token", "node", "n", "band", "pos", F.coalesce("root", "node").alias("comp"))

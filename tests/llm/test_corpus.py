@@ -248,7 +248,7 @@ def test_rows_are_known_by_what_they_hold(spark, tmp_path):
 def test_common_shingles_come_last(spark):
     sets = spark.createDataFrame([(i, 3, np.sort(np.array([7, 100 + i, 5000 + 2 * i], np.uint64)).tobytes()) for i in range(200)], "node long, n long, tokens binary")
     load = ngram_join.loads(sets)
-    assert len(load) == 1 << ngram_join.LEAST_BITS and load[7] == 8 and load[100:300].max() <= 2
+    assert len(load) == 1 << ngram_join.LEAST_BITS and load[7] == 4 and not load[:7].any() and not load[8:].any()
 
 
 @pytest.mark.parametrize("part,tokens", [(1000, 4_000_000), (3, 4_000_000), (1000, 500)])
@@ -370,10 +370,10 @@ def test_cutting_stock():
 
 def test_patterns_place_nearly_all_rests():
     rnd = np.random.default_rng(5)
-    lengths, n = np.unique(np.minimum(1023, rnd.gamma(2, 180, 10_000).astype(int) + 1), return_counts=True)
+    lengths, n = np.unique(rnd.integers(1, 1024, 10_000), return_counts=True)
     counts = dict(zip(lengths.tolist(), n.tolist()))
     placed = sum(times * len(pattern) for times, pattern in cutting_stock.rounded(counts, 1024))
-    assert placed >= 0.95 * sum(counts.values())
+    assert placed >= 0.9 * sum(counts.values())
 
 
 # sharding, exact dedup -------------------------------------------------------
