@@ -3,30 +3,33 @@
 Sun, Song and Liao, "DOM based content extraction via text density", 2011.
 
 A tolerant tokenizer builds the tag tree of the whole page (unclosed and stray
-tags included). Every node counts the characters C and tags T below it and the
-link characters LC and link tags LT among them. Its composite density is
+tags included) in time that is linear in the page. Inline elements belong to
+the block around them. Every block counts the characters C and tags T below it
+and the link characters LC and link tags LT among them. Its composite density is
 
     C / T * log_b(C / LC * T / LT),  b = ln(C / nLC * LC + body.LC / body.C * C + e)
 
-where nLC = C - LC and zeros count as one. Children's densities sum to the
-density sum of their parent. The subtree with the largest sum holds the
-article; the smallest density on the path from it to the body is the threshold.
-Starting at the body, nodes below the threshold are dropped, and of each node
-that reaches it, at any depth, the one with the largest density sum in its
-subtree is kept as content, whole. A departure, which only adds text: content
-inside an article (or else a main) element brings the whole of that element, for
-its title and short paragraphs would fall below the threshold.
+where nLC = C - LC and zeros count as one. The densities of the blocks next below
+add up to the density sum of a block; a block without blocks has its own. The
+subtree with the largest sum holds the article; the smallest density on the path
+from it to the body is the threshold. Starting at the body, blocks below the
+threshold are dropped, and of each block that reaches it, at any depth, the one
+with the largest density sum in its subtree is kept as content, whole.
 
-Nodes that can't hold the article by their very meaning are not counted:
+Blocks that can't hold the article by their very meaning are not counted:
 scripts, styles, forms, menus, headers and footers outside the article, asides,
 and elements whose class, id or role names an advert, notice, menu, sidebar or
-comment list. A class or id counts as a whole ("sidebar", not "has-sidebar"), and
-a node that holds most of the body's text outside links is counted all the same.
+comment list. A class or id counts as a whole ("sidebar", not "has-sidebar"). None
+of this is asked of the subtree with the largest sum, taken over all blocks, and
+of what is around it: there the density decides.
 
 Defined results: a null or empty html gives an empty text. A page without tags
 is one block of text. Character references are decoded (cut ones as far as
 HTML5 does); white space inside a block becomes one space; blocks are joined in
-page order by one line feed. Nothing is capped: memory follows the longest page.
+page order by one line feed. Of equal density sums the block that comes first,
+and outermost, counts. Repeated rows each give a row; extra columns are ignored.
+An empty table gives an empty result. Nothing is capped: memory follows the
+longest page.
 """
 
 from __future__ import annotations
@@ -34,6 +37,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -42,7 +46,11 @@ from pyspark.sql import functions as F
 
 from strandline.llm.frames import at_workers, read
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+#: A tag's attributes up to its end. Nothing is gone back over.
+ATTRIBUTES = re.compile(r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>""")
+NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+#: Tags of a page whose quotes may be left open; after so many, a tag ends at the next >, whatever its quotes.
+OPEN_QUOTES = 32
 ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
 
 # Element names of HTML.
@@ -58,6 +66,8 @@ CLOSED_BY = {
     "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "option": frozenset(["option", "optgroup"]),
     "tr": frozenset(["tr", "tbody", "tfoot"]), "td": frozenset(["td", "th", "tr", "tbody"]), "th": frozenset(["td", "th", "tr", "tbody"]),
 }
+#: What the opening of an element closes.
+CLOSES = {name: frozenset(tag for tag, by in CLOSED_BY.items() if name in by) for name in frozenset().union(*CLOSED_BY.values())}
 #: Elements past which an end tag or an implied end is not looked for.
 SCOPE = frozenset("table td th ul ol dl article section div body html main aside nav header footer form blockquote".split())
 
@@ -70,127 +80,154 @@ ROLES = frozenset("navigation banner contentinfo complementary search dialog ale
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "total", "dropped")
+    __slots__ = ("tag", "parent", "children", "named", "inside", "dropped", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
-    def __init__(self, tag: str, parent: Node | None, dropped: bool = False):
-        self.tag, self.parent, self.dropped = tag, parent, dropped
+    def __init__(self, tag: str, parent: Node | None, named: bool = False):
+        self.tag, self.parent, self.named, self.dropped = tag, parent, named, False
+        self.inside = tag in ("article", "main") or parent is not None and parent.inside
         self.children: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
 
 
-def _in_article(node: Node | None) -> bool:
-    while node is not None:
-        if node.tag in ("article", "main"):
-            return True
-        node = node.parent
-    return False
-
-
 def _boilerplate(tag: str, attributes: str, parent: Node) -> bool:
+    """Whether an element says of itself that it isn't the article."""
     if tag in DROPPED:
         return True
     if tag == "header":  # the article's own header holds its title
-        return not _in_article(parent)
+        return not parent.inside
     if not attributes or tag in ("html", "body", "article", "main"):
         return False
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
-        if name in ("class", "id") and (any(map(BOILERPLATE.fullmatch, value.split())) or not OUTER.isdisjoint(value.lower().split()) and not _in_article(parent)) or name == "role" and value.lower() in ROLES:
+        if name in ("class", "id") and (any(map(BOILERPLATE.fullmatch, value.split())) or not OUTER.isdisjoint(value.lower().split()) and not parent.inside) or name == "role" and value.lower() in ROLES:
             return True
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and re.search(r"display\s*:\s*none", value, re.I):
             return True
     return False
 
 
-def tree(page: str) -> Node:
-    """The tag tree below a root node; text as strings among the children."""
-    root = node = Node("#root", None)
-    at, size = 0, len(page)
-    while at < size:
-        found = TOKEN.search(page, at)
-        text = page[at : found.start()] if found else page[at:]
-        if text:
-            node.children.append(text)
-        if not found:
+def tokens(page: str) -> Iterator[tuple[str, str, str]]:
+    """("text", "", text), ("open", name, attributes), ("close", name, "") and ("raw", name, text) in page order.
+
+    Every step goes on from where the one before ended; what can't be found once
+    is not looked for again.
+    """
+    at, size, quotes = 0, len(page), 0
+    gone: set[str] = set()  # raw elements without a further end tag
+    text_from = 0
+    while True:
+        start = page.find("<", at)
+        if start < 0 or start + 1 >= size:
             break
-        at = found.end()
-        name = found.group(2)
-        if name is None:
+        c = page[start + 1]
+        closing = c == "/"
+        found = NAME.match(page, start + 1 + closing)
+        if c == "!" or c == "?":
+            if text_from < start:
+                yield "text", "", page[text_from:start]
+            mark = "-->" if page.startswith("<!--", start) else "]]>" if page.startswith("<![CDATA[", start) else ">"
+            end = page.find(mark, start + (4 if mark == "-->" else 2))
+            at = text_from = size if end < 0 else end + len(mark)
             continue
-        name = name.lower()
-        if found.group(1):
-            up = node
-            while up is not None and up.tag != name:
-                up = None if up.tag in SCOPE and name not in SCOPE else up.parent
-            if up is not None and up.parent is not None:
-                node = up.parent
-            elif name == "p":
-                node.children.append(Node("br", node))
-            continue
-        if name in RAW:  # up to its own end tag nothing is markup; of these only xmp shows its text
-            end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
-            if name == "xmp":
-                shown = Node(name, node)
-                shown.children.append(html.escape(page[at : end.start() if end else size], quote=False))
-                node.children.append(shown)
-                at = end.end() if end else size
-                continue
-            if not found.group(3).rstrip().endswith("/") or name in ("script", "style"):
-                at = end.end() if end else (size if name in ("script", "style") else at)
+        if not found:
+            at = start + 1
             continue
-        up = node
-        while up.parent is not None and (up.tag not in SCOPE or up.tag in CLOSED_BY):
-            if name in CLOSED_BY.get(up.tag, ()):
-                node = up.parent
-                break
-            if up.tag in ("td", "th"):
-                break
-            up = up.parent
-        own = Node(name, node, _boilerplate(name, found.group(3), node))
-        node.children.append(own)
-        if name not in VOID and not found.group(3).rstrip().endswith("/"):
-            node = own
-    return root
+        whole = ATTRIBUTES.match(page, found.end()) if quotes < OPEN_QUOTES else None
+        if whole is None:
+            quotes += 1
+            end = page.find(">", found.end())
+            if end < 0:
+                break  # no tag ends any more: the rest is text
+            end += 1
+        else:
+            end = whole.end()
+        if text_from < start:
+            yield "text", "", page[text_from:start]
+        at = text_from = end
+        name, attributes = found.group().lower(), page[found.end() : end - 1]
+        if closing:
+            yield "close", name, ""
+        elif name in RAW:  # up to its own end tag nothing is markup
+            own = None if name in gone else re.compile(rf"</{re.escape(name)}\s*+>", re.I).search(page, at)
+            if own is None:
+                gone.add(name)
+            if name in ("script", "style", "xmp") or not attributes.rstrip().endswith("/"):
+                stop = own.start() if own else size if name in ("script", "style", "xmp") else at
+                yield "raw", name, page[at:stop]
+                at = text_from = own.end() if own else stop
+        else:
+            yield "open", name, attributes
+    if text_from < size:
+        yield "text", "", page[text_from:]
 
 
-def _readmit(root: Node) -> None:
-    """Count nodes set aside after all that hold most of the body's text outside links.
+def tree(page: str) -> Node:
+    """The tag tree below a root node; text as strings among the children.
 
-    A single run of text without blocks, such as a footer that is longer than a
-    very short article, stays aside where an article or main element has text.
+    For each element of SCOPE that is open, what is open since is counted by
+    name, so that looking for something to close costs nothing if there is none.
     """
-    body, home, order, stack = None, False, [], [(root, False, False)]
-    while stack:
-        node, aside, inside = stack.pop()
-        order.append(node)
-        aside, inside = aside or node.dropped, inside or node.tag in ("article", "main")
-        if node.tag == "body" and body is None:
-            body = node
-        home = home or inside and not aside and any(isinstance(x, str) and x.strip() for x in node.children)
-        stack += [(x, aside, inside) for x in node.children if not isinstance(x, str) and x.tag != "a"]
-    plain: dict[Node, int] = {}
-    parted: set[Node] = set()
-    for node in reversed(order):
-        plain[node] = sum(len(" ".join(x.split())) if isinstance(x, str) else plain.get(x, 0) for x in node.children)
-        if any(not isinstance(x, str) and (x.tag in BLOCKS or x in parted) for x in node.children):
-            parted.add(node)
-    for node in order:
-        if node.dropped and 2 * plain[node] > plain[body or root] and (node in parted or not home):
-            node.dropped = False
+    root = node = Node("#root", None)
+    since: list[Counter] = [Counter()]  # open elements by name since the root and since every open element of SCOPE
+    scopes: Counter = Counter()
+
+    def leave() -> None:
+        nonlocal node
+        if node.tag in SCOPE:
+            since.pop()
+            scopes[node.tag] -= 1
+        else:
+            since[-1][node.tag] -= 1
+        node = node.parent
 
+    for kind, name, text in tokens(page):
+        if kind == "text":
+            node.children.append(text)
+        elif kind == "raw":
+            if name == "xmp":  # of these only xmp shows its text
+                shown = Node(name, node)
+                shown.children.append(html.escape(text, quote=False))
+                node.children.append(shown)
+        elif kind == "close":
+            if (scopes if name in SCOPE else since[-1])[name]:
+                while node.tag != name:
+                    leave()
+                leave()
+            elif name == "p":
+                node.children.append(Node("br", node))
+        else:
+            closed = [x for x in CLOSES.get(name, ()) if x not in SCOPE and since[-1][x]]
+            if closed:
+                while node.tag not in closed:
+                    leave()
+                leave()
+            elif node.tag in ("td", "th") and name in CLOSED_BY[node.tag]:
+                leave()
+            own = Node(name, node, _boilerplate(name, text, node))
+            node.children.append(own)
+            if name not in VOID and not text.rstrip().endswith("/"):
+                node = own
+                if name in SCOPE:
+                    since.append(Counter())
+                    scopes[name] += 1
+                else:
+                    since[-1][name] += 1
+    return root
 
-def _weigh(root: Node) -> Node:
-    """Fill in counts and densities, children first; returns the body."""
-    order, body = [], root
-    stack = [root]
+
+def _weigh(root: Node) -> tuple[Node, list[Node]]:
+    """Fill in counts, densities and sums; returns the body and its blocks, each before those below it."""
+    order, body, stack = [], None, [root]
     while stack:
         node = stack.pop()
         order.append(node)
-        if node.tag == "body" and body is root:
+        if body is None and node.tag == "body":
             body = node
-        stack += [x for x in node.children if not isinstance(x, str) and not x.dropped]
+        stack += [x for x in reversed(node.children) if not isinstance(x, str) and not x.dropped]
+    body = body or root
     for node in reversed(order):
+        node.chars = node.tags = node.link_chars = node.link_tags = 0
         for x in node.children:
             if isinstance(x, str):
                 node.chars += len(" ".join(x.split()))
@@ -206,61 +243,74 @@ def _weigh(root: Node) -> Node:
         c, t, lc, lt = max(node.chars, 1), max(node.tags, 1), max(node.link_chars, 1), max(node.link_tags, 1)
         base = math.log(c / max(node.chars - node.link_chars, 1) * node.link_chars + ratio * node.chars + math.e)
         node.density = node.chars / t * max(math.log(c / lc * t / lt), 0.0) / base if node.chars else 0.0
-    for node in order:
-        if node.parent is not None:
-            node.parent.total += node.density
-    for node in order:
-        node.total = node.total or node.density
-    return body
+        node.total = 0.0
+    for node in reversed(order):
+        block = node is body or node is root or node.tag in BLOCKS
+        if block and not node.total:
+            node.total = node.density
+        if node.parent is not None:  # an inline element hands on what the blocks in it add up to
+            node.parent.total += node.density if block else node.total
+    inside, stack = [], [body]
+    while stack:
+        node = stack.pop()
+        if node is body or node.tag in BLOCKS:
+            inside.append(node)
+        stack += [x for x in reversed(node.children) if not isinstance(x, str) and not x.dropped]
+    return body, inside
+
+
+def _above(node: Node, body: Node) -> Iterator[Node]:
+    """The node and what is around it, up to the body."""
+    while node is not None:
+        yield node
+        if node is body:
+            return
+        node = node.parent
 
 
-def _home(node: Node) -> Node | None:
-    """The outermost article around a node, or the outermost main element if there is none."""
-    around, up = [], node
-    while up is not None:
-        around.append(up)
+def _around(node: Node) -> Node | None:
+    """The block next around a node."""
+    up = node.parent
+    while up is not None and up.parent is not None and up.tag not in BLOCKS:
         up = up.parent
-    return next((x for name in ("article", "main") for x in reversed(around) if x.tag == name), None)
+    return up
 
 
 def main_nodes(root: Node) -> list[Node]:
     """The content nodes in page order, none below another."""
-    _readmit(root)
-    body = _weigh(root)
+    body, inside = _weigh(root)
+    top = max(inside, key=lambda x: x.total)
+    for node in inside:  # of equal ones that hold nothing else, the innermost
+        if node.total == top.total and _around(node) is top:
+            top = node
+    decided = {*_above(top, root)}
+    stack = [root]
+    while stack:  # what says it isn't the article, unless it holds the densest subtree
+        node = stack.pop()
+        node.dropped = node.named and node not in decided
+        stack += [x for x in node.children if not isinstance(x, str)]
+    body, inside = _weigh(root)
     if not body.chars:
         return []
-    inside, stack = [], [body]
-    while stack:
-        node = stack.pop()
-        inside.append(node)
-        stack += [x for x in reversed(node.children) if not isinstance(x, str) and not x.dropped]
-    # the node of the largest sum in each subtree, the first of equal ones; children come before their parents
-    best: dict[Node, Node] = {}
+    # the block of the largest sum in each subtree, the first of equal ones
+    best = {node: node for node in inside}
     for node in reversed(inside):
-        best[node] = max([node, *(best[x] for x in node.children if x in best)], key=lambda x: x.total)
-    up = best[body]
-    threshold = up.density
-    while up is not body:
-        up = up.parent
-        threshold = min(threshold, up.density)
-    chosen: set[Node] = set()
-    stack = [body]
-    while stack:
-        node = stack.pop()
-        if node.density < threshold or not node.chars:
-            continue
-        top = best[node]
-        while top is not body and top.tag not in BLOCKS:  # an inline element is part of its block
-            top = top.parent
-        chosen.add(_home(top) or top)
-        stack += [x for x in node.children if x in best]
+        up = _around(node)
+        if node is not body and best[node].total >= best[up].total and (best[up] is not up or best[node].total > up.total):
+            best[up] = best[node]
+    threshold = min(x.density for x in _above(best[body], body) if x in best)
+    chosen, low = set(), {}
+    for node in inside:
+        low[node] = node is not body and low[_around(node)] or node.density < threshold or not node.chars
+        if not low[node]:
+            chosen.add(best[node])
     found, stack = [], [body]
     while stack:
         node = stack.pop()
         if node in chosen:
             found.append(node)
         else:
-            stack += [x for x in reversed(node.children) if x in best]
+            stack += [x for x in reversed(node.children) if not isinstance(x, str) and not x.dropped]
     return found
 
 

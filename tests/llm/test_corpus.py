@@ -173,6 +173,73 @@ def test_html_keeps_links_of_the_article():
     assert html_text.extract(f"<body><div>{sources}</div></body>").split("\n") == wanted[-4:]
 
 
+def random_page(rnd, depth=0):
+    if depth == 5 or rnd.random() < 0.25:
+        text = "w" * rnd.randint(1, 9) + " x" * rnd.randint(0, 30)
+        return text if rnd.random() < 0.7 else f"<a href='u'>{text}</a>" if rnd.random() < 0.5 else f"<b>{text}</b>"
+    tag = rnd.choice(["div", "div", "section", "p" if depth == 4 else "div", "i"])
+    return f"<{tag}>{''.join(random_page(rnd, depth + 1) for _ in range(rnd.randint(1, 4)))}</{tag}>"
+
+
+def densest(root):
+    """The content by the definition, everything counted anew for every node."""
+    blocks = ("div", "section", "p", "body")
+    kids = lambda x: [y for y in x.children if not isinstance(y, str)]
+    below = lambda x: [z for y in kids(x) for z in (y, *below(y))]
+    chars = lambda x, link=False: sum(len(" ".join(y.split())) * (not link or x.tag == "a") if isinstance(y, str) else chars(y, link and x.tag != "a") for y in x.children)
+    body = next(x for x in below(root) if x.tag == "body")
+    ratio = chars(body, True) / max(chars(body), 1)
+
+    def density(x):
+        c, lc, tags = chars(x), chars(x, True), below(x)
+        if not c:
+            return 0.0
+        t, lt = max(len(tags), 1), max(sum(y.tag == "a" for y in tags), 1)
+        base = math.log(c / max(c - lc, 1) * lc + ratio * c + math.e)
+        return c / t * max(math.log(c / max(lc, 1) * t / lt), 0.0) / base
+
+    def nexts(x):
+        return [z for y in kids(x) for z in ([y] if y.tag in blocks else nexts(y))]
+
+    total = lambda x: sum(map(density, nexts(x))) or density(x)
+    every = lambda x: [x, *(z for y in nexts(x) for z in every(y))]
+    best = lambda x: max(every(x), key=total)
+    path, up = [], best(body)
+    while up is not body.parent:
+        path += [density(up)] if up.tag in blocks else []
+        up = up.parent
+    chosen = []
+
+    def walk(x):
+        if density(x) >= min(path):
+            chosen.append(best(x))
+            for y in nexts(x):
+                walk(y)
+
+    walk(body)
+    return [x for x in every(body) if x in chosen and not any(z in chosen for y in chosen for z in [y] if x is not y and x in below(y))]
+
+
+def test_html_density_by_definition():
+    rnd = random.Random(12)
+    several = 0
+    for _ in range(60):
+        page = "<html><body>" + "".join(random_page(rnd) for _ in range(rnd.randint(1, 5))) + "</body></html>"
+        wanted = [html_text.blocks(x) for x in densest(html_text.tree(page))]
+        assert [html_text.blocks(x) for x in html_text.main_nodes(html_text.tree(page))] == wanted, page
+        several += len(wanted) > 1
+    assert several > 5
+
+
+@pytest.mark.parametrize("page", ["a <b c " * 60_000, "</b>" * 100_000, "<b><div>" + "<i>" * 40_000 + "</b>" * 40_000, '<a ">" ' * 60_000, "<p>x" * 60_000, "<textarea>" * 40_000, "<a '>" * 80_000, "<!--" * 100_000, "<div class='ad'>" * 20_000])
+def test_html_malformed_pages_take_linear_time(page):
+    import time
+
+    began = time.process_time()
+    html_text.extract(page)
+    assert time.process_time() - began < 8  # a quadratic walk takes minutes
+
+
 def test_html_rows(spark):
     rows = spark.createDataFrame([(1, "u", "<p>é  x</p>", "a"), (1, "u", "<p>é  x</p>", "a"), (None, None, None, None), (2, "v", "", "b")], "page_id long, url string, html string, text string")
     assert sorted(map(tuple, html_text.extract_pages(rows).collect()), key=str) == sorted([(1, "u", "é x", 3), (1, "u", "é x", 3), (None, None, "", 0), (2, "v", "", 0)], key=str)
