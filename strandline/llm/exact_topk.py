@@ -3,20 +3,29 @@
 Weber, Schek and Blott, "A quantitative analysis and performance study for
 similarity-search methods in high-dimensional spaces", 1998.
 
-The file has one row per block of at most BLOCK vectors: ids, one byte a
-component (the cell that the component falls in, of 256 between the block's
-extremes) and the exact integer vectors. A search scans the cells for an upper
-and a lower bound of every score, then reads exact vectors in the order of
-their upper bounds until the k-th best exact score is at least the next upper
-bound. Every query block meets every file block once; each meeting returns at
-most k rows a query, so the merge sees k x (number of blocks) rows a query.
+Two tables are written. The vectors have one row each, with a number that stays.
+The approximation has one row per block of at most BLOCK vectors: their numbers
+and one byte a component (the cell that the component falls in, of 256 between
+the block's extremes); it is a small part of the vectors' size. A search
+
+1.  scans the cells only: every query block meets every approximation block once,
+    and for each query leaves the vectors whose upper bound reaches the k-th
+    largest lower bound, first in a block, then over all blocks;
+2.  reads the exact vectors of each query's FIRST * k highest upper bounds, whose
+    k-th best score is a floor;
+3.  reads those of the others whose upper bound reaches the floor. Then the k-th
+    result is certain.
+
+Of equal vectors in a block only the k + 1 with the smallest ids can be among the
+k best of a query, so the others send no bounds; a vector that a third of all
+rows repeat costs k + 1 rows a block and query.
 
 Defined results: a vector that is null, empty, or holds a null or non-finite
 component takes no part, nor does one whose id is null. Rows with equal ids are
 rows of their own: a query row leaves out only itself. Vectors of different
 length never meet. Equal scores are ranked by the smaller id. With fewer than
-k candidates all are returned. Scores are exact in 64 bits; if a query and a
-block hold components so large that a score might not be, the search raises an
+k candidates all are returned. An empty table gives an empty result. Scores are
+exact; a score, or a component times the scale, that 64 bits can't hold is an
 error. Extra columns are ignored.
 """
 
@@ -33,149 +42,187 @@ from pyspark.sql import functions as F
 
 from strandline.llm.frames import at_workers, read, written
 
-BLOCK = 8192
+BLOCK = 16_384
 QUERY_BLOCK = 2048
 CELLS = 256
+#: Times k: the candidates of a query that are read first.
+FIRST = 2
 
-FILE = pa.schema([("block", pa.int64()), ("dim", pa.int32()), ("n", pa.int32()), ("ids", pa.binary()), ("low", pa.binary()), ("step", pa.binary()), ("cells", pa.binary()), ("exact", pa.binary())])
-QUERIES = pa.schema([("dim", pa.int32()), ("n", pa.int32()), ("uids", pa.binary()), ("ids", pa.binary()), ("exact", pa.binary())])
-HITS = pa.schema([("query_uid", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
-FILE_DDL = "block long, dim int, n int, ids binary, low binary, step binary, cells binary, exact binary"
-QUERIES_DDL = "dim int, n int, uids binary, ids binary, exact binary"
-HITS_DDL = "query_uid long, query_id long, vec_id long, score long"
+VECTORS_DDL = "uid long, vec_id long, dim int, exact binary"
+FILE = pa.schema([("block", pa.int64()), ("dim", pa.int32()), ("n", pa.int32()), ("uids", pa.binary()), ("open", pa.binary()), ("low", pa.binary()), ("step", pa.binary()), ("cells", pa.binary())])
+FILE_DDL = "block long, dim int, n int, uids binary, open binary, low binary, step binary, cells binary"
+QUERIES = pa.schema([("dim", pa.int32()), ("q_uids", pa.binary()), ("q_exact", pa.binary())])
+QUERIES_DDL = "dim int, q_uids binary, q_exact binary"
+BOUNDS_DDL = "query_uid long, uid long, lower double, upper double"
 
 
 def integers(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", scale: float = 1024.0) -> DataFrame:
     """vec_id and floor(scale * x) of every component, of the rows that take part."""
     whole = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    fits = F.forall("v", lambda x: F.abs(F.lit(scale) * x) < F.lit(2.0**63))
+    scaled = F.when(fits, F.transform("v", lambda x: F.floor(F.lit(scale) * x))).otherwise(F.raise_error(F.lit("a scaled component doesn't fit 64 bits")).cast("array<bigint>"))
     return (
         vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("v"))
         .where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0))
         .where(whole)
-        .select("vec_id", F.transform("v", lambda x: F.floor(F.lit(scale) * x)).alias("v"))
+        .select("vec_id", scaled.alias("v"))
     )
 
 
-def narrowed(exact: np.ndarray) -> np.ndarray:
-    """The components in 32 bits if all fit, in 64 otherwise."""
-    return exact.astype(np.int32 if -(1 << 31) <= exact.min() and exact.max() < 1 << 31 else np.int64)
+def _vector_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    at = TaskContext.get().partitionId() << 33
+    for batch in batches:
+        lists, n = batch.column(1), batch.num_rows
+        sizes = np.diff(lists.offsets.to_numpy())
+        ends = np.cumsum(sizes)
+        flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        blobs = [flat[e - s : e].tobytes() for s, e in zip(sizes, ends)]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(at, at + n)), batch.column(0), pa.array(sizes, pa.int32()), pa.array(blobs, pa.binary())], names=["uid", "vec_id", "dim", "exact"])
+        at += n
+
+
+def _open(exact: np.ndarray, ids: np.ndarray, uids: np.ndarray, most: int) -> np.ndarray:
+    """Whether fewer than ``most`` equal vectors of the block have smaller ids."""
+    _, group = np.unique(exact, axis=0, return_inverse=True)
+    order = np.lexsort((uids, ids, group.ravel()))
+    own = group.ravel()[order]
+    first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+    place = np.arange(len(own)) - np.repeat(first, np.diff(np.concatenate([first, [len(own)]])))
+    out = np.empty(len(own), bool)
+    out[order] = place < most
+    return out
+
+
+def _file_rows(k: int):
+    def packed(uids: np.ndarray, ids: np.ndarray, exact: np.ndarray) -> pa.RecordBatch:
+        low, high = exact.min(0).astype(np.float64), exact.max(0).astype(np.float64)
+        step = np.maximum((high - low + 1) / CELLS, 1e-9)
+        cells = np.clip((exact.astype(np.float64) - low) / step, 0, CELLS - 1).astype(np.uint8)
+        row = (int(uids[0]), exact.shape[1], len(uids), uids.tobytes(), _open(exact, ids, uids, k + 1).tobytes(), low.tobytes(), step.tobytes(), cells.tobytes())
+        return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, FILE.types)], schema=FILE)
 
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[tuple]] = {}
+        for batch in batches:
+            for uid, vec_id, dim, blob in zip(*(batch.column(c).to_pylist() for c in range(4))):
+                some = held.setdefault(dim, [])
+                some.append((uid, vec_id, blob))
+                if len(some) == BLOCK:
+                    yield packed(*_columns(held.pop(dim), dim))
+        for dim, some in held.items():
+            yield packed(*_columns(some, dim))
 
-def refuse_inexact(query: np.ndarray, most: np.ndarray) -> None:
-    """An error if a score of ``query`` with components of at most ``most`` might not fit 64 bits."""
-    if np.abs(query.astype(np.float64)) @ most >= 2.0**63 * (1 - 1e-6):
-        raise ValueError("components are too large for scores that are exact in 64 bits")
+    return rows
 
 
-def stored(blob: bytes, n: int, dim: int) -> np.ndarray:
-    return np.frombuffer(blob, np.int32 if len(blob) == 4 * n * dim else np.int64).reshape(n, dim)
+def _columns(some: list[tuple], dim: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    uids, ids, blobs = zip(*some)
+    return np.array(uids, np.int64), np.array(ids, np.int64), np.frombuffer(b"".join(blobs), np.int64).reshape(len(uids), dim)
 
 
-def _file_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    part, count = TaskContext.get().partitionId() << 33, 0
-    for batch in batches:
-        ids = batch.column(0).to_numpy(zero_copy_only=False)
-        sizes = np.diff(batch.column(1).offsets.to_numpy())
-        starts = np.concatenate([[0], np.cumsum(sizes)])
-        flat = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-        for dim in np.unique(sizes):
-            rows = np.flatnonzero(sizes == dim)
-            for at in range(0, len(rows), BLOCK):
-                some = rows[at : at + BLOCK]
-                exact = flat[starts[some][:, None] + np.arange(dim)]
-                low, high = exact.min(0), exact.max(0)
-                step = np.maximum((high.astype(np.float64) - low + 1) / CELLS, 1e-9)
-                cells = np.minimum((exact.astype(np.float64) - low) / step, CELLS - 1).astype(np.uint8)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([x], t) for x, t in zip((part + count, int(dim), len(some), ids[some].astype(np.int64).tobytes(), low.tobytes(), step.tobytes(), cells.tobytes(), narrowed(exact).tobytes()), FILE.types)], schema=FILE
-                )
-                count += len(some)
-
-
-def build(vectors: DataFrame) -> DataFrame:
-    """The approximation file of ``integers(...)`` rows, written to the shared folder. No shuffle."""
+def build(vectors: DataFrame, k: int = 10) -> tuple[DataFrame, DataFrame]:
+    """The vectors of ``integers(...)`` rows and their approximation for searches of up to ``k``, written to the shared folder. No shuffle."""
     at_workers(vectors.sparkSession)
-    return written(vectors.mapInArrow(_file_rows, FILE_DDL), "va-file")
+    exact = written(vectors.mapInArrow(_vector_rows, VECTORS_DDL), "vectors")
+    return exact, written(exact.mapInArrow(_file_rows(k), FILE_DDL), "va-file")
 
 
-def _query_rows(every: int):
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in batch.to_pylist():
-                ids = np.frombuffer(r["ids"], np.int64)
-                own = np.flatnonzero(ids % every == 0)
-                exact = stored(r["exact"], len(ids), r["dim"])
-                for at in range(0, len(own), QUERY_BLOCK):
-                    some = own[at : at + QUERY_BLOCK]
-                    yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((r["dim"], len(some), (r["block"] + some).tobytes(), ids[some].tobytes(), narrowed(exact[some]).tobytes()), QUERIES.types)], schema=QUERIES)
-
-    return rows
+def _query_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: dict[int, list[tuple]] = {}
+    row = lambda dim, some: pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((dim, np.array([u for u, _ in some], np.int64).tobytes(), b"".join(b for _, b in some)), QUERIES.types)], schema=QUERIES)
+    for batch in batches:
+        for uid, dim, blob in zip(*(batch.column(c).to_pylist() for c in range(3))):
+            some = held.setdefault(dim, [])
+            some.append((uid, blob))
+            if len(some) == QUERY_BLOCK:
+                yield row(dim, held.pop(dim))
+    for dim, some in held.items():
+        yield row(dim, some)
 
 
-def best(query: np.ndarray, own: int, ids: np.ndarray, low: np.ndarray, step: np.ndarray, cells: np.ndarray, exact: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and scores of the block's k best for one query, leaving out position ``own`` (-1: none)."""
+def bounds(query: np.ndarray, low: np.ndarray, step: np.ndarray, cells: np.ndarray) -> tuple[np.ndarray, float]:
+    """Upper bounds of a query's scores with a block's vectors, and by how much lower bounds are below them."""
     q = query.astype(np.float64)
     slack = 1e-9 * (np.abs(q) * (np.abs(low) + step * CELLS)).sum() + 1
-    upper = cells @ (q * step) + (q @ low + (np.maximum(q, 0) * step).sum() + slack)
-    if own >= 0:
-        upper[own] = -np.inf
-    width = (np.abs(q) * step).sum() + 2 * slack
-    if len(upper) > k:  # the k-th largest lower bound is a floor for the k-th best score
-        floor = np.partition(upper, -k)[-k] - width
-        near = np.flatnonzero(upper >= floor)
-    else:
-        near = np.flatnonzero(upper > -np.inf)
-    near = near[np.argsort(-upper[near], kind="stable")]
-    wide = query.astype(np.int64)
-    found, scores = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    for at in range(0, len(near), 64):
-        some = near[at : at + 64]
-        if len(found) == k and upper[some[0]] < scores[-1]:
-            break
-        found = np.concatenate([found, some[upper[some] > -np.inf]])
-        scores = exact[found].astype(np.int64) @ wide
-        order = np.lexsort((ids[found], -scores))[:k]
-        found, scores = found[order], scores[order]
-    return found, scores
+    return cells @ (q * step) + (q @ low + (np.maximum(q, 0) * step).sum() + slack), float((np.abs(q) * step).sum() + 2 * slack)
 
 
 def _meet(k: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
-                ids, dim = np.frombuffer(r["ids"], np.int64), r["dim"]
-                low, step = np.frombuffer(r["low"], np.int64).astype(np.float64), np.frombuffer(r["step"], np.float64)
-                cells = np.frombuffer(r["cells"], np.uint8).reshape(-1, dim).astype(np.float64)
-                exact = stored(r["exact"], len(ids), dim)
-                most = np.abs(exact.astype(np.float64)).max(0)
-                uids, query_ids = np.frombuffer(r["q_uids"], np.int64), np.frombuffer(r["q_ids"], np.int64)
+                dim, own = r["dim"], np.frombuffer(r["open"], bool)
+                uids = np.frombuffer(r["uids"], np.int64)[own]
+                low, step = np.frombuffer(r["low"], np.float64), np.frombuffer(r["step"], np.float64)
+                cells = np.frombuffer(r["cells"], np.uint8).reshape(-1, dim)[own].astype(np.float64)
+                query_uids = np.frombuffer(r["q_uids"], np.int64)
                 out = []
-                for uid, query_id, query in zip(uids, query_ids, stored(r["q_exact"], len(uids), dim)):
-                    refuse_inexact(query, most)
-                    own = int(uid - r["block"])
-                    found, scores = best(query, own if 0 <= own < len(ids) else -1, ids, low, step, cells, exact, k)
-                    out.append((np.full(len(found), uid), np.full(len(found), query_id), ids[found], scores))
+                for uid, query in zip(query_uids, np.frombuffer(r["q_exact"], np.int64).reshape(-1, dim)):
+                    upper, width = bounds(query, low, step, cells)
+                    upper[uids == uid] = -np.inf
+                    floor = np.partition(upper, -k)[-k] - width if len(upper) > k else -np.inf
+                    near = np.flatnonzero((upper >= floor) & (upper > -np.inf))
+                    out.append((np.full(len(near), uid), uids[near], upper[near] - width, upper[near]))
                 if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in zip(*out)], schema=HITS)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["query_uid", "uid", "lower", "upper"])
 
     return rows
 
 
-def search(file: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
+def products(x: list[bytes], y: list[bytes]) -> list[int]:
+    """Inner products of pairs of integer vectors, exact whatever their size."""
+    out = []
+    for a, b in zip(x, y):
+        a, b = np.frombuffer(a, np.int64), np.frombuffer(b, np.int64)
+        if np.abs(a.astype(np.float64)) @ np.abs(b.astype(np.float64)) < 2.0**62:
+            out.append(int(a @ b))
+            continue
+        score = sum(p * q for p, q in zip(a.tolist(), b.tolist()))
+        if not -(1 << 63) <= score < 1 << 63:
+            raise ValueError("a score doesn't fit 64 bits")
+        out.append(score)
+    return out
+
+
+def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        scores = products(batch.column(3).to_pylist(), batch.column(4).to_pylist())
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in range(3)), pa.array(scores, pa.int64())], names=["query_uid", "query_id", "vec_id", "score"])
+
+
+def exactly(pairs: DataFrame, exact: DataFrame) -> DataFrame:
+    """query_uid, query_id, vec_id, score of pairs (query_uid, uid)."""
+    ends = pairs.join(exact.select("uid", "vec_id", F.col("exact").alias("y")), "uid").join(exact.select(F.col("uid").alias("query_uid"), F.col("vec_id").alias("query_id"), F.col("exact").alias("x")), "query_uid")
+    return ends.select("query_uid", "query_id", "vec_id", "x", "y").mapInArrow(_scored, "query_uid long, query_id long, vec_id long, score long")
+
+
+def search(exact: DataFrame, file: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
     """The k best of all other rows for every row whose id is divisible by ``every``."""
     n = file.agg(F.coalesce(F.sum("n"), F.lit(0))).head()[0]
     slots = max(1, math.ceil(n / BLOCK))
-    queries = file.select("block", "dim", "ids", "exact").mapInArrow(_query_rows(every), QUERIES_DDL)
+    queries = exact.where(F.col("vec_id") % every == 0).select("uid", "dim", "exact").mapInArrow(_query_rows, QUERIES_DDL)
     # each query block is sent to every slot of file blocks: the stated query set against all rows, in blocks
-    sent = queries.select("dim", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("slot"), *(F.col(c).alias(f"q_{c}") for c in ("uids", "ids", "exact")))
+    sent = queries.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
     met = file.withColumn("slot", F.pmod(F.xxhash64("block"), F.lit(slots)).cast("int")).join(sent, ["slot", "dim"])
-    hits = met.select("block", "dim", "ids", "low", "step", "cells", "exact", "q_uids", "q_ids", "q_exact").mapInArrow(_meet(k), HITS_DDL)
-    ranked = Window.partitionBy("query_uid").orderBy(F.desc("score"), "vec_id")
-    return hits.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    found = met.select("dim", "uids", "open", "low", "step", "cells", "q_uids", "q_exact").mapInArrow(_meet(k), BOUNDS_DDL)
+    # over all blocks a vector must reach the k-th largest lower bound
+    lower = Window.partitionBy("query_uid").orderBy(F.desc("lower"), "uid")
+    of_query = Window.partitionBy("query_uid")
+    floored = found.withColumn("place", F.row_number().over(lower)).withColumn("floor", F.max(F.when(F.col("place") == k, F.col("lower"))).over(of_query))
+    near = written(
+        floored.where("floor is null or upper >= floor").withColumn("turn", F.row_number().over(Window.partitionBy("query_uid").orderBy(F.desc("upper"), "uid"))).select("query_uid", "uid", "upper", "turn"), "candidates"
+    )
+    first = written(exactly(near.where(F.col("turn") <= FIRST * k), exact), "first-scores")
+    by_score = Window.partitionBy("query_uid").orderBy(F.desc("score"), "vec_id")
+    floors = first.withColumn("place", F.row_number().over(by_score)).where(F.col("place") == k).select("query_uid", F.col("score").alias("floor"))
+    # a bound carries a slack of its own, so comparing it with a score as a double loses nothing
+    later = near.where(F.col("turn") > FIRST * k).join(floors, "query_uid").where(F.col("upper") >= F.col("floor").cast("double"))
+    hits = first.unionByName(exactly(later.select("query_uid", "uid"), exact))
+    return hits.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search(build(integers(read(spark, sf_dir, "embeddings"))))
+    return search(*build(integers(read(spark, sf_dir, "embeddings"))))
 
 
 ORACLE = """

@@ -100,7 +100,7 @@ def test_topk(spark, monkeypatch):
     rows = [(i, [float(x) for x in np.round(rnd.normal(size=8), 1)]) for i in range(400)]
     odd = [(100, None), (500, [None] * 8), (600, [float("nan")] * 8), (700, [float("inf")] * 8), (None, [1.0] * 8), (800, []), (900, [1.0, 2.0]), (200, rows[200][1]), (5, rows[5][1])]
     table = spark.createDataFrame([(i, v, 1, "x") for i, v in rows + odd], "vec_id long, embedding array<double>, label int, score string").repartition(3)
-    found = exact_topk.search(exact_topk.build(exact_topk.integers(table))).collect()
+    found = exact_topk.search(*exact_topk.build(exact_topk.integers(table))).collect()
     own = [(i, np.floor(1024 * np.array(v)).astype(int)) for i, v in rows + [(200, rows[200][1]), (5, rows[5][1]), (900, [1.0, 2.0])]]
     expected = []
     for k, (q, v) in enumerate(own):
@@ -108,20 +108,35 @@ def test_topk(spark, monkeypatch):
             scored = sorted((-(int(v @ w)), i) for j, (i, w) in enumerate(own) if j != k and len(w) == len(v))[:10]
             expected += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored)]
     assert sorted(map(tuple, found)) == sorted(expected)
-    assert exact_topk.search(exact_topk.build(exact_topk.integers(table.limit(0)))).count() == 0
+    assert exact_topk.search(*exact_topk.build(exact_topk.integers(table.limit(0)))).count() == 0
 
 
 def test_topk_large_components(spark):
     rows = [(i, [float(i % 7 - 3), 5.0 if i % 100 == 0 else 2.0**21 * (1 + i % 3), -3.0]) for i in range(120)]
-    found = exact_topk.search(exact_topk.build(exact_topk.integers(spark.createDataFrame(rows, "vec_id long, embedding array<double>")))).collect()
+    found = exact_topk.search(*exact_topk.build(exact_topk.integers(spark.createDataFrame(rows, "vec_id long, embedding array<double>")))).collect()
     own = [(i, [math.floor(1024 * x) for x in v]) for i, v in rows]
     wanted = []
     for q in (0, 100):
         scored = sorted((-sum(a * b for a, b in zip(own[q][1], w)), i) for i, w in own if i != q)[:10]
         wanted += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored)]
     assert sorted(map(tuple, found)) == sorted(wanted)
-    with pytest.raises(ValueError, match="too large"):
-        exact_topk.refuse_inexact(np.array([1 << 32, 0]), np.array([2.0**32, 1]))
+    blob = lambda *v: np.array(v, np.int64).tobytes()
+    assert exact_topk.products([blob(1 << 40, -(1 << 40))], [blob(1 << 40, 1 << 40)]) == [0]
+    with pytest.raises(ValueError, match="fit 64 bits"):
+        exact_topk.products([blob(1 << 32, 0)], [blob(1 << 32, 1)])
+
+
+def test_topk_of_copies(spark, monkeypatch):
+    monkeypatch.setattr(exact_topk, "BLOCK", 30)
+    rows = [(i, [1.0, 2.0] if i % 3 else [float(i % 5), 1.0]) for i in range(150)] + [(300, [1.0, 2.0]), (0, [1.0, 2.0])]
+    file = exact_topk.build(exact_topk.integers(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(2)), 4)
+    assert sum(sum(r["open"]) for r in file[1].collect()) < len(rows)
+    wanted = []
+    for k, (q, v) in enumerate(rows):
+        if q % 100 == 0:
+            scored = sorted((-int(1024 * 1024 * np.dot(v, w)), i) for j, (i, w) in enumerate(rows) if j != k)[:4]
+            wanted += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored)]
+    assert sorted(map(tuple, exact_topk.search(*file, 4).collect())) == sorted(wanted)
 
 
 # html ----------------------------------------------------------------------
