@@ -4,19 +4,21 @@ A rule is a host with a path prefix. It fits a url whose host is the rule's
 host or lies below it, and whose path starts with the rule's path. The longest
 fitting rule wins: the longer host, then the longer path.
 
-Method. Every host is written as reversed labels, and every host level that
-some rule names gets its own lane, so that a rule is the interval of all keys
-that start with its (lane, path). Within a lane the intervals nest or are
-disjoint. Each rule carries the stack of the rules that enclose it; urls and
-rules of a lane are sorted together by path, each url takes the stack of the
-last rule at or before it, and pops what does not cover it. What is left on top
-is the longest fit in that lane; the longest lane wins.
+Method. A host is written as its labels from the right, each closed by a dot, so
+what lies below a host starts with its key: a rule's host is the interval of all
+keys that begin with its own, and any two intervals nest or are disjoint. Rules
+and urls are sorted together by key. The sweep keeps, at every rule host, the
+stack of the rules that are open there, its own and those of the hosts around it
+(they depend on the rules alone, so they are made once from the rule table). A
+url takes the stack of the last rule host at or before it, pops what does not
+cover its key or whose path it does not begin with, and the longest that is left
+wins. Every url is one row and is moved once.
 
 Defined results: a null url, or one without ``://``, has an empty host and
 path and gets the default verdict. A url without a path (``http://a.org?x``)
-fits no rule, since every rule's path begins with ``/``. Repeated urls are
-judged once and joined back to each row. Of repeated rules (same host and path)
-the block wins. Null or empty rule hosts are ignored; an empty rule table
+fits no rule, since every rule's path begins with ``/``. Repeated rows each give
+a row. Very long urls are compared as they are. Of repeated rules (same host and
+path) the block wins. Null or empty rule hosts are ignored; an empty rule table
 leaves every url at the default. Extra columns of either input are ignored.
 """
 
@@ -51,63 +53,40 @@ def reversed_host(host: Column) -> Column:
 
 
 def rule_stacks(rules: DataFrame) -> DataFrame:
-    """lane, path and the stack of enclosing rules' paths and verdicts, outermost first, the rule itself last."""
+    """key and the stack of open rules of every rule host: those of the hosts around it first, shorter paths before longer ones."""
+    host = F.translate("host", UPPER, LOWER)
     own = (
         rules.where((F.col("host") != "") & F.col("path").startswith("/"))
-        .select(reversed_host(F.translate("host", UPPER, LOWER)).alias("lane"), "path", F.translate("host", UPPER, LOWER).alias("host"), "verdict")
-        .groupBy("lane", "path", "host")
+        .select(reversed_host(host).alias("key"), "path", host.alias("host"), "verdict")
+        .groupBy("key", "path", "host")
         .agg(F.max("verdict").alias("verdict"))  # block sorts after allow
     )
-    ends = own.select("lane", "path", F.explode(F.sequence(F.lit(1), F.length("path"))).alias("n")).select("lane", "path", F.expr("substring(path, 1, n)").alias("outer_path"))
-    outer = own.select("lane", F.col("path").alias("outer_path"), "host", "verdict")
-    # a rule has at most as many enclosing rules as its path has characters
-    return (
-        ends.join(outer, ["lane", "outer_path"])
-        .groupBy("lane", "path")
-        .agg(F.sort_array(F.collect_list(F.struct(F.length("outer_path").alias("n"), F.col("outer_path").alias("path"), F.concat("host", "outer_path").alias("rule"), "verdict"))).alias("stack"))
-    )
+    rule = F.struct(F.length("host").alias("host_length"), F.length("path").alias("path_length"), F.col("key").alias("key"), "path", F.concat("host", "path").alias("rule"), "verdict")
+    of_host = own.groupBy("key").agg(F.collect_list(rule).alias("rules"))
+    # a host has at most as many hosts around it as it has labels
+    labels = F.split("key", r"\.")
+    around = of_host.select("key", F.explode(F.sequence(F.lit(1), F.size(labels) - 1)).alias("n"), labels.alias("labels")).select("key", F.concat(F.concat_ws(".", F.slice("labels", F.lit(1), F.col("n"))), F.lit(".")).alias("outer"))
+    return around.join(of_host.select(F.col("key").alias("outer"), "rules"), "outer").groupBy("key").agg(F.array_sort(F.flatten(F.collect_list("rules"))).alias("stack"))
 
 
-def filter_urls(urls: DataFrame, rules: DataFrame, url_col: str = "url", salts: int = 32) -> DataFrame:
-    """Distinct (host, path) of ``urls`` with the winning rule and verdict.
+def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: str = "url", default: str = "allow", salts: int | None = None) -> DataFrame:
+    """Every row's id, host, path, winning rule (null if none) and verdict.
 
-    ``salts`` tasks share each lane, so that a host with a third of all urls is
-    swept by many tasks; the rules of the lane are copied to each.
+    Rows are dealt over ``salts`` sweeps (the shuffle partitions, unless given)
+    whatever their host, so a host with a third of all urls is swept by all; the
+    rules are copied to each.
     """
-    pages = urls.select(url_host(F.col(url_col)).alias("host"), url_path(F.col(url_col)).alias("path")).distinct()
+    salts = salts or max(8, int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     stacks = rule_stacks(rules)
-    lanes = stacks.select("lane").distinct()
-    deepest = lanes.agg(F.coalesce(F.max(F.size(F.split("lane", r"\.")) - 1), F.lit(0))).head()[0]  # one number
-    labels = F.split("host", r"\.")
-    own = (
-        pages.where((F.col("host") != "") & F.col("path").startswith("/"))
-        .withColumn("labels", F.reverse(labels))
-        .withColumn("depth", F.explode(F.sequence(F.lit(1), F.least(F.size("labels"), F.lit(max(1, deepest))))))
-        .select("host", "path", F.concat(F.concat_ws(".", F.slice("labels", F.lit(1), F.col("depth"))), F.lit(".")).alias("lane"))
-        .join(lanes, "lane")
-    )
-    salt = F.pmod(F.xxhash64("host", "path"), F.lit(salts)).cast("int")
-    merged = own.select("lane", salt.alias("salt"), "path", F.lit(1).alias("kind"), "host", F.lit(None).cast(stacks.schema["stack"].dataType).alias("stack")).unionByName(
-        stacks.select("lane", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), "path", F.lit(0).alias("kind"), F.lit(None).cast("string").alias("host"), "stack")
-    )
-    sweep = Window.partitionBy("lane", "salt").orderBy("path", "kind").rowsBetween(Window.unboundedPreceding, 0)
-    active = F.last("stack", ignorenulls=True).over(sweep)
-    fits = (
-        merged.withColumn("active", active)
-        .where("kind = 1")
-        .withColumn("top", F.try_element_at(F.filter("active", lambda r: F.col("path").startswith(r["path"])), F.lit(-1)))
-        .where("top is not null")
-        .groupBy("host", "path")
-        .agg(F.max(F.struct(F.length("lane").alias("lane"), F.col("top.rule").alias("rule"), F.col("top.verdict").alias("verdict"))).alias("won"))
-    )
-    return fits.select("host", "path", F.col("won.rule").alias("rule"), F.col("won.verdict").alias("verdict"))
-
-
-def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: str = "url", default: str = "allow", salts: int = 32) -> DataFrame:
-    """Every row's id, host, path, winning rule (null if none) and verdict."""
+    kind = stacks.schema["stack"].dataType
     rows = pages.select(F.col(id_col).alias("page_id"), url_host(F.col(url_col)).alias("host"), url_path(F.col(url_col)).alias("path"))
-    won = filter_urls(pages, rules, url_col, salts)
-    return rows.join(won, ["host", "path"], "left").select("page_id", "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict"))
+    urls = rows.select(F.pmod(F.xxhash64("page_id", "host", "path"), F.lit(salts)).cast("int").alias("salt"), F.when(F.col("host") == "", "").otherwise(reversed_host(F.col("host"))).alias("key"), F.lit(1).alias("kind"), "page_id", "host", "path", F.lit(None).cast(kind).alias("stack"))
+    nothing = [F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in ("page_id", "host", "path")]
+    merged = urls.unionByName(stacks.select(F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), "key", F.lit(0).alias("kind"), *nothing, "stack"))
+    sweep = Window.partitionBy("salt").orderBy("key", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    fits = F.filter("open", lambda r: F.col("key").startswith(r["key"]) & F.col("path").startswith(r["path"]))
+    judged = merged.withColumn("open", F.last("stack", ignorenulls=True).over(sweep)).where("kind = 1").withColumn("top", F.try_element_at(fits, F.lit(-1)))
+    return judged.select("page_id", "host", "path", F.col("top.rule").alias("rule"), F.coalesce("top.verdict", F.lit(default)).alias("verdict"))
 
 
 #: The rules of the query.
