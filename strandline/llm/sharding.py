@@ -12,8 +12,9 @@ Rows get their slots by two-level numbering, so no shard is sorted in one task.
 
 Defined results: a null text counts as empty; it and an empty text are equal
 and weigh ``overhead`` bytes. Repeated rows each get a slot. Null doc_ids are
-placed like any row. An empty table gives an empty result. Extra columns are
-ignored.
+placed like any row. Equal items are taken in the order of their hashes. Very
+long texts are hashed as they are. An empty table gives an empty result. Extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,10 +25,12 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.frames import numbered, read
+from strandline.llm.frames import numbered, read, written
 
 BUNDLES = 8192
 HEAVY = 4096
+#: A text of more than one in SHARE rows is sent to all tasks; there are at most SHARE of them.
+SHARE = 10_000
 
 
 def differencing(weights: np.ndarray, shards: int) -> np.ndarray:
@@ -68,15 +71,22 @@ def shard(docs: DataFrame, shards: int = 40, overhead: int = 16, id_col: str = "
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.md5(text).alias("text_md5"), (F.octet_length(text) + overhead).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
-    groups = rows.groupBy("text_md5").agg(F.sum("size").alias("bytes"))
-    total = groups.agg(F.sum("bytes")).head()[0] or 0
+    rows = written(rows, "sizes")  # texts are read once
+    groups = written(rows.groupBy("text_md5").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")), "equal-texts")
+    sums = groups.agg(F.sum("bytes").alias("bytes"), F.sum("n").alias("n")).head()
+    total, n = sums["bytes"] or 0, sums["n"] or 0
     bundle = F.when(F.col("bytes") * HEAVY > total, F.col("text_md5")).otherwise(F.concat(F.lit("bundle"), F.pmod(F.xxhash64("text_md5"), F.lit(BUNDLES)).cast("string")))
     items = groups.withColumn("item", bundle).groupBy("item").agg(F.sum("bytes").alias("bytes")).collect()  # at most BUNDLES + HEAVY rows
     items.sort(key=lambda r: (-r["bytes"], r["item"]))
     placed = differencing(np.array([r["bytes"] for r in items]), shards)
     plan = spark.createDataFrame([(r["item"], int(s)) for r, s in zip(items, placed)], "item string, shard int")
-    of_group = groups.withColumn("item", bundle).join(F.broadcast(plan), "item").select("text_md5", "shard")
-    out = numbered(rows.join(of_group, "text_md5").drop("text_md5"), "shard", ["doc_id", "text_crc32"], "slot")
+    of_group = groups.withColumn("item", bundle).join(F.broadcast(plan), "item")
+    # texts that more than one row in SHARE has, fewer than SHARE of them, meet their rows by a broadcast
+    large = F.col("n") * SHARE > n
+    told = rows.join(F.broadcast(of_group.where(large).select("text_md5", F.col("shard").alias("hot"))), "text_md5", "left")
+    rest = told.where("hot is null").drop("hot").join(of_group.where(~large).select("text_md5", "shard"), "text_md5")
+    placed = written(told.where("hot is not null").withColumnRenamed("hot", "shard").unionByName(rest).drop("text_md5"), "placed")
+    out = numbered(placed, "shard", ["doc_id", "text_crc32"], "slot")
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
