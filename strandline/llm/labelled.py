@@ -32,7 +32,7 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, features: Callable[[p
     lang = F.lit("") if lang_col is None or lang_col not in docs.columns else F.coalesce(F.col(lang_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("sample_id"), lang.alias("lang"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     # at most 2 x per_class ids are sent to every task
-    own = rows.join(F.broadcast(few), "sample_id").dropDuplicates(["sample_id"]).select("sample_id", "sample_label", "lang", "text")
+    own = rows.join(F.broadcast(few), "sample_id").groupBy("sample_id").agg(F.min(F.struct("text", "lang", "sample_label")).alias("own")).select("sample_id", "own.sample_label", "own.lang", "own.text")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -14,8 +14,10 @@ examples use the common threshold of 0.5.
 
 Defined results: a null or empty text is scored like a text without words.
 Without labels of both classes every score is the share of label 1 (0 without
-labels). Extra columns are ignored or passed through. Texts are scored in
-slices; memory follows the longest text.
+labels). Of rows with one labelled doc_id the smallest text is learnt from; of an id
+that is labelled both ways, label 1. An empty table gives an empty result. Equal
+texts have equal scores. Extra columns are ignored or passed through. Texts are
+scored in slices; memory follows the longest text.
 """
 
 from __future__ import annotations
@@ -249,11 +251,12 @@ def scorer(spark: SparkSession, model: Model):
     return score
 
 
-def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, held_out, score, predicted of every row."""
+def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """doc_id, held_out, score, predicted, rejected (the score reaches the threshold of the row's language) of every row."""
     score = scorer(docs.sparkSession, model)
-    rows = docs.select(F.col(id_col).alias("doc_id"), score(F.col(text_col).cast("string")).alias("score"))
-    return rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("")) if lang_col in docs.columns else F.lit("")
+    rows = docs.select(F.col(id_col).alias("doc_id"), lang.alias("lang"), score(F.col(text_col).cast("string")).alias("score"))
+    return rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), (F.col("score") >= threshold(model, F.col("lang"))).alias("rejected"))
 
 
 def threshold(model: Model, lang: Column) -> Column:
