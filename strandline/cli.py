@@ -72,7 +72,7 @@ def differ(spark: SparkSession, a: argparse.Namespace) -> int:
         other = readers.vcf(spark, path, a.info_key)
         one = compare.comparison(base, other, a.max_score_difference).withColumn("candidate", F.lit(path))
         reports = one if reports is None else reports.unionByName(one)
-        if a.details_dir:
+        if a.details_dir and base.count() == other.count():  # rows of unequal files don't pair
             writers.write_details(compare.record_differences(base, other), str(Path(a.details_dir) / Path(path).name))
     rows = reports.collect()
     for r in rows:
@@ -101,6 +101,7 @@ def sample(spark: SparkSession, a: argparse.Namespace) -> int:
     order = [h.split("ID=")[1].split(",")[0].rstrip(">") for h in header if h.startswith("##contig=<ID=")]
     placed = full.withColumn("place", F.array_position(F.array(*map(F.lit, order)).cast("array<string>"), F.col("chrom")))
     writers.write_sample(placed, ["place", "pos", "ref", "alt"], a.output, header, a.info_key)
+    print(" ".join(f"{k}={v}" for k, v in full.agg(F.count("*").alias("records"), F.countDistinct("chrom").alias("contigs")).head().asDict().items()))
     return 0
 
 

@@ -78,11 +78,19 @@ def entry_differences(baseline: DataFrame, candidate: DataFrame) -> DataFrame:
 
 
 def local_index(records: DataFrame) -> DataFrame:
-    """(key, entry) of every alternative of every record, entries of ten fields that are about it."""
+    """(variant, gene, entry) of every alternative of every record, entries of ten fields that are about it.
+
+    With ``line_no``, a later record of a variant takes the place of an earlier
+    one, genes and all, and of a gene's entries in a record the last stays.
+    """
     from strandline.functions.alleles import entries
 
-    spread = records.withColumn("one", F.explode(F.split("alt", ",")))
-    return spread.select(variant_key(F.col("chrom"), F.col("pos"), F.col("ref"), F.col("one")).alias("variant"), "one", F.explode(entries(F.col("annotation"))).alias("entry")).where(F.col("entry")[0] == F.col("one")).select("variant", F.col("entry")[1].alias("gene"), "entry")
+    spread = records.withColumn("one", F.explode(F.split("alt", ","))).withColumn("variant", variant_key(F.col("chrom"), F.col("pos"), F.col("ref"), F.col("one")))
+    ordered = "line_no" in records.columns
+    if ordered:
+        spread = spread.groupBy("variant").agg(F.max_by(F.struct("one", "annotation"), "line_no").alias("r")).select("variant", "r.*")
+    told = spread.select("variant", "one", F.posexplode(entries(F.col("annotation"))).alias("place", "entry")).where(F.col("entry")[0] == F.col("one")).select("variant", F.col("entry")[1].alias("gene"), "place", "entry")
+    return told.groupBy("variant", "gene").agg(F.max_by("entry", "place").alias("entry")) if ordered else told.drop("place")
 
 
 def outside_check(manifest: DataFrame, local: DataFrame, responses: DataFrame, distance: int = 500, mask: int = 1, priority: str = "MS", build: str = "38") -> DataFrame:

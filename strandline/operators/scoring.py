@@ -13,7 +13,7 @@ from typing import Protocol
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.functions import alleles, scores
@@ -100,9 +100,11 @@ def windows(points: DataFrame, blocks: DataFrame, half: int, block_size: int) ->
     spots = points.select("contig", "pos").distinct()
     first = F.col("pos") - 1 - half
     spread = spots.where(first >= 0).withColumn("block", F.explode(F.sequence(F.floor(first / block_size), F.floor((F.col("pos") - 1 + half) / block_size))))
-    parts = spread.join(blocks, ["contig", "block"]).groupBy("contig", "pos").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "sequence"))), lambda x: x["sequence"]), "").alias("bases"))
-    skip = first - F.floor(first / block_size) * block_size
-    cut = parts.select("contig", "pos", F.substring("bases", (skip + 1).cast("int"), F.lit(2 * half + 1)).alias("window"))
+    # each block is cut to what the window needs of it before anything is gathered
+    low = F.greatest(first - F.col("block") * block_size, F.lit(0))
+    high = F.least(first + 2 * half + 1 - F.col("block") * block_size, F.lit(block_size))
+    pieces = spread.join(blocks.select("contig", "block", "sequence"), ["contig", "block"]).select("contig", "pos", "block", F.substring("sequence", (low + 1).cast("int"), (high - low).cast("int")).alias("piece"))
+    cut = pieces.groupBy("contig", "pos").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "piece"))), lambda x: x["piece"]), "").alias("window"))
     return spots.join(cut, ["contig", "pos"], "left").select("contig", "pos", F.when(first >= 0, F.coalesce("window", F.lit(""))).alias("window"))
 
 
@@ -158,5 +160,5 @@ def annotate(records: DataFrame, transcripts: DataFrame, blocks: DataFrame, load
 
 
 def numbered_transcripts(annotations: DataFrame) -> DataFrame:
-    """Annotations with ``transcript``: their number in (contig, start, stop, name) order; annotation tables are small."""
-    return annotations.withColumn("transcript", F.row_number().over(Window.orderBy("contig", "start", "stop", "name")).cast("long")).withColumnRenamed("name", "gene")
+    """Annotations with ``transcript``: their line in the file, which orders a record's entries."""
+    return annotations.withColumnsRenamed({"line_no": "transcript", "name": "gene"})

@@ -28,14 +28,16 @@ def converted(gtf: DataFrame, tag: str = "MANE_Select", include_nonprimary: bool
     """name, contig, strand, start, stop, exon_starts, exon_stops of the tagged transcripts of GTF rows.
 
     1-based closed coordinates become 0-based half-open ones; contigs lose their
-    ``chr``; only transcripts need the tag.
+    ``chr``; only transcripts need the tag. A tagged transcript without a gene_name
+    is an error.
     """
     one = lambda key: F.get(alleles.attribute_values(F.col("attributes"), key), F.lit(0))
     rows = gtf.select("line_no", "feature", alleles.plain_contig(F.col("contig")).alias("contig"), "strand", (F.col("start") - 1).alias("start"), "stop", "attributes", one("transcript_id").alias("transcript_id"), one("gene_name").alias("gene_name"))
     if not include_nonprimary:
         rows = rows.where(alleles.is_primary(F.col("contig")))
+    named = F.when(F.col("gene_name").isNull(), F.raise_error(F.concat(F.lit("transcript without a gene_name: "), F.coalesce("transcript_id", F.lit("?")))).cast("string")).otherwise(F.col("gene_name"))
     tagged = rows.where((F.col("feature") == "transcript") & F.array_contains(alleles.attribute_values(F.col("attributes"), "tag"), tag))
-    built = assemble(tagged.select("transcript_id", "line_no", F.coalesce("gene_name", "transcript_id").alias("name"), "contig", "strand", "start", "stop"), rows.where("feature = 'exon'").select("transcript_id", "start", "stop"), ["line_no"])
+    built = assemble(tagged.select("transcript_id", "line_no", named.alias("name"), "contig", "strand", "start", "stop"), rows.where("feature = 'exon'").select("transcript_id", "start", "stop"), ["line_no"])
     return built.select("name", "contig", "strand", "start", "stop", "exon_starts", "exon_stops")
 
 

@@ -34,7 +34,7 @@ def anchors(sequences: DataFrame) -> DataFrame:
 
 def substitutions(found: DataFrame) -> DataFrame:
     """contig, pos, ord, ref, alt: the three other bases in alphabetical order."""
-    other = F.filter(F.array(*map(F.lit, BASES)), lambda b: b != F.col("anchor"))
+    other = F.coalesce(*(F.when(F.col("anchor") == b, F.array(*(F.lit(x) for x in BASES if x != b))) for b in BASES))
     return found.select("contig", "pos", F.col("anchor").alias("ref"), F.posexplode(other).alias("ord", "alt")).select("contig", "pos", "ord", "ref", "alt")
 
 
@@ -45,7 +45,7 @@ def insertions(found: DataFrame) -> DataFrame:
 
 def deletions(found: DataFrame) -> DataFrame:
     """contig, pos, ord, ref, alt: one to four bases after the anchor taken out, where all of them are known."""
-    spelt = found.withColumn("known", F.length(F.regexp_extract("after", "^[ACGT]*", 0)))
+    spelt = found.withColumn("known", F.length("after") - F.length(F.expr("trim(LEADING 'A' FROM translate(after, 'CGT', 'AAA'))")))
     return (
         spelt.where("known > 0")
         .withColumn("k", F.explode(F.sequence(F.lit(1), F.col("known"))))

@@ -135,8 +135,8 @@ def generate(spark: SparkSession, plan_path: str, number: int, out_dir: str, ref
         file_sha256(reference, metadata["reference_sha256"], "reference")
     folder = Path(out_dir)
     target, marker = folder / f"{row['shard_id']}.vcf.gz", folder / f"{row['shard_id']}.complete.json"
-    plan_sha256 = file_sha256(plan_path)
-    if (done := completed(marker, target, plan_sha256)) is not None:
+    source = provenance(plan_path, metadata)
+    if (done := completed(marker, target, source)) is not None:
         return done
     blocks = readers.fasta(spark, reference)
     records = universe_records(rows.where(F.col("shard_id") == row["shard_id"]), blocks, row["kind"])
@@ -144,16 +144,21 @@ def generate(spark: SparkSession, plan_path: str, number: int, out_dir: str, ref
     contigs = list(dict.fromkeys((r["contig"], lengths[r["reference"]]) for r in row["regions"]))
     lines = records.select("pos", "ord", F.concat_ws("\t", "contig", F.col("pos").cast("string"), F.lit("."), "ref", "alt", F.lit("."), F.lit("."), F.lit(".")).alias("line"))
     digest = writers.write_lines(lines, ["pos", "ord"], str(target), writers.universe_header(metadata, row["kind"], DEFINITIONS[row["kind"]], contigs))
-    told = {"format_version": 1, "shard_id": row["shard_id"], "kind": row["kind"], "records": records.count(), "output": str(target), "output_sha256": digest, "plan_sha256": plan_sha256}
+    told = {"format_version": 1, "shard_id": row["shard_id"], "kind": row["kind"], "records": records.count(), "output": str(target), "output_sha256": digest, **source}
     writers.atomically(str(marker), [json.dumps(told, sort_keys=True).encode()])
     return told
 
 
-def completed(marker: Path, target: Path, plan_sha256: str) -> dict[str, object] | None:
-    """What a marker says, if it belongs to this plan and to this very file."""
+def provenance(plan_path: str, metadata: dict[str, str]) -> dict[str, str]:
+    """Digests of what a shard is made from: the plan, the code that enumerates, the reference and the annotation."""
+    return {"plan_sha256": file_sha256(plan_path), "generator_sha256": file_sha256(universe.__file__), **{k: metadata.get(k, "") for k in ("reference_sha256", "annotation_sha256")}}
+
+
+def completed(marker: Path, target: Path, source: dict[str, str]) -> dict[str, object] | None:
+    """What a marker says, if it belongs to these very inputs and to this very file."""
     try:
         told = json.loads(marker.read_text())
-        if told["plan_sha256"] == plan_sha256 and file_sha256(str(target)) == told["output_sha256"]:
+        if all(told[k] == v for k, v in source.items()) and file_sha256(str(target)) == told["output_sha256"]:
             return told
     except (OSError, ValueError, KeyError):
         return None
@@ -168,11 +173,15 @@ def manifest(planned: DataFrame, markers: DataFrame) -> DataFrame:
 
 def finalize(spark: SparkSession, plan_path: str, in_dir: str, path: str, verify: bool = False) -> dict[str, int]:
     """The scoring manifest of a plan whose shards are all complete; nothing is written otherwise."""
-    _, rows = read_plan(spark, plan_path)
-    schema = "format_version int, shard_id string, kind string, records long, output string, output_sha256 string, plan_sha256 string"
-    markers = spark.read.schema(schema).json(f"{in_dir}/*.complete.json").where(F.col("plan_sha256") == file_sha256(plan_path))
+    metadata, rows = read_plan(spark, plan_path)
+    source = provenance(plan_path, metadata)
+    schema = "format_version int, shard_id string, kind string, records long, output string, output_sha256 string, " + ", ".join(f"{k} string" for k in source)
+    markers = spark.read.schema(schema).json(f"{in_dir}/*.complete.json")
+    for k, v in source.items():  # a shard made from anything else isn't complete
+        markers = markers.where(F.col(k) == v)
     told = manifest(rows, markers)
     missing = [r["shard_id"] for r in told.where("not complete").orderBy("shard_id").limit(5).collect()]
+    missing += [r["shard_id"] for r in told.where("complete").select("shard_id", "output").toLocalIterator() if not Path(r["output"]).is_file()][:5]
     if missing:
         raise ValueError(f"incomplete shards: {', '.join(missing)}")
     if verify:

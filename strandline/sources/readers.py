@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,19 +49,42 @@ def vcf_header(spark: SparkSession, path: str) -> DataFrame:
     return numbered_lines(spark, path).where(F.col("value").startswith("#")).select("line_no", "value")
 
 
-def fasta(spark: SparkSession, path: str, block_size: int = 1 << 16) -> DataFrame:
-    """(contig, ordinal, block, start, sequence): upper-case blocks of ``block_size`` bases, contigs in file order."""
+#: Lines of a sequence file that are put in order together.
+CHUNK = 1 << 14
+
 
-    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for content in frame["content"]:
-                for ordinal, record in enumerate(bytes(content).decode("ascii").split(">")[1:]):
-                    name, _, body = record.partition("\n")
-                    bases = body.replace("\n", "").replace("\r", "").upper()
-                    starts = range(0, max(len(bases), 1), block_size)
-                    yield pd.DataFrame({"contig": name.split()[0], "ordinal": ordinal, "block": range(len(starts)), "start": list(starts), "sequence": [bases[s : s + block_size] for s in starts]})
+def fasta(spark: SparkSession, path: str, block_size: int = 1 << 16) -> DataFrame:
+    """(contig, ordinal, block, start, sequence): upper-case blocks of ``block_size`` bases, contigs in file order.
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(cut, "contig string, ordinal int, block long, start long, sequence string")
+    The file is read as lines, so it is split like any text. A line's place in
+    its contig is the bases before it in its chunk of lines and those of the
+    chunks before, back to the contig's name line.
+    """
+    lines = numbered_lines(spark, path).withColumn("chunk", F.floor((F.col("line_no") - 1) / CHUNK)).withColumn("bases", F.upper(F.regexp_replace("value", r"\s", "")))
+    named = F.col("value").startswith(">")
+    inside = Window.partitionBy("path", "chunk").orderBy("line_no")
+    marked = lines.withColumn("size", F.when(named, F.lit(0)).otherwise(F.length("bases")).cast("long")).withColumn("own", F.last(F.when(named, F.col("line_no")), True).over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+    since = Window.partitionBy("path", "chunk", "own").orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
+    placed = marked.withColumn("at", F.coalesce(F.sum("size").over(since), F.lit(0)))
+    # a row for each chunk: the last name line in it, and the bases after that (or all)
+    chunks = marked.groupBy("path", "chunk").agg(F.max("own").alias("last"), F.sum("size").alias("every"))
+    tails = marked.groupBy("path", "chunk", "own").agg(F.sum("size").alias("tail"))
+    chunks = chunks.select("path", "chunk", "last", "every").join(tails.select("path", "chunk", F.col("own").alias("last"), "tail"), ["path", "chunk", "last"], "left").withColumn("tail", F.coalesce("tail", "every"))
+    along = Window.partitionBy("path").orderBy("chunk")
+    chunks = chunks.withColumn("part", F.count("last").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+    before = chunks.withColumn("upto", F.sum("tail").over(Window.partitionBy("path", "part").orderBy("chunk").rowsBetween(Window.unboundedPreceding, 0))).select(
+        "path", "chunk", F.last("last", True).over(along.rowsBetween(Window.unboundedPreceding, -1)).alias("earlier"), F.lag("upto").over(along).alias("carried")
+    )
+    known = placed.join(before, ["path", "chunk"])
+    own = known.where(~named & (F.col("size") > 0)).select("path", F.coalesce("own", "earlier").alias("head"), F.when(F.col("own").isNull(), F.col("at") + F.coalesce("carried", F.lit(0))).otherwise(F.col("at")).alias("at"), "size", "bases").where("head is not null")
+    spread = own.withColumn("block", F.explode(F.sequence(F.floor(F.col("at") / block_size), F.floor((F.col("at") + F.col("size") - 1) / block_size))))
+    low = F.greatest(F.col("block") * block_size - F.col("at"), F.lit(0))
+    high = F.least((F.col("block") + 1) * block_size - F.col("at"), F.col("size"))
+    pieces = spread.select("path", "head", "block", "at", F.substring("bases", (low + 1).cast("int"), (high - low).cast("int")).alias("piece"))
+    blocks = pieces.groupBy("path", "head", "block").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "piece"))), lambda x: x["piece"]), "").alias("sequence"))
+    # one row for each contig
+    heads = lines.where(named).select("path", F.col("line_no").alias("head"), F.regexp_extract("value", r"^>\s*(\S+)", 1).alias("contig"), (F.row_number().over(Window.partitionBy("path").orderBy("line_no")) - 1).alias("ordinal"))
+    return heads.join(blocks, ["path", "head"], "left").select("contig", "ordinal", F.coalesce("block", F.lit(0)).cast("long").alias("block"), (F.coalesce("block", F.lit(0)) * block_size).cast("long").alias("start"), F.coalesce("sequence", F.lit("")).alias("sequence"))
 
 
 def contigs(blocks: DataFrame) -> DataFrame:
@@ -89,7 +109,7 @@ def _positions(text: Column) -> Column:
 
 
 def annotations(spark: SparkSession, path: str) -> DataFrame:
-    """name, contig, strand, start, stop, exon_starts, exon_stops of a seven-column annotation table.
+    """name, contig, strand, start, stop, exon_starts, exon_stops, line_no of a seven-column annotation table.
 
     Rows that don't have seven columns, whole coordinates and 0 <= start < stop
     are errors that name file and line; so is a table without rows.
@@ -104,7 +124,7 @@ def annotations(spark: SparkSession, path: str) -> DataFrame:
         .when((start < 0) | (stop <= start), at_line("invalid half-open interval").cast("array<string>"))
         .otherwise(F.col("c"))
     )
-    return rows.withColumn("c", checked).select(F.col("c")[0].alias("name"), F.col("c")[1].alias("contig"), F.col("c")[2].alias("strand"), start.alias("start"), stop.alias("stop"), _positions(F.col("c")[5]).alias("exon_starts"), _positions(F.col("c")[6]).alias("exon_stops"))
+    return rows.withColumn("c", checked).select(F.col("c")[0].alias("name"), F.col("c")[1].alias("contig"), F.col("c")[2].alias("strand"), start.alias("start"), stop.alias("stop"), _positions(F.col("c")[5]).alias("exon_starts"), _positions(F.col("c")[6]).alias("exon_stops"), "line_no")
 
 
 def gtf(spark: SparkSession, path: str) -> DataFrame:
