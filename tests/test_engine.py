@@ -5,6 +5,7 @@ import json
 import random
 import subprocess
 import sys
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -397,3 +398,56 @@ def test_stream(spark, tmp_path):
 def test_registry_without_the_corpus_package():
     code = "import sys; sys.modules['strandline.llm'] = None; sys.modules['corpus_pipeline'] = None; import __spark_entry__ as e; q = e.queries(); assert q and not any(n.startswith('op') for n in q); assert set(e.oracle_sql()) <= set(q)"
     subprocess.run([sys.executable, "-c", code], check=True, cwd=str(__import__("pathlib").Path(__file__).parents[1]))
+
+
+def test_a_tagged_transcript_needs_a_gene_name(spark, tmp_path):
+    (tmp_path / "x.gtf").write_text(GTF.replace('gene_name "GENE"; ', ""))
+    with pytest.raises(Exception, match="gene_name"):
+        transcripts.converted(readers.gtf(spark, str(tmp_path / "x.gtf"))).collect()
+
+
+def test_fasta_is_read_as_lines(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(readers, "CHUNK", 3)
+    rnd = random.Random(4)
+    contigs = {f"c{i}": "".join(rnd.choice("ACGTNacgt") for _ in range(n)) for i, n in enumerate((1, 0, 57, 8, 130, 20))}
+    text = "".join(f">{k} more words\n" + "".join(v[a : a + 7] + "\n" for a in range(0, len(v), 7)) + "\n" * (k == "c3") for k, v in contigs.items())
+    (tmp_path / "x.fa").write_text(text)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    try:
+        rows = sorted(readers.fasta(spark, str(tmp_path / "x.fa"), 10).collect(), key=lambda r: (r["ordinal"], r["block"]))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    found = {}
+    for r in rows:
+        assert r["start"] == 10 * r["block"] == len(found.get(r["contig"], ""))
+        found[r["contig"]] = found.get(r["contig"], "") + r["sequence"]
+    assert list(found) == list(contigs) and found == {k: v.upper() for k, v in contigs.items()}
+
+
+def test_a_later_record_replaces_an_earlier_one(spark):
+    entry = lambda alt, gene, score: f"{alt}|{gene}|{score}|0.00|0.00|0.00|1|2|3|4"
+    rows = [
+        (1, "1", "5", "A", "C,G", ",".join([entry("C", "X", "0.10"), entry("C", "Y", "0.20"), entry("G", "X", "0.30")])),
+        (2, "1", "5", "A", "C", ",".join([entry("C", "X", "0.90"), entry("C", "X", "0.05")])),
+    ]
+    found = compare.local_index(spark.createDataFrame(rows, "line_no long, chrom string, pos string, ref string, alt string, annotation string")).collect()
+    assert sorted((r["variant"], r["gene"], r["entry"][2]) for r in found) == [("chr1-5-A-C", "X", "0.05"), ("chr1-5-A-G", "X", "0.30")]
+
+
+def test_shards_made_from_other_inputs_are_not_complete(spark, tmp_path):
+    annotation, reference, plan = universe_files(tmp_path)
+    shards.write_plan(spark, annotation, reference, plan, 100, ("snv",), "r1", None, None)
+    out = str(tmp_path / "out")
+    told = shards.generate(spark, plan, 1, out)
+    assert shards.finalize(spark, plan, out, str(tmp_path / "m.tsv"))["records"] == told["records"]
+    marker = next((tmp_path / "out").glob("*.complete.json"))
+    kept = marker.read_text()
+    for key in ("generator_sha256", "reference_sha256", "annotation_sha256"):
+        marker.write_text(kept.replace(told[key], "0" * 64))
+        with pytest.raises(ValueError, match="incomplete"):
+            shards.finalize(spark, plan, out, str(tmp_path / "m.tsv"))
+    marker.write_text(kept)
+    Path(told["output"]).rename(tmp_path / "gone")
+    with pytest.raises(ValueError, match="incomplete"):
+        shards.finalize(spark, plan, out, str(tmp_path / "m.tsv"))
