@@ -6,6 +6,7 @@ import argparse
 import importlib
 import platform
 import sys
+import time
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,7 +39,7 @@ def parser() -> argparse.ArgumentParser:
     add("convert", (("--input",), need), (("--output",), need), (("--include-nonprimary",), {"action": "store_true"}))
     add("runtime", (("--output",), {}), (("--resources",), {"nargs": "*", "default": []}))
     add("plan", (("--annotation",), need), (("--reference",), need), (("--output",), need), (("--target-records",), {"type": int, "default": 1_000_000}), (("--kind",), {"choices": ("snv", "indel", "both"), "default": "both"}), (("--annotation-release",), {"default": "unknown"}), (("--annotation-sha256",), {}), (("--reference-sha256",), {}))
-    add("generate", (("--plan",), need), (("--task-id",), need | {"type": int}), (("--output-dir",), need), (("--reference",), {}), (("--reference-sha256",), {}))
+    add("generate", (("--plan",), need), (("--task-id",), need | {"type": int}), (("--last-task-id",), {"type": int, "help": "go on to this task"}), (("--output-dir",), need), (("--reference",), {}), (("--reference-sha256",), {}))
     add("finalize", (("--plan",), need), (("--input-dir",), need), (("--output",), need), (("--verify-checksums",), {"action": "store_true"}))
     return top
 
@@ -49,6 +50,7 @@ def header_of(spark: SparkSession, path: str) -> list[str]:
 
 def score(spark: SparkSession, a: argparse.Namespace) -> int:
     module, _, name = a.models.partition(":")
+    began = time.monotonic()
     records = readers.vcf(spark, a.input, a.info_key)
     tx = scoring.numbered_transcripts(readers.annotations(spark, a.annotation))
     blocks = readers.fasta(spark, a.reference)
@@ -62,6 +64,8 @@ def score(spark: SparkSession, a: argparse.Namespace) -> int:
     told = scoring.annotate(own, called(tx), blocks, getattr(importlib.import_module(module), name), a.distance, bool(a.mask), a.batch_size)
     out = records.drop("annotation").join(told.select("line_no", "annotation"), "line_no", "left")
     writers.write_vcf(out, a.output, header_of(spark, a.input), a.info_key)
+    n, seconds = records.count(), time.monotonic() - began
+    print(f"processed={n} elapsed_seconds={seconds:.1f} variants_per_second={n / seconds:.2f}")
     return 0
 
 
@@ -132,7 +136,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         print(shards.write_plan(spark, a.annotation, a.reference, a.output, a.target_records, kinds, a.annotation_release, a.annotation_sha256, a.reference_sha256))
         return 0
     if a.command == "generate":
-        print(shards.generate(spark, a.plan, a.task_id, a.output_dir, a.reference, a.reference_sha256))
+        tasks = readers.task_range(spark, a.plan, a.task_id, a.last_task_id or a.task_id)  # an error before any shard is begun
+        for r in tasks.orderBy("task").toLocalIterator():  # a job of its own each
+            print(shards.generate(spark, a.plan, r["task"], a.output_dir, a.reference, a.reference_sha256))
         return 0
     if a.command == "finalize":
         print(shards.finalize(spark, a.plan, a.input_dir, a.output, a.verify_checksums))

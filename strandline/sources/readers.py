@@ -150,6 +150,22 @@ def nth_task(spark: SparkSession, path: str, number: int) -> str:
     return found[-1]["value"]
 
 
+def task_range(spark: SparkSession, path: str, first: int = 1, last: int | None = None) -> DataFrame:
+    """task, value: the tasks ``first`` to ``last`` (the last one by default) of a task list, numbered from 1 as ``nth_task`` does.
+
+    An empty list and a range that doesn't lie within it are errors.
+    """
+    listed = numbered_lines(spark, path).where((F.trim("value") != "") & ~F.col("value").startswith("#"))
+    tasks = listed.count()
+    if not tasks:
+        raise ValueError(f"{path} has no tasks")
+    last = tasks if last is None else last
+    if not 1 <= first <= last <= tasks:
+        raise ValueError(f"tasks {first} to {last} don't lie in 1..{tasks}")
+    number = F.row_number().over(Window.orderBy("line_no"))  # one row a task
+    return listed.select(number.alias("task"), "value").where(F.col("task").between(first, last))
+
+
 def responses(spark: SparkSession, directory: str) -> DataFrame:
     """Cached responses of an outside service: one JSON object a file, the file's name telling the query."""
     read = spark.read.schema(RESPONSE).option("primitivesAsString", True).json(directory, multiLine=True)

@@ -294,7 +294,7 @@ def test_plan_generate_finalize(spark, tmp_path):
         shards.write_plan(spark, annotation, reference, plan, 100)
 
 
-def test_score_command(spark, tmp_path):
+def test_score_command(spark, tmp_path, capsys):
     rnd = random.Random(0)
     bases = "".join(rnd.choice("ACGT") for _ in range(10_400))
     (tmp_path / "r.fa").write_text(">chr1\n" + "\n".join(bases[i : i + 60] for i in range(0, len(bases), 60)) + "\n")
@@ -307,6 +307,7 @@ def test_score_command(spark, tmp_path):
     (tmp_path / "i.vcf").write_text(head + "".join(f"1\t{q}\t.\t{r}\t{a}\t.\t.\tX=1\n" for q, r, a in rows))
     args = ["score", "-I", str(tmp_path / "i.vcf"), "-O", str(tmp_path / "o.vcf"), "-R", str(tmp_path / "r.fa"), "-A", str(tmp_path / "a.tsv"), "-D", "20", "-M", "0"]
     assert cli.main(args, spark) == 0
+    assert capsys.readouterr().out.startswith(f"processed={len(rows)} elapsed_seconds=")
     out = [x.split("\t") for x in (tmp_path / "o.vcf").read_text().splitlines() if x[0] != "#"]
     info = [x[7] for x in out]
     assert [len(x.split(",")) if "DELTA" in x else 0 for x in info] == [2, 2, 2, 2, 0, 0] and info[4] == "X=1"
@@ -451,3 +452,34 @@ def test_shards_made_from_other_inputs_are_not_complete(spark, tmp_path):
     Path(told["output"]).rename(tmp_path / "gone")
     with pytest.raises(ValueError, match="incomplete"):
         shards.finalize(spark, plan, out, str(tmp_path / "m.tsv"))
+
+
+def test_ranges_of_tasks(spark, tmp_path):
+    listed = tmp_path / "tasks.tsv"
+    listed.write_text("#a\tb\nx\t1\n\ny\t2\n# more\nz\t3\n   \n")
+    taken = lambda *span: [tuple(r) for r in readers.task_range(spark, str(listed), *span).orderBy("task").collect()]
+    assert taken() == [(1, "x\t1"), (2, "y\t2"), (3, "z\t3")]
+    assert taken(2) == taken(2, 3) == taken()[1:] and taken(2, 2) == taken()[1:2]
+    assert all(readers.nth_task(spark, str(listed), n) == value for n, value in taken())
+    for span in [(0,), (4,), (1, 4), (3, 2)]:
+        with pytest.raises(ValueError, match="don't lie in 1..3"):
+            taken(*span)
+    (tmp_path / "none.tsv").write_text("# nothing\n\n")
+    with pytest.raises(ValueError, match="no tasks"):
+        readers.task_range(spark, str(tmp_path / "none.tsv"))
+
+
+def test_generate_goes_through_a_range(spark, tmp_path, capsys):
+    (tmp_path / "r.fa").write_text(">1\nACGTACGT\n")
+    (tmp_path / "a.tsv").write_text(writers.ANNOTATION_HEADER + "\nG1\t1\t+\t0\t4\t0,\t4,\n")
+    plan, out = str(tmp_path / "p.tsv"), tmp_path / "out"
+    out.mkdir()
+    shards.write_plan(spark, str(tmp_path / "a.tsv"), str(tmp_path / "r.fa"), plan, 100)
+    args = ["generate", "--plan", plan, "--output-dir", str(out), "--task-id"]
+    with pytest.raises(ValueError, match="don't lie in 1..2"):
+        cli.main([*args, "1", "--last-task-id", "3"], spark)
+    assert not list(out.iterdir())
+    assert cli.main([*args, "2"], spark) == 0 and [p.name for p in out.glob("*.json")] == ["indel-000001.complete.json"]
+    assert cli.main([*args, "1", "--last-task-id", "2"], spark) == 0
+    assert sorted(p.name for p in out.glob("*.json")) == ["indel-000001.complete.json", "snv-000001.complete.json"]
+    assert capsys.readouterr().out.count("records") >= 3
