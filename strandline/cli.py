@@ -6,7 +6,6 @@ import argparse
 import importlib
 import platform
 import sys
-import time
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,7 +49,6 @@ def header_of(spark: SparkSession, path: str) -> list[str]:
 
 def score(spark: SparkSession, a: argparse.Namespace) -> int:
     module, _, name = a.models.partition(":")
-    began = time.monotonic()
     records = readers.vcf(spark, a.input, a.info_key)
     tx = scoring.numbered_transcripts(readers.annotations(spark, a.annotation))
     blocks = readers.fasta(spark, a.reference)
@@ -64,8 +62,6 @@ def score(spark: SparkSession, a: argparse.Namespace) -> int:
     told = scoring.annotate(own, called(tx), blocks, getattr(importlib.import_module(module), name), a.distance, bool(a.mask), a.batch_size)
     out = records.drop("annotation").join(told.select("line_no", "annotation"), "line_no", "left")
     writers.write_vcf(out, a.output, header_of(spark, a.input), a.info_key)
-    n, seconds = records.count(), time.monotonic() - began
-    print(f"processed={n} elapsed_seconds={seconds:.1f} variants_per_second={n / seconds:.2f}")
     return 0
 
 
