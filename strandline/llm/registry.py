@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strandline.llm import bpe, exact_dedup, exact_topk, html_text, line_crf, ngram_join, packing, sharding, toxicity, url_filter
+from strandline.llm import bpe, exact_dedup, exact_topk, filter_audit, html_text, license_scan, line_crf, ngram_join, packing, sharding, toxicity, url_filter, vector_codes
 
 QUERIES = {
     "op1_url_filter": url_filter,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_sharding": sharding,
     "op9_packing": packing,
     "op10_exact_dedup": exact_dedup,
+    "op11_filter_audit": filter_audit,
+    "op12_license_scan": license_scan,
+    "op13_vector_codes": vector_codes,
 }
 
 
