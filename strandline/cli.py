@@ -6,6 +6,7 @@ import argparse
 import importlib
 import platform
 import sys
+import time
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from strandline import __version__
 from strandline.operators import compare, sampling, scoring, transcripts
 from strandline.plans import shards
-from strandline.sources import readers, writers
+from strandline.sources import bgzf, readers, writers
 
 INFO_KEY = "DELTA"
 
@@ -31,14 +32,14 @@ def parser() -> argparse.ArgumentParser:
             one.add_argument(*names, **options)
 
     need = {"required": True}
-    add("score", (("-I", "--input"), need), (("-O", "--output"), need), (("-R", "--reference"), need), (("-A", "--annotation"), need), (("-D", "--distance"), {"type": int, "default": 50}), (("-M", "--mask"), {"type": int, "choices": (0, 1), "default": 0}), (("--batch-size",), {"type": int, "default": 16}), (("--models",), {"default": "strandline.plans.demo:models", "help": "module:function that loads the models"}))
+    add("score", (("-I", "--input"), need), (("-O", "--output"), need), (("-R", "--reference"), need), (("-A", "--annotation"), need), (("-D", "--distance"), {"type": int, "default": 50}), (("-M", "--mask"), {"type": int, "choices": (0, 1), "default": 0}), (("--batch-size",), {"type": int, "default": 16}), (("--chunk-records",), {"type": int, "default": 2048, "help": "records of an Arrow batch"}), (("--models",), {"default": "strandline.plans.demo:models", "help": "module:function that loads the models"}))
     add("compare", (("baseline",), {}), (("candidates",), {"nargs": "+"}), (("--json",), {}), (("--details-dir",), {}), (("--max-score-difference",), {"type": float, "default": compare.TOLERANCE}))
     add("check", (("--vcf",), need), (("--manifest",), need), (("--responses",), need | {"help": "folder of cached responses"}), (("--output-dir",), need), (("--distance",), {"type": int, "default": 500}), (("--mask",), {"type": int, "default": 1}))
     add("sample", (("--input",), need), (("--annotation",), need), (("--output",), need), (("--target-records",), {"type": int, "default": 25_000}), (("--genes-per-stratum",), {"type": int, "default": 12}), (("--window",), {"type": int, "default": 750}))
     add("convert", (("--input",), need), (("--output",), need), (("--include-nonprimary",), {"action": "store_true"}))
     add("runtime", (("--output",), {}), (("--resources",), {"nargs": "*", "default": []}))
     add("plan", (("--annotation",), need), (("--reference",), need), (("--output",), need), (("--target-records",), {"type": int, "default": 1_000_000}), (("--kind",), {"choices": ("snv", "indel", "both"), "default": "both"}), (("--annotation-release",), {"default": "unknown"}), (("--annotation-sha256",), {}), (("--reference-sha256",), {}))
-    add("generate", (("--plan",), need), (("--task-id",), need | {"type": int}), (("--last-task-id",), {"type": int, "help": "go on to this task"}), (("--output-dir",), need), (("--reference",), {}), (("--reference-sha256",), {}))
+    add("generate", (("--plan",), need), (("--task-id",), need | {"type": int}), (("--last-task-id",), {"type": int, "help": "go on to this task"}), (("--output-dir",), need), (("--reference",), {}), (("--reference-sha256",), {}), (("--concurrency",), {"type": int, "default": 1, "help": "shards made at a time"}), (("--threads",), {"type": int, "help": "tasks that compress a shard"}))
     add("finalize", (("--plan",), need), (("--input-dir",), need), (("--output",), need), (("--verify-checksums",), {"action": "store_true"}))
     return top
 
@@ -48,10 +49,22 @@ def header_of(spark: SparkSession, path: str) -> list[str]:
 
 
 def score(spark: SparkSession, a: argparse.Namespace) -> int:
+    if a.chunk_records < 1:
+        raise ValueError("chunk-records must be positive")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(a.chunk_records))
     module, _, name = a.models.partition(":")
-    records = readers.vcf(spark, a.input, a.info_key)
-    tx = scoring.numbered_transcripts(readers.annotations(spark, a.annotation))
-    blocks = readers.fasta(spark, a.reference)
+    began = time.monotonic()
+    wrote = scored_file(spark, a.input, a.output, a.reference, a.annotation, getattr(importlib.import_module(module), name), a.distance, bool(a.mask), a.batch_size, a.info_key)
+    took = time.monotonic() - began
+    print(f"processed={wrote.lines} elapsed_seconds={took:.1f} variants_per_second={wrote.lines / took:.2f}")
+    return 0
+
+
+def scored_file(spark: SparkSession, source: str, target: str, reference: str, annotation: str, load, distance: int, mask: bool, batch_size: int, info_key: str = INFO_KEY, indexed: bool = False) -> bgzf.Written:
+    """The records of a file with their annotations, in the order of the file."""
+    records = readers.vcf(spark, source, info_key)
+    tx = scoring.numbered_transcripts(readers.annotations(spark, annotation))
+    blocks = readers.fasta(spark, reference)
     # one name for each contig: that of the reference
     names = records.select(F.col("chrom").alias("contig")).union(tx.select("contig")).distinct()
     from strandline.operators.intervals import resolve_contigs
@@ -59,10 +72,9 @@ def score(spark: SparkSession, a: argparse.Namespace) -> int:
     known = resolve_contigs(names, readers.contigs(blocks).select(F.col("contig").alias("reference"))).select("contig", "reference")
     called = lambda df: df.join(F.broadcast(known), "contig", "left").withColumn("contig", F.coalesce("reference", "contig")).drop("reference")  # noqa: E731  contigs are few
     own = called(records.select("line_no", F.col("chrom").alias("contig"), F.col("pos").cast("long").alias("pos"), "ref", F.when(F.col("alt") != ".", F.split("alt", ",")).otherwise(F.array().cast("array<string>")).alias("alts")))
-    told = scoring.annotate(own, called(tx), blocks, getattr(importlib.import_module(module), name), a.distance, bool(a.mask), a.batch_size)
+    told = scoring.annotate(own, called(tx), blocks, load, distance, mask, batch_size)
     out = records.drop("annotation").join(told.select("line_no", "annotation"), "line_no", "left")
-    writers.write_vcf(out, a.output, header_of(spark, a.input), a.info_key)
-    return 0
+    return writers.write_vcf(out, target, header_of(spark, source), info_key, indexed=indexed)
 
 
 def differ(spark: SparkSession, a: argparse.Namespace) -> int:
@@ -132,9 +144,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         print(shards.write_plan(spark, a.annotation, a.reference, a.output, a.target_records, kinds, a.annotation_release, a.annotation_sha256, a.reference_sha256))
         return 0
     if a.command == "generate":
-        tasks = readers.task_range(spark, a.plan, a.task_id, a.last_task_id or a.task_id)  # an error before any shard is begun
-        for r in tasks.orderBy("task").toLocalIterator():  # a job of its own each
-            print(shards.generate(spark, a.plan, r["task"], a.output_dir, a.reference, a.reference_sha256))
+        for told in shards.generate_range(spark, a.plan, a.task_id, a.last_task_id or a.task_id, a.output_dir, a.reference, a.reference_sha256, a.concurrency, a.threads):
+            print(told)
         return 0
     if a.command == "finalize":
         print(shards.finalize(spark, a.plan, a.input_dir, a.output, a.verify_checksums))

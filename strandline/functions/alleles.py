@@ -164,8 +164,10 @@ def regions_json(regions: Column) -> Column:
 
 
 def parsed_regions(text: Column) -> Column:
-    """Regions from JSON; null if the text isn't a list of [name, name, start, stop] with 0 <= start < stop."""
+    """Regions from JSON; null if the text isn't a list of [name, name, start, stop] with 0 <= start < stop, names being strings."""
     raw = F.from_json(text, "array<array<string>>")
-    good = (F.size(raw) > 0) & F.forall(raw, lambda r: (F.size(r) == 4) & r[2].rlike(r"^\d{1,18}$") & r[3].rlike(r"^\d{1,18}$"))
+    # a number in a name's place would be read as text: as many items as there are must begin with two quoted ones
+    quoted = r'\[\s*"(?:[^"\\]|\\.)*"\s*,\s*"(?:[^"\\]|\\.)*"\s*,'
+    good = (F.size(raw) > 0) & (F.size(F.regexp_extract_all(text, F.lit(f"({quoted})"), 1)) == F.size(raw)) & F.forall(raw, lambda r: (F.size(r) == 4) & r[2].rlike(r"^\d{1,18}$") & r[3].rlike(r"^\d{1,18}$"))
     out = F.transform(raw, lambda r: F.struct(r[0].alias("contig"), r[1].alias("reference"), r[2].try_cast("bigint").alias("start"), r[3].try_cast("bigint").alias("stop")))
     return F.when(good & F.forall(out, lambda r: r["start"] < r["stop"]), out)

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import hashlib
 import json
+from collections.abc import Callable
+from dataclasses import dataclass
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strandline.functions import alleles
 from strandline.operators import intervals, universe
-from strandline.sources import readers, writers
+from strandline.plans import jobs
+from strandline.sources import fasta, files, readers, writers
 
 DEFINITIONS = {
     "snv": "the three other bases at every known base",
@@ -21,14 +24,15 @@ VERSION = "2"
 COLUMNS = ("shard_id", "kind", "regions", "estimated_records")
 
 
-def file_sha256(path: str, expected: str | None = None, label: str = "file") -> str:
-    digest = hashlib.sha256()
-    with open(path, "rb") as file:
-        while block := file.read(1 << 20):
-            digest.update(block)
-    if expected is not None and digest.hexdigest() != expected.lower():
-        raise ValueError(f"{label} checksum mismatch: expected {expected.lower()}, got {digest.hexdigest()}")
-    return digest.hexdigest()
+def checked(spark: SparkSession, expected: dict[str, str | None]) -> dict[str, str]:
+    """sha256 of files by path, streamed by tasks; a file that isn't there, or differs from an expected digest, is an error."""
+    found = {r["path"]: r["sha256"] for r in files.digests(spark.createDataFrame([(p,) for p in expected], "path string")).collect()}
+    for path, wanted in expected.items():
+        if found[path] is None:
+            raise ValueError(f"{path}: no such file")
+        if wanted is not None and found[path] != wanted.lower():
+            raise ValueError(f"checksum of {path} is {found[path]} and should be {wanted.lower()}")
+    return found
 
 
 def bound_intervals(annotations: DataFrame, contigs: DataFrame) -> DataFrame:
@@ -49,7 +53,7 @@ def plan(bound: DataFrame, target: int, kinds: tuple[str, ...] = ("snv", "indel"
     row a contig.
     """
     if target < max(universe.RECORDS_PER_BASE.values()):
-        raise ValueError("target is too small")
+        raise ValueError(f"a shard takes at least {max(universe.RECORDS_PER_BASE.values())} records")
     unknown = set(kinds) - set(universe.RECORDS_PER_BASE)
     if unknown:
         raise ValueError(f"unknown kinds {sorted(unknown)}")
@@ -81,9 +85,10 @@ def write_plan(spark: SparkSession, annotation: str, reference: str, path: str,
     bound = bound_intervals(readers.annotations(spark, annotation), readers.contigs(readers.fasta(spark, reference)))
     planned = plan(bound, target, kinds)
     bases = bound.agg(F.coalesce(F.sum(F.col("stop") - F.col("start")), F.lit(0))).head()[0]
+    digests = checked(spark, {reference: reference_sha256, annotation: annotation_sha256})
     told = {
-        "format_version": VERSION, "reference": str(Path(reference).resolve()), "reference_sha256": file_sha256(reference, reference_sha256, "reference"),
-        "annotation": str(Path(annotation).resolve()), "annotation_release": release, "annotation_sha256": file_sha256(annotation, annotation_sha256, "annotation"),
+        "format_version": VERSION, "reference": files.absolute(reference), "reference_sha256": digests[reference],
+        "annotation": files.absolute(annotation), "annotation_release": release, "annotation_sha256": digests[annotation],
         "target_records": target, "merged_transcript_bases": bases,
     }
     place = F.array_position(F.array(*map(F.lit, kinds)), F.col("kind"))
@@ -99,70 +104,157 @@ def write_plan(spark: SparkSession, annotation: str, reference: str, path: str,
 def read_plan(spark: SparkSession, path: str) -> tuple[dict[str, str], DataFrame]:
     """Metadata and rows (line_no, shard_id, kind, regions, estimated_records) of a plan; what isn't one is an error."""
     lines = readers.numbered_lines(spark, path).where("value <> ''")
-    metadata = dict(r["value"][2:].partition("=")[::2] for r in lines.where(F.col("value").startswith("##")).collect())
+    heads = lines.where(F.col("value").startswith("#")).orderBy("line_no").collect()  # a few lines
+    metadata: dict[str, str] = {}
+    named = None
+    for r in heads:
+        if r["value"].startswith("##"):
+            key, equals, value = r["value"][2:].partition("=")
+            if not key or not equals:
+                raise ValueError(f"{path}:{r['line_no']}: a line of metadata is a key, an equals sign and a value")
+            metadata[key] = value
+        elif r["value"] != "#" + "\t".join(COLUMNS):
+            raise ValueError(f"{path}:{r['line_no']}: the columns of a plan are {', '.join(COLUMNS)}")
+        else:
+            named = r["line_no"] if named is None else named
     if metadata.get("format_version") != VERSION:
-        raise ValueError(f"{path}: unsupported or missing format_version")
-    heads = [r["value"] for r in lines.where(F.col("value").rlike("^#[^#]")).collect()]
-    if heads != ["#" + "\t".join(COLUMNS)]:
-        raise ValueError(f"{path}: unexpected columns")
+        raise ValueError(f"{path}: not a plan of version {VERSION}")
     rows = lines.where(~F.col("value").startswith("#")).withColumn("c", F.split("value", "\t"))
-    if rows.isEmpty():
-        raise ValueError(f"{path}: plan contains no tasks")
+    first = rows.agg(F.min("line_no")).head()[0]
+    if first is None:
+        raise ValueError(f"{path}: a plan without shards")
+    if named is None or first < named:
+        raise ValueError(f"{path}:{first}: a shard before the columns are named")
     regions = alleles.parsed_regions(F.get("c", F.lit(2)))
-    checked = F.when((F.size("c") != len(COLUMNS)) | regions.isNull(), readers.at_line("malformed plan row").cast(alleles.REGION)).otherwise(regions)
-    return metadata, rows.select("line_no", F.col("c")[0].alias("shard_id"), F.col("c")[1].alias("kind"), checked.alias("regions"), F.get("c", F.lit(3)).cast("long").alias("estimated_records"))
+    estimate = F.get("c", F.lit(3)).try_cast("long")
+    checked_regions = (
+        F.when(F.size("c") != len(COLUMNS), readers.at_line(f"a shard has {len(COLUMNS)} columns").cast(alleles.REGION))
+        .when(regions.isNull(), readers.at_line("regions are a list of two names, start and stop").cast(alleles.REGION))
+        .when(estimate.isNull(), readers.at_line("the estimate is a whole number").cast(alleles.REGION))
+        .otherwise(regions)
+    )
+    return metadata, rows.select("line_no", F.col("c")[0].alias("shard_id"), F.col("c")[1].alias("kind"), checked_regions.alias("regions"), estimate.alias("estimated_records"))
 
 
-def universe_records(planned: DataFrame, blocks: DataFrame, kind: str, block_size: int = 1 << 16) -> DataFrame:
-    """shard_id, contig, pos, ord, ref, alt of all planned shards of a kind, as one lazy table."""
+def universe_records(planned: DataFrame, blocks: DataFrame | None, kind: str, block_size: int = 1 << 16, cut: Callable[[DataFrame, int], DataFrame] | None = None) -> DataFrame:
+    """shard_id, contig, pos, ord, ref, alt of all planned shards of a kind, as one lazy table.
+
+    Bases come from ``blocks``, or from ``cut`` (regions, bases more after the end).
+    """
     regions = planned.where(F.col("kind") == kind).select("shard_id", F.explode("regions").alias("r")).select("shard_id", F.col("r.contig").alias("named"), F.col("r.reference").alias("contig"), F.col("r.start").alias("start"), F.col("r.stop").alias("stop"))
     extra = universe.LONGEST_DELETION if kind == "indel" else 0
-    cut = readers.slices(blocks, regions, extra, block_size).select(F.struct("shard_id", F.col("named").alias("name")).alias("contig"), "start", "stop", "sequence")
-    return universe.records(cut, kind).select("contig.shard_id", F.col("contig.name").alias("contig"), "pos", "ord", "ref", "alt")
+    spelt = readers.slices(blocks, regions, extra, block_size) if cut is None else cut(regions, extra)
+    named = spelt.select(F.struct("shard_id", F.col("named").alias("name")).alias("contig"), "start", "stop", "sequence")
+    return universe.records(named, kind).select("contig.shard_id", F.col("contig.name").alias("contig"), "pos", "ord", "ref", "alt")
 
 
-def generate(spark: SparkSession, plan_path: str, number: int, out_dir: str, reference: str | None = None, reference_sha256: str | None = None) -> dict[str, object]:
-    """One planned shard as a compressed file with its marker, which is written last. A complete shard is left as it is."""
-    metadata, rows = read_plan(spark, plan_path)
-    listed = rows.orderBy("line_no").collect()  # one row a shard
-    if not 1 <= number <= len(listed):
-        raise ValueError(f"task {number} is not in 1..{len(listed)}")
-    row = listed[number - 1]
+@dataclass
+class Inputs:
+    """What the shards of a plan are made from, read once for any number of them."""
+
+    metadata: dict[str, str]
+    rows: list[Row]
+    source: dict[str, str]
+    reference: str
+    known: DataFrame | None
+    lengths: dict[str, int]
+
+
+#: Bases of a region that one task spells.
+PIECE = 1 << 18
+
+
+def inputs(spark: SparkSession, plan_path: str, reference: str | None = None, reference_sha256: str | None = None) -> Inputs:
+    """Plan, reference index and digests; the reference is digested by a task unless its checksum is given."""
+    metadata, planned = read_plan(spark, plan_path)
+    rows = planned.orderBy("line_no").collect()  # one row a shard
     reference = reference or metadata["reference"]
     if reference_sha256 is not None and reference_sha256.lower() != metadata["reference_sha256"]:
-        raise ValueError("reference checksum differs from the plan's")
-    if reference_sha256 is None:
-        file_sha256(reference, metadata["reference_sha256"], "reference")
-    folder = Path(out_dir)
-    target, marker = folder / f"{row['shard_id']}.vcf.gz", folder / f"{row['shard_id']}.complete.json"
-    source = provenance(plan_path, metadata)
-    if (done := completed(marker, target, source)) is not None:
-        return done
-    blocks = readers.fasta(spark, reference)
-    records = universe_records(rows.where(F.col("shard_id") == row["shard_id"]), blocks, row["kind"])
-    lengths = {r["contig"]: r["length"] for r in readers.contigs(blocks).collect()}
-    contigs = list(dict.fromkeys((r["contig"], lengths[r["reference"]]) for r in row["regions"]))
-    lines = records.select("pos", "ord", F.concat_ws("\t", "contig", F.col("pos").cast("string"), F.lit("."), "ref", "alt", F.lit("."), F.lit("."), F.lit(".")).alias("line"))
-    digest = writers.write_lines(lines, ["pos", "ord"], str(target), writers.universe_header(metadata, row["kind"], DEFINITIONS[row["kind"]], contigs))
-    told = {"format_version": 1, "shard_id": row["shard_id"], "kind": row["kind"], "records": records.count(), "output": str(target), "output_sha256": digest, **source}
-    writers.atomically(str(marker), [json.dumps(told, sort_keys=True).encode()])
-    return told
+        raise ValueError("the reference's checksum isn't the plan's")
+    found = checked(spark, {plan_path: None} | ({reference: metadata["reference_sha256"]} if reference_sha256 is None else {}))
+    source = provenance(found[plan_path], metadata)
+    try:
+        known = None if reference.endswith(readers.COMPRESSED) else fasta.index(spark, reference)
+    except fasta.Irregular:
+        known = None
+    catalogue = readers.contigs(readers.fasta_lines(spark, reference)) if known is None else known
+    return Inputs(metadata, rows, source, reference, known, {r["contig"]: r["length"] for r in catalogue.select("contig", "length").collect()})
 
 
-def provenance(plan_path: str, metadata: dict[str, str]) -> dict[str, str]:
-    """Digests of what a shard is made from: the plan, the code that enumerates, the reference and the annotation."""
-    return {"plan_sha256": file_sha256(plan_path), "generator_sha256": file_sha256(universe.__file__), **{k: metadata.get(k, "") for k in ("reference_sha256", "annotation_sha256")}}
+def pieces(regions: DataFrame) -> DataFrame:
+    """Regions cut to at most PIECE bases, so that a long one is spread over tasks."""
+    start = F.explode(F.sequence(F.col("start"), F.col("stop") - 1, F.lit(PIECE))).alias("piece")
+    cut = regions.select(*[c for c in regions.columns if c != "start"], start)
+    return cut.withColumn("start", F.col("piece")).withColumn("stop", F.least(F.col("piece") + PIECE, F.col("stop"))).drop("piece").select(*regions.columns)
 
 
-def completed(marker: Path, target: Path, source: dict[str, str]) -> dict[str, object] | None:
-    """What a marker says, if it belongs to these very inputs and to this very file."""
-    try:
-        told = json.loads(marker.read_text())
-        if all(told[k] == v for k, v in source.items()) and file_sha256(str(target)) == told["output_sha256"]:
-            return told
-    except (OSError, ValueError, KeyError):
-        return None
-    return None
+def generate(spark: SparkSession, plan_path: str, number: int, out_dir: str, reference: str | None = None, reference_sha256: str | None = None) -> dict[str, object]:
+    """One planned shard; see ``generate_range``."""
+    return generate_range(spark, plan_path, number, number, out_dir, reference, reference_sha256)[0]
+
+
+def generate_range(spark: SparkSession, plan_path: str, first: int, last: int, out_dir: str, reference: str | None = None, reference_sha256: str | None = None, concurrency: int = 1, threads: int | None = None) -> list[dict[str, object]]:
+    """The planned shards ``first`` to ``last``, each a block-compressed file with its index and, written last, its marker.
+
+    Complete shards are left as they are. At most ``concurrency`` shards are made at
+    a time; ``threads`` tasks compress a shard (as many as its size asks for, unless
+    given). Plan, reference index and digests are read once for all.
+    """
+    if threads is not None and threads < 1:
+        raise ValueError("threads must be positive")
+    made_from = inputs(spark, plan_path, reference, reference_sha256)
+    if not 1 <= first <= last <= len(made_from.rows):
+        raise ValueError(f"shards {first} to {last} don't lie in 1..{len(made_from.rows)}")
+    source = made_from.source | {"compression_threads": threads or 0}
+    wanted = made_from.rows[first - 1 : last]
+    done = complete(spark, out_dir, [r["shard_id"] for r in wanted], source)
+    left = [r for r in wanted if r["shard_id"] not in done]
+    found = jobs.bounded(spark, [lambda r=r: made(spark, made_from, source, r, out_dir, threads) for r in left], concurrency)
+    told = done | {t["shard_id"]: t for t in found}
+    return [told[r["shard_id"]] for r in wanted]
+
+
+def made(spark: SparkSession, made_from: Inputs, source: dict[str, object], row: Row, out_dir: str, threads: int | None) -> dict[str, object]:
+    target = f"{out_dir}/{row['shard_id']}.vcf.gz"
+    marker = f"{out_dir}/{row['shard_id']}.complete.json"
+    files.remove(marker)
+    planned = spark.createDataFrame([(row["shard_id"], row["kind"], row["regions"])], f"shard_id string, kind string, regions {alleles.REGION}")
+    if made_from.known is None:
+        records = universe_records(planned, readers.fasta_lines(spark, made_from.reference), row["kind"])
+    else:
+        records = universe_records(planned, None, row["kind"], cut=lambda regions, extra: fasta.slices(spark, made_from.reference, pieces(regions), extra, made_from.known))
+    contigs = list(dict.fromkeys((r["contig"], made_from.lengths[r["reference"]]) for r in row["regions"]))
+    lines = records.select("pos", "ord", F.col("contig").alias("chrom"), "ref", F.concat_ws("\t", "contig", F.col("pos").cast("string"), F.lit("."), "ref", "alt", F.lit("."), F.lit("."), F.lit(".")).alias("line"))
+    if threads is not None:
+        lines = lines.repartitionByRange(threads, "pos", "ord")
+    wrote = writers.write_lines(lines, ["pos", "ord"], target, writers.universe_header(made_from.metadata, row["kind"], DEFINITIONS[row["kind"]], contigs), writers.record_span())
+    digest = checked(spark, {target: None})[target]
+    told = {"format_version": 1, "shard_id": row["shard_id"], "kind": row["kind"], "records": wrote.lines, "estimated_records": row["estimated_records"], "output": files.absolute(target), "output_sha256": digest, **source}
+    writers.atomically(marker, [json.dumps(told, sort_keys=True).encode()])
+    return told
+
+
+def provenance(plan_sha256: str, metadata: dict[str, str]) -> dict[str, object]:
+    """Digests of what a shard is made from: the plan, the code that enumerates, the reference and the annotation."""
+    return {"plan_sha256": plan_sha256, "generator_sha256": files.sha256_of(universe.__file__), **{k: metadata.get(k, "") for k in ("reference_sha256", "annotation_sha256")}}
+
+
+def complete(spark: SparkSession, out_dir: str, shard_ids: list[str], source: dict[str, object]) -> dict[str, dict[str, object]]:
+    """Markers of the shards that are complete: made from these very inputs, with an index, and with the file that the marker tells of."""
+    told = {}
+    for shard in shard_ids:  # one small file each
+        try:
+            marker = json.loads(files.read_text(f"{out_dir}/{shard}.complete.json"))
+            if marker["shard_id"] == shard and isinstance(marker["output_sha256"], str) and all(marker[k] == v for k, v in source.items()):
+                told[shard] = marker
+        except (OSError, ValueError, KeyError, TypeError):
+            continue
+    told = {s: m for s, m in told.items() if files.size_of(f"{out_dir}/{s}.vcf.gz") and files.size_of(f"{out_dir}/{s}.vcf.gz.tbi")}
+    if not told:
+        return {}
+    paths = {f"{out_dir}/{s}.vcf.gz": s for s in told}
+    digests = files.digests(spark.createDataFrame([(p,) for p in paths], "path string")).collect()
+    return {paths[r["path"]]: told[paths[r["path"]]] for r in digests if r["sha256"] == told[paths[r["path"]]]["output_sha256"]}
 
 
 def manifest(planned: DataFrame, markers: DataFrame) -> DataFrame:
@@ -172,25 +264,30 @@ def manifest(planned: DataFrame, markers: DataFrame) -> DataFrame:
 
 
 def finalize(spark: SparkSession, plan_path: str, in_dir: str, path: str, verify: bool = False) -> dict[str, int]:
-    """The scoring manifest of a plan whose shards are all complete; nothing is written otherwise."""
+    """The scoring manifest of a plan whose shards are all complete; nothing is written otherwise.
+
+    Files and indexes are looked at by tasks, and digested by them with ``verify``.
+    """
     metadata, rows = read_plan(spark, plan_path)
-    source = provenance(plan_path, metadata)
+    source = provenance(checked(spark, {plan_path: None})[plan_path], metadata)
     schema = "format_version int, shard_id string, kind string, records long, output string, output_sha256 string, " + ", ".join(f"{k} string" for k in source)
-    markers = spark.read.schema(schema).json(f"{in_dir}/*.complete.json")
+    markers = spark.read.schema(schema).json(f"{in_dir}/*.complete.json").where(F.length("output_sha256") == 64)
     for k, v in source.items():  # a shard made from anything else isn't complete
         markers = markers.where(F.col(k) == v)
     told = manifest(rows, markers)
-    missing = [r["shard_id"] for r in told.where("not complete").orderBy("shard_id").limit(5).collect()]
-    missing += [r["shard_id"] for r in told.where("complete").select("shard_id", "output").toLocalIterator() if not Path(r["output"]).is_file()][:5]
+    outputs = told.where("output is not null").select(F.col("output").alias("path"))
+    there = files.digests(outputs, verify).where("bytes > 0").select(F.col("path").alias("output"), F.col("sha256").alias("found_sha256"))
+    indexed = files.digests(outputs.select(F.concat("path", F.lit(".tbi")).alias("path")), False).where("bytes > 0").select(F.regexp_replace("path", r"\.tbi$", "").alias("output"), F.lit(True).alias("indexed"))
+    looked = files.written(told.join(there.withColumn("there", F.lit(True)), "output", "left").join(indexed, "output", "left"), "finalize")
+    missing = [r["shard_id"] for r in looked.where("not complete or there is null or indexed is null").orderBy("shard_id").limit(5).collect()]
     if missing:
         raise ValueError(f"incomplete shards: {', '.join(missing)}")
-    if verify:
-        for r in told.select("output", "output_sha256").toLocalIterator():
-            file_sha256(r["output"], r["output_sha256"], r["output"])
-    lines = told.join(rows.select("shard_id", "line_no"), "shard_id").select("line_no", F.concat_ws("\t", "shard_id", "output", "output_sha256").alias("line"))
+    if verify and (bad := [r["shard_id"] for r in looked.where("found_sha256 <> output_sha256").orderBy("shard_id").limit(5).collect()]):
+        raise ValueError(f"checksums differ: {', '.join(bad)}")
+    lines = looked.join(rows.select("shard_id", "line_no"), "shard_id").select("line_no", F.concat_ws("\t", "shard_id", "output", "output_sha256").alias("line"))
     writers.write_lines(lines, ["line_no"], path, ["#shard_id\tinput_vcf\tinput_sha256"])
     out: dict[str, int] = {}
-    for r in told.groupBy("kind").agg(F.count("*").alias("shards"), F.sum("records").alias("records")).collect():
+    for r in looked.groupBy("kind").agg(F.count("*").alias("shards"), F.sum("records").alias("records")).collect():
         out |= {f"{r['kind']}_shards": r["shards"], f"{r['kind']}_records": r["records"]}
     out["records"] = sum(v for k, v in out.items() if k.endswith("_records"))
     return out

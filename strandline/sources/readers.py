@@ -7,7 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strandline.functions import alleles
+from strandline.operators import intervals
+from strandline.sources import bgzf, files
+from strandline.sources import fasta as by_offset
 
+COMPRESSED = (".gz", ".bgz", ".bz2", ".zst")
 RESPONSE = T.StructType(
     [T.StructField("variant", T.StringType()), *(T.StructField(c, T.StringType()) for c in ("hg", "distance", "mask"))]
     + [T.StructField("scores", T.ArrayType(T.StructType([T.StructField(c, T.StringType()) for c in ("g_name", "t_id", "t_priority", *alleles.FIELDS[2:])])))]
@@ -18,9 +22,12 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """(path, line_no, value) of one or more text files, plain or compressed; numbers count from 1 within a file.
 
     Files are split as usual: a line's number is its place in its block plus the
-    lines of the file's blocks before it, so no file is read by one task alone
-    (unless its compression can't be split).
+    lines of the file's blocks before it, so no file is read by one task alone. One
+    block-compressed file is split between its blocks; other compression can't be
+    split.
     """
+    if path.endswith((".gz", ".bgz")) and "*" not in path and bgzf.is_blocks(path):
+        return bgzf.numbered(spark, path)
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block_at"), F.monotonically_increasing_id().alias("row_at"))
     blocks = lines.groupBy("path", "block_at").agg(F.min("row_at").alias("first_at"), F.count("*").alias("n"))
     before = Window.partitionBy("path").orderBy("block_at").rowsBetween(Window.unboundedPreceding, -1)
@@ -38,7 +45,24 @@ def vcf(spark: SparkSession, path: str, info_key: str) -> DataFrame:
     ``annotation`` is the first value of ``info_key``, empty if there is none.
     A record of fewer than eight columns is an error that names file and line.
     """
-    rows = numbered_lines(spark, path).where(~F.col("value").startswith("#") & (F.length("value") > 0)).withColumn("c", F.split("value", "\t"))
+    return vcf_records(numbered_lines(spark, path), info_key)
+
+
+def vcf_range(spark: SparkSession, path: str, regions: DataFrame, info_key: str) -> DataFrame:
+    """Records of an indexed block-compressed file that meet ``regions`` (contig, start, stop, ...), with the regions' columns.
+
+    Only the blocks that the index names are read. ``line_no`` is the record's
+    virtual offset, which grows with its line. A record of several regions is told
+    for each.
+    """
+    found = bgzf.scan(spark, path, regions.select("contig", "start", "stop"))
+    rows = found.select(F.lit(path).alias("path"), (F.col("block_at") * 65536 + F.col("within")).alias("line_no"), "value")
+    read = vcf_records(rows, info_key).withColumn("pos", F.col("pos").cast("long")).withColumnRenamed("chrom", "contig")
+    return intervals.overlapping(read, regions)
+
+
+def vcf_records(lines: DataFrame, info_key: str) -> DataFrame:
+    rows = lines.where(~F.col("value").startswith("#") & (F.length("value") > 0)).withColumn("c", F.split("value", "\t"))
     columns = F.when(F.size("c") < 8, at_line("expected at least 8 tab-separated columns").cast("array<string>")).otherwise(F.col("c"))
     names = ("chrom", "pos", "id", "ref", "alt", "qual", "filter", "info")
     read = rows.withColumn("c", columns).select("line_no", *(F.col("c")[i].alias(n) for i, n in enumerate(names)))
@@ -56,6 +80,20 @@ CHUNK = 1 << 14
 def fasta(spark: SparkSession, path: str, block_size: int = 1 << 16) -> DataFrame:
     """(contig, ordinal, block, start, sequence): upper-case blocks of ``block_size`` bases, contigs in file order.
 
+    Blocks are read by their bytes; a compressed file, or one whose lines differ within a contig, is read as lines.
+    """
+    if path.endswith(COMPRESSED):
+        return fasta_lines(spark, path, block_size)
+    try:
+        known = by_offset.index(spark, path)
+    except by_offset.Irregular:
+        return fasta_lines(spark, path, block_size)
+    return by_offset.blocks(spark, path, block_size, known)
+
+
+def fasta_lines(spark: SparkSession, path: str, block_size: int = 1 << 16) -> DataFrame:
+    """``fasta`` of any file of sequence lines, without an index.
+
     The file is read as lines, so it is split like any text. A line's place in
     its contig is the bases before it in its chunk of lines and those of the
     chunks before, back to the contig's name line.
@@ -173,5 +211,6 @@ def responses(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def resources(spark: SparkSession, path: str) -> DataFrame:
-    """(path, bytes, sha256) of files."""
-    return spark.read.format("binaryFile").load(path).select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    """(path, bytes, sha256) of files, each streamed by one task; files may be of any size."""
+    listed = spark.read.format("binaryFile").load(path).select("path")
+    return files.digests(listed)

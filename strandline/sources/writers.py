@@ -1,68 +1,45 @@
 """Writers of annotation tables, variant files, plans, manifests and reports.
 
-Tables of any size are written by Spark. Files with one fixed name go to a
-temporary name beside it first and are renamed when they are complete.
+Tables of any size are written by Spark: one file of ordered lines is put together
+from the parts of a sorted table by tasks. Files get their name when they are
+complete.
 """
 
 from __future__ import annotations
 
-import gzip
 import hashlib
 import json
-import os
-import tempfile
-from collections.abc import Iterable, Iterator
-from pathlib import Path
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandline.functions import alleles
+from strandline.sources import bgzf, files
 
 
 def atomically(path: str, chunks: Iterable[bytes]) -> str:
-    """Write chunks under a temporary name, flush to disk, rename; returns the sha256. An old file stays if anything fails."""
-    target = Path(path)
-    target.parent.mkdir(parents=True, exist_ok=True)
+    """Write chunks of a small file under a temporary name, flush to disk, rename; returns the sha256. An old file stays if anything fails."""
     digest = hashlib.sha256()
-    handle, name = tempfile.mkstemp(prefix=f".{target.name}.", dir=target.parent)
-    try:
-        with os.fdopen(handle, "wb") as out:
-            for chunk in chunks:
-                digest.update(chunk)
-                out.write(chunk)
-            out.flush()
-            os.fsync(out.fileno())
-        os.replace(name, target)
-    except BaseException:
-        Path(name).unlink(missing_ok=True)
-        raise
-    return digest.hexdigest()
 
+    def told() -> Iterable[bytes]:
+        for chunk in chunks:
+            digest.update(chunk)
+            yield chunk
 
-def ordered_lines(lines: DataFrame, order: list[str], column: str = "line") -> Iterator[bytes]:
-    """Lines in order, a partition at a time; the driver never holds more than one."""
-    for row in lines.orderBy(*order).select(column).toLocalIterator():
-        yield (row[0] + "\n").encode()
+    files.write_bytes(path, told())
+    return digest.hexdigest()
 
 
-def write_lines(lines: DataFrame, order: list[str], path: str, header: Iterable[str] = ()) -> str:
-    """One text file, compressed if its name ends in .gz. For tables that fit one file; see ``write_shards`` for others."""
-    chunks = (x for part in ((f"{h}\n".encode() for h in header), ordered_lines(lines, order)) for x in part)
-    if path.endswith(".gz"):
-        chunks = (gzip.compress(x, mtime=0) for x in batched(chunks))
-    return atomically(path, chunks)
+def write_lines(lines: DataFrame, order: Sequence[str], path: str, header: Iterable[str] = (), span: tuple[Column, Column, Column] | None = None) -> bgzf.Written:
+    """The column ``line`` in order as one text file, in compressed blocks if its name ends in .gz; with ``span``, an index beside it."""
+    return bgzf.write(lines, order, path, list(header), span)
 
 
-def batched(chunks: Iterable[bytes], size: int = 1 << 20) -> Iterator[bytes]:
-    held, n = [], 0
-    for x in chunks:
-        held.append(x)
-        n += len(x)
-        if n >= size:
-            yield b"".join(held)
-            held, n = [], 0
-    yield b"".join(held)
+def record_span() -> tuple[Column, Column, Column]:
+    """Contig, start and stop, from 0 and half-open, of the bases of a record (chrom, pos, ref)."""
+    start = F.col("pos").cast("long") - 1
+    return F.col("chrom"), start, start + F.greatest(F.length("ref"), F.lit(1))
 
 
 def vcf_line(info: Column | None = None) -> Column:
@@ -70,18 +47,18 @@ def vcf_line(info: Column | None = None) -> Column:
     return F.concat_ws("\t", "chrom", F.col("pos").cast("string"), "id", "ref", "alt", "qual", "filter", F.col("info") if info is None else info)
 
 
-def write_vcf(records: DataFrame, path: str, header: list[str], info_key: str | None = None, description: str = "variant annotation") -> str:
-    """Records in the order of line_no; with ``info_key``, the annotation column (where not null) goes into INFO and its header line is added if it is missing."""
+def write_vcf(records: DataFrame, path: str, header: list[str], info_key: str | None = None, description: str = "variant annotation", indexed: bool = False) -> bgzf.Written:
+    """Records in the order of line_no, with an index if they are ``indexed`` (in order of contig and position); with ``info_key``, the annotation column (where not null) goes into INFO and its header line is added if it is missing."""
     lines = list(header)
     info = None
     if info_key is not None:
         info = alleles.with_info(F.col("info"), info_key, F.col("annotation"))
         if not any(h.startswith(f"##INFO=<ID={info_key},") for h in lines):
             lines.insert(max(len(lines) - 1, 0), f'##INFO=<ID={info_key},Number=.,Type=String,Description="{description}. Format: {"|".join(alleles.FIELDS)}">')
-    return write_lines(records.select("line_no", vcf_line(info).alias("line")), ["line_no"], path, lines)
+    return write_lines(records.select("line_no", "chrom", "pos", "ref", vcf_line(info).alias("line")), ["line_no"], path, lines, record_span() if indexed else None)
 
 
-def write_sample(records: DataFrame, order: list[str], path: str, header: list[str], info_key: str) -> str:
+def write_sample(records: DataFrame, order: list[str], path: str, header: list[str], info_key: str) -> bgzf.Written:
     """Sampled records without an INFO key, nor its header line."""
     kept = [h for h in header if not h.startswith(f"##INFO=<ID={info_key},")]
     return write_lines(records.select(*order, vcf_line(alleles.without_info(F.col("info"), info_key)).alias("line")), order, path, kept)
@@ -96,7 +73,7 @@ def annotation_line() -> Column:
     return F.concat_ws("\t", "name", "contig", "strand", F.col("start").cast("string"), F.col("stop").cast("string"), listed("exon_starts"), listed("exon_stops"))
 
 
-def write_annotations(annotations: DataFrame, path: str) -> str:
+def write_annotations(annotations: DataFrame, path: str) -> bgzf.Written:
     order = [alleles.contig_rank(F.col("contig")).alias("contig_rank"), "contig", "start", "name"]
     return write_lines(annotations.select(*order, annotation_line().alias("line")), ["contig_rank", "contig", "start", "name"], path, [ANNOTATION_HEADER])
 

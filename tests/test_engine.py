@@ -16,7 +16,7 @@ from strandline.functions import alleles, scores
 from strandline.operators import compare, intervals, ranking, sampling, scoring, transcripts, universe
 from strandline.plans import shards
 from strandline.sources import readers, writers
-from strandline.streaming import files
+from strandline.streaming import files as stream_files
 
 
 def one(spark, column, **values):
@@ -391,7 +391,7 @@ def test_stream(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
     (folder / "a.vcf").write_text(vcf_text([(1, "C|G|0.10|0.00|0.00|0.00|1|2|3|4"), (2, ".")]))
-    files.drain(files.parsed(files.arriving(spark, str(folder), "DELTA")), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination(60)
+    stream_files.drain(stream_files.parsed(stream_files.arriving(spark, str(folder), "DELTA")), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination(60)
     assert [r["ds_ag"] for r in spark.read.parquet(str(tmp_path / "out")).collect()] == ["0.10"]
 
 
