@@ -97,6 +97,10 @@ def unscored_entry(alt: Column, gene: Column) -> Column:
     return F.concat_ws("|", alt, gene, *([F.lit(".")] * (len(FIELDS) - 2)))
 
 
+NO_ALTERNATIVE, NO_TRANSCRIPT = "no alternative", "outside transcripts"
+UNREADABLE, OTHER_REFERENCE, NEAR_END, LONG_REFERENCE = "unreadable sequence", "another reference base", "context past the contig", "long reference allele"
+
+
 def skip_reason(has_alts: Column, n_transcripts: Column, window: Column, ref: Column, distance: int, context: int = 10_000) -> Column:
     """Why a record isn't scored, the first reason that applies; null if it is.
 
@@ -104,12 +108,12 @@ def skip_reason(has_alts: Column, n_transcripts: Column, window: Column, ref: Co
     """
     width = context + 2 * distance + 1
     return (
-        F.when(~has_alts, "bad input")
-        .when(n_transcripts == 0, "no transcript")
-        .when(window.isNull(), "fasta issue")
-        .when(F.upper(F.substring(window, F.lit(width // 2 + 1), F.length(ref))) != ref, "ref issue")
-        .when(F.length(window) != width, "near chromosome end")
-        .when(F.length(ref) > 2 * distance, "ref too long")
+        F.when(~has_alts, NO_ALTERNATIVE)
+        .when(n_transcripts == 0, NO_TRANSCRIPT)
+        .when(window.isNull(), UNREADABLE)
+        .when(F.upper(F.substring(window, F.lit(width // 2 + 1), F.length(ref))) != ref, OTHER_REFERENCE)
+        .when(F.length(window) != width, NEAR_END)
+        .when(F.length(ref) > 2 * distance, LONG_REFERENCE)
     )
 
 

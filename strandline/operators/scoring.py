@@ -1,9 +1,11 @@
 """Scoring of variant records by a pluggable batched model.
 
-Records meet transcripts by a stabbing join; every distinct reference input is
-scored once and joined back; alternative inputs are grouped by length inside
-Arrow batches, so that a model sees dense stacks. Formatting is done by column
-expressions.
+Records meet transcripts by a stabbing join; every distinct input, with the
+reference allele or an alternative, is scored once and joined back by its key.
+Windows of bases are attached last, in the one stage that also judges records and
+runs the models, so no sequence is shuffled after it was gathered. Inputs wait in
+a buffer for each length until a batch is full, whatever Arrow batch they came in.
+Formatting is done by column expressions.
 """
 
 from __future__ import annotations
@@ -18,8 +20,11 @@ from pyspark.sql import functions as F
 
 from strandline.functions import alleles, scores
 from strandline.operators.intervals import nearest_of, stab
+from strandline.sources import files
 
 CONTEXT = 10_000
+#: Bases that may wait in a task for a full batch.
+HELD = 1 << 28
 
 
 class Scorer(Protocol):
@@ -67,19 +72,59 @@ def ensemble(models: list[Scorer], inputs: np.ndarray, batch_size: int) -> np.nd
     return total / np.float32(len(models))
 
 
+def length_batches(frames: Iterator[pd.DataFrame], batch_size: int, bound: int = HELD) -> Iterator[pd.DataFrame]:
+    """Rows of ``frames`` in batches of one length of ``sequence``, all of ``batch_size`` but the last of each length.
+
+    Rows wait for their batch over any number of frames. Beyond ``bound`` bases that
+    wait, which takes very many different lengths, the length that holds most is let go.
+    """
+    waiting: dict[int, list[pd.DataFrame]] = {}
+    counts: dict[int, int] = {}
+    for frame in frames:
+        for length, some in frame.groupby(frame["sequence"].str.len(), sort=True):
+            waiting.setdefault(length, []).append(some)
+            counts[length] = counts.get(length, 0) + len(some)
+            if counts[length] >= batch_size:
+                every = pd.concat(waiting[length])
+                full = len(every) - len(every) % batch_size
+                for at in range(0, full, batch_size):
+                    yield every.iloc[at : at + batch_size]
+                waiting[length], counts[length] = [every.iloc[full:]], len(every) - full
+        while sum(n * c for n, c in counts.items()) > bound:
+            most = max(counts, key=lambda n: n * counts[n])
+            yield pd.concat(waiting.pop(most))
+            del counts[most]
+    for length in sorted(waiting):
+        if counts[length]:
+            yield pd.concat(waiting[length])
+
+
 def predicted(inputs: DataFrame, load: Callable[[], list[Scorer]], batch_size: int) -> DataFrame:
-    """``inputs`` (key, sequence) with acceptor and donor arrays; models are loaded once a task, equal lengths stacked."""
+    """``inputs`` (any keys, sequence) with acceptor and donor arrays in place of the sequence, null where that is null; models are loaded once a task."""
+    files.ship(inputs.sparkSession)
+    keys = [c for c in inputs.columns if c != "sequence"]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        models = load()
-        for frame in frames:
-            for _, some in frame.groupby(frame["sequence"].str.len(), sort=True):
-                for at in range(0, len(some), batch_size):
-                    part = some.iloc[at : at + batch_size]
-                    found = ensemble(models, one_hot(part["sequence"].tolist()), batch_size)
-                    yield pd.DataFrame({"key": part["key"], "acceptor": list(found[:, :, 1]), "donor": list(found[:, :, 2])})
+        models: list[Scorer] = []
+        passed: list[pd.DataFrame] = []
+
+        def spelt() -> Iterator[pd.DataFrame]:
+            for frame in frames:
+                if (rest := frame[frame["sequence"].isna()]).size:
+                    passed.append(rest[keys].assign(acceptor=None, donor=None))
+                if len(own := frame[frame["sequence"].notna()]):
+                    yield own
+
+        for part in length_batches(spelt(), batch_size):
+            models = models or load()
+            found = ensemble(models, one_hot(part["sequence"].tolist()), batch_size)
+            yield part[keys].assign(acceptor=list(found[:, :, 1]), donor=list(found[:, :, 2]))
+            while passed:
+                yield passed.pop()
+        yield from passed
 
-    return inputs.select("key", "sequence").mapInPandas(run, "key string, acceptor array<float>, donor array<float>")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in inputs.schema.fields if f.name != "sequence")
+    return inputs.select(*keys, "sequence").mapInPandas(run, f"{schema}, acceptor array<float>, donor array<float>")
 
 
 def by_length(sequences: DataFrame, column: str = "sequence") -> DataFrame:
@@ -120,43 +165,46 @@ def annotate(records: DataFrame, transcripts: DataFrame, blocks: DataFrame, load
     if batch_size < 1:
         raise ValueError("batch_size must be positive")
     cov, width = 2 * distance + 1, context + 2 * distance + 1
-    hits = stab(records, transcripts)
-    counted = hits.groupBy("line_no").agg(F.count("*").alias("n"))
-    known = records.join(counted, "line_no", "left").join(windows(hits, blocks, width // 2, block_size), ["contig", "pos"], "left")
-    reason = alleles.skip_reason(F.coalesce(F.size("alts") > 0, F.lit(False)), F.coalesce("n", F.lit(0)), F.col("window"), F.col("ref"), distance, context)
-    judged = known.withColumn("skip_reason", reason)
-    fine = judged.where("skip_reason is null").select("line_no", "window")
-    tasks = (
-        hits.join(fine, "line_no")
-        .select("*", F.posexplode("alts").alias("alt_no", "alt"))
-        .where(~alleles.is_symbolic(F.col("alt")))
-        .withColumn("entry", F.when(alleles.is_block_substitution(F.col("ref"), F.col("alt")), alleles.unscored_entry(F.col("alt"), F.col("gene"))))
-    )
     half = width // 2
     bounds = F.array_union(F.transform("exon_starts", lambda b: b + 1), F.col("exon_stops"))
-    ready = tasks.where("entry is null").withColumn("exon", nearest_of(bounds, F.col("pos")).cast("int"))
-    padded = alleles.padded_window(F.col("window"), F.lit(width), F.col("start") + 1 - F.col("pos"), F.col("stop") - F.col("pos"))
-    turned = lambda c: F.when(F.col("strand") == "-", alleles.reverse_complement(c)).otherwise(c)
-    alt_input = F.concat(F.substring("padded", F.lit(1), F.lit(half)), F.col("alt"), F.substring("padded", F.lit(half + 1) + F.length("ref"), F.lit(width)))
-    ready = (
-        ready.withColumn("padded", F.upper(padded))
-        .withColumn("ref_key", F.concat_ws(":", "contig", "pos", "transcript"))
-        .withColumn("alt_key", F.concat_ws(":", "ref_key", "ref", "alt"))
-    )
-    refs = ready.select(F.col("ref_key").alias("key"), turned(F.col("padded")).alias("sequence")).dropDuplicates(["key"])
-    alts = ready.select(F.col("alt_key").alias("key"), turned(alt_input).alias("sequence")).dropDuplicates(["key"])
-    of_ref = predicted(refs, load, batch_size).toDF("ref_key", "ref_acceptor", "ref_donor")
-    of_alt = predicted(alts, load, batch_size).toDF("alt_key", "alt_acceptor", "alt_donor")
+    # a row for each record, alternative and transcript, without bases
+    met = stab(records, transcripts).withColumn("exon", nearest_of(bounds, F.col("pos")).cast("int"))
+    tasks = files.written(met.select("line_no", "contig", "pos", "ref", "transcript", "gene", "strand", "start", "stop", "exon", F.posexplode("alts").alias("alt_no", "alt")), "scoring-tasks")
+    scorable = tasks.where(~alleles.is_symbolic(F.col("alt")) & ~alleles.is_block_substitution(F.col("ref"), F.col("alt")))
+    place = ["contig", "pos", "transcript", "strand", "start", "stop"]
+    # a record's verdict needs its window as well; both are told in one pass over the windows
+    nothing = lambda kind, *names: [F.lit(None).cast(kind).alias(c) for c in names]
+    columns = ["line_no", *place, "refs", "alt"]
+    judged = tasks.select("line_no", "contig", "pos", "ref").distinct().select("line_no", "contig", "pos", *nothing("long", "transcript"), *nothing("string", "strand"), *nothing("long", "start", "stop"), F.array("ref").alias("refs"), *nothing("string", "alt"))
+    # the reference is predicted once for a place and transcript, whatever alleles records have there
+    whole = scorable.groupBy(*place).agg(F.collect_set("ref").alias("refs")).select(*nothing("long", "line_no"), *place, "refs", *nothing("string", "alt"))
+    changed_to = scorable.select(*place, "ref", "alt").distinct().select(*nothing("long", "line_no"), *place, F.array("ref").alias("refs"), "alt")
+    items = judged.select(*columns).unionByName(whole).unionByName(changed_to).join(windows(tasks, blocks, half, block_size), ["contig", "pos"], "left")
+    why = lambda ref: alleles.skip_reason(F.lit(True), F.lit(1), F.col("window"), ref, distance, context)
+    padded = F.upper(alleles.padded_window(F.col("window"), F.lit(width), F.col("start") + 1 - F.col("pos"), F.col("stop") - F.col("pos")))
+    own = items.withColumn("skip_reason", why(F.col("refs")[0])).withColumn("fits", F.exists("refs", lambda r: why(r).isNull())).withColumn("padded", F.when(F.col("line_no").isNull() & F.col("fits"), padded))
+    changed = F.when(F.col("alt").isNull(), F.col("padded")).otherwise(F.concat(F.substring("padded", F.lit(1), F.lit(half)), F.col("alt"), F.substring("padded", F.lit(half + 1) + F.length(F.col("refs")[0]), F.lit(width))))
+    turned = F.when(F.col("strand") == "-", alleles.reverse_complement(changed)).otherwise(changed)
+    asked = own.where("line_no is not null or fits").select("line_no", "contig", "pos", "transcript", F.col("refs")[0].alias("ref"), "alt", "skip_reason", turned.alias("sequence"))
+    told = files.written(predicted(asked, load, batch_size), "scoring-predictions")
+    verdicts = told.where("line_no is not null").select("line_no", F.lit(True).alias("met"), F.col("skip_reason").alias("window_reason"))
+    fine = tasks.join(verdicts.where("window_reason is null").select("line_no"), "line_no")
+    key = ["contig", "pos", "transcript"]
+    of_ref = told.where("line_no is null and alt is null").select(*key, F.col("acceptor").alias("ref_acceptor"), F.col("donor").alias("ref_donor"))
+    of_alt = told.where("line_no is null and alt is not null").select(*key, "ref", "alt", F.col("acceptor").alias("alt_acceptor"), F.col("donor").alias("alt_donor"))
+    both = fine.join(of_ref, key).join(of_alt, [*key, "ref", "alt"])
     minus = F.col("strand") == "-"
-    both = ready.drop("window", "padded").join(of_ref, "ref_key").join(of_alt, "alt_key")
     channel = lambda name: scores.channel_scores(scores.oriented(F.col(f"ref_{name}"), minus), scores.oriented(F.col(f"alt_{name}"), minus), cov, F.length("ref"), F.length("alt"))
     peaks = dict(zip(("ag", "al", "dg", "dl"), (*channel("acceptor"), *channel("donor"))))
     # peaks are columns first, so that no array is gone through twice
     found = both.select("line_no", "alt_no", "transcript", "alt", "gene", "exon", *(c.alias(name) for name, c in peaks.items()))
     scored = found.withColumn("entry", scores.score_entry(F.col("alt"), F.col("gene"), (F.col("ag"), F.col("al")), (F.col("dg"), F.col("dl")), cov, F.col("exon"), mask))
-    every = scored.select("line_no", "alt_no", "transcript", "entry").unionByName(tasks.where("entry is not null").select("line_no", "alt_no", "transcript", "entry"))
-    told = every.groupBy("line_no").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("alt_no", "transcript", "entry"))), lambda x: x["entry"]), ",").alias("annotation"))
-    return judged.select("line_no", "skip_reason").join(told, "line_no", "left")
+    passed = fine.where(~alleles.is_symbolic(F.col("alt")) & alleles.is_block_substitution(F.col("ref"), F.col("alt"))).withColumn("entry", alleles.unscored_entry(F.col("alt"), F.col("gene")))
+    every = scored.select("line_no", "alt_no", "transcript", "entry").unionByName(passed.select("line_no", "alt_no", "transcript", "entry"))
+    entries = every.groupBy("line_no").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("alt_no", "transcript", "entry"))), lambda x: x["entry"]), ",").alias("annotation"))
+    known = records.join(verdicts, "line_no", "left")
+    skipped = F.when(~F.coalesce(F.size("alts") > 0, F.lit(False)), alleles.NO_ALTERNATIVE).when(F.col("met").isNull(), alleles.NO_TRANSCRIPT).otherwise(F.col("window_reason"))
+    return known.select("line_no", skipped.alias("skip_reason")).join(entries, "line_no", "left")
 
 
 def numbered_transcripts(annotations: DataFrame) -> DataFrame:

@@ -10,14 +10,18 @@ transcripts and exons = orders and lineitem; strata = customer.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.functions import alleles, scores
 from strandline.operators import compare, intervals, ranking, scoring, transcripts, universe
-from strandline.plans import shards
+from strandline.plans import demo, shards
+from strandline.sources import bgzf, files, readers, writers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -175,11 +179,40 @@ def range_scan(spark, sf_dir):
     return scanned(spark, sf_dir, table(spark, sf_dir, "lineitem").where("l_linenumber = 1"))
 
 
-@query()
+RECORDS = "records as (select o_custkey % 50 as contig, o_orderkey + {shift} as pos, repeat('A', cast(1 + o_orderkey % 4 as integer)) as ref from orders)"
+SPANS = "spans as (select distinct l_suppkey % 50 as contig, l_orderkey as start, l_orderkey + 2 as stop, l_suppkey as name from lineitem)"
+MEET = "select r.contig, pos, start, name from records r join spans s on r.contig = s.contig and pos - 1 < stop and pos - 1 + length(ref) > start"
+
+
+@query(f"with {RECORDS.format(shift=0)}, {SPANS} {MEET}")
 def range_scan_all(spark, sf_dir):
     return scanned(spark, sf_dir, table(spark, sf_dir, "lineitem"))
 
 
+def order_file(spark: SparkSession, sf_dir: str) -> str:
+    """Orders as records of a block-compressed file with an index, in the shared folder."""
+    key = F.col("o_orderkey")
+    records = table(spark, sf_dir, "orders").select((F.col("o_custkey") % 50).cast("string").alias("chrom"), (key + 1).alias("pos"), F.concat(F.lit("o"), key.cast("string")).alias("id"), F.repeat(F.lit("A"), (key % 4 + 1).cast("int")).alias("ref"), *(F.lit(".").alias(c) for c in ("alt", "qual", "filter", "info")))
+    path = f"{files.shared_dir(spark)}/orders-{uuid.uuid4().hex}.vcf.gz"
+    lines = records.select("chrom", "pos", "id", "ref", writers.vcf_line().alias("line"))
+    writers.write_lines(lines, ["chrom", "pos", "id"], path, ["##fileformat=VCFv4.2"], writers.record_span())
+    return path
+
+
+@query(f"with {RECORDS.format(shift=1)}, {SPANS} {MEET}")
+def indexed_range_scan(spark, sf_dir):
+    """The spans of all lines, read from the blocks that the file's index names."""
+    wanted = table(spark, sf_dir, "lineitem").select((F.col("l_suppkey") % 50).cast("string").alias("contig"), F.col("l_orderkey").alias("start"), (F.col("l_orderkey") + 2).alias("stop"), F.col("l_suppkey").alias("name")).distinct()
+    return readers.vcf_range(spark, order_file(spark, sf_dir), wanted, "DELTA").select(F.col("contig").cast("long").alias("contig"), "pos", "start", "name")
+
+
+@query("select cast(1 + row_number() over (order by cast(o_custkey % 50 as varchar), o_orderkey) as bigint) as line_no, o_orderkey from orders")
+def block_line_numbers(spark, sf_dir):
+    """Lines of a block-compressed file, written by one sort and read by ranges of its bytes, with their numbers."""
+    lines = bgzf.numbered(spark, order_file(spark, sf_dir), 1 << 16)
+    return lines.where(~F.col("value").startswith("#")).select("line_no", F.substring(F.split("value", "\t")[2], 2, 20).cast("long").alias("o_orderkey"))
+
+
 def scanned(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
     """Records of orders that meet the spans of ``lines``."""
     records = table(spark, sf_dir, "orders").select((F.col("o_custkey") % 50).alias("contig"), F.col("o_orderkey").alias("pos"), F.repeat(F.lit("A"), (F.col("o_orderkey") % 4 + 1).cast("int")).alias("ref"))
@@ -265,8 +298,8 @@ def symbolic_allele_filter(spark, sf_dir):
 @query("""with r as (select o_orderkey, o_orderkey % 11 <> 0 as has_alts, o_orderkey % 7 as n,
   case when o_orderkey % 13 = 0 then null else repeat('a', 5002) || case when o_orderkey % 5 = 0 then 'c' else 'g' end || repeat('t', cast(5002 - o_orderkey % 2 as integer)) end as win,
   case when o_orderkey % 3 = 0 then 'GTTTTT' else 'G' end as ref from orders)
-select o_orderkey, case when not has_alts then 'bad input' when n = 0 then 'no transcript' when win is null then 'fasta issue' when upper(win[5003:5002 + length(ref)]) <> ref then 'ref issue'
-  when length(win) <> 10005 then 'near chromosome end' when length(ref) > 4 then 'ref too long' end as reason from r""")
+select o_orderkey, case when not has_alts then 'no alternative' when n = 0 then 'outside transcripts' when win is null then 'unreadable sequence' when upper(win[5003:5002 + length(ref)]) <> ref then 'another reference base'
+  when length(win) <> 10005 then 'context past the contig' when length(ref) > 4 then 'long reference allele' end as reason from r""")
 def skip_reason(spark, sf_dir):
     key = F.col("o_orderkey")
     middle = F.when(key % 5 == 0, "c").otherwise("g")
@@ -349,11 +382,23 @@ def minus_strand_orientation(spark, sf_dir):
     return table(spark, sf_dir, "embeddings").select("vec_id", F.element_at(turned, 1).cast("double").alias("first"), F.element_at(turned, -1).cast("double").alias("last"))
 
 
-@query("""with e as (select vec_id // 5 as batch, vec_id % 5 as model, unnest(embedding) as x, unnest(range(64)) as place from embeddings)
-select batch, cast(place as integer) as place, count(*) as models, round(avg(cast(x as double)), 4) + 0.0 as mean from e group by batch, place""")
+@query("""with models as (select vec_id // 5 as batch, count(*) as models, list(embedding order by vec_id) as found from embeddings group by 1),
+summed as (select batch, models, list_reduce(found, lambda a, b: list_transform(list_zip(a, b), lambda x: x[1] + x[2])) as total from models)
+select batch, cast(place as integer) as place, models, cast(cast(x as float) / cast(models as float) as double) as mean
+from (select batch, models, unnest(total) as x, unnest(range(64)) as place from summed)""")
 def ensemble_mean(spark, sf_dir):
-    spread = table(spark, sf_dir, "embeddings").select(F.floor(F.col("vec_id") / 5).alias("batch"), F.posexplode("embedding").alias("place", "x"))
-    return spread.groupBy("batch", "place").agg(F.count("*").alias("models"), (F.round(F.avg(F.col("x").cast("double")), 4) + F.lit(0.0)).alias("mean"))
+    """The mean of five models, each of which predicts a vector, in single precision and in their order."""
+    files.ship(spark)
+    batches = table(spark, sf_dir, "embeddings").groupBy(F.floor(F.col("vec_id") / 5).alias("batch")).agg(F.array_sort(F.collect_list(F.struct("vec_id", "embedding"))).alias("found"))
+
+    def run(frames):
+        for frame in frames:
+            for batch, found in zip(frame["batch"], frame["found"]):
+                told = [demo.Told(np.asarray(f["embedding"], np.float32)) for f in found]
+                mean = scoring.ensemble(told, np.zeros((1, 64, 4), np.uint8), 1)[0]
+                yield pd.DataFrame({"batch": batch, "place": np.arange(len(mean), dtype=np.int32), "models": len(told), "mean": mean.astype(np.float64)})
+
+    return batches.mapInPandas(run, "batch long, place int, models long, mean double")
 
 
 @query(f"""with {POINTS}, keys as (select distinct contig, pos % 1000 as pos from points), done as (select contig, pos, (contig * 31 + pos * 17) % 101 as score from keys)
@@ -624,9 +669,7 @@ def pending_shards(spark, sf_dir):
 @query()
 def scored_variants(spark, sf_dir):
     """Records at the middle of every sequence, scored end to end by the stub model over the whole context."""
-    from strandline.plans.demo import scored
-
-    return scored(sequences(spark, sf_dir))
+    return demo.scored(sequences(spark, sf_dir))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +12,16 @@ from strandline.operators import scoring
 WEIGHTS = (0.6, 0.8, 1.0, 1.2, 1.4)
 
 
+class Told:
+    """A model that predicts the same array for every input."""
+
+    def __init__(self, found: np.ndarray):
+        self.found = found
+
+    def predict(self, inputs: np.ndarray, batch_size: int, verbose: int) -> np.ndarray:
+        return np.repeat(self.found[None], len(inputs), axis=0)
+
+
 def models() -> list[scoring.Scorer]:
     return [scoring.StubScorer(w) for w in WEIGHTS]
 
