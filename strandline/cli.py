@@ -1,4 +1,4 @@
-"""Command lines: score, compare, check, sample, convert, runtime, universe."""
+"""Command lines: score, run, compare, check, sample, convert, runtime, plan, generate, finalize."""
 
 from __future__ import annotations
 
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from strandline import __version__
 from strandline.operators import compare, sampling, scoring, transcripts
-from strandline.plans import shards
+from strandline.plans import runner, shards
 from strandline.sources import bgzf, readers, writers
 
 INFO_KEY = "DELTA"
@@ -40,6 +40,7 @@ def parser() -> argparse.ArgumentParser:
     add("runtime", (("--output",), {}), (("--resources",), {"nargs": "*", "default": []}))
     add("plan", (("--annotation",), need), (("--reference",), need), (("--output",), need), (("--target-records",), {"type": int, "default": 1_000_000}), (("--kind",), {"choices": ("snv", "indel", "both"), "default": "both"}), (("--annotation-release",), {"default": "unknown"}), (("--annotation-sha256",), {}), (("--reference-sha256",), {}))
     add("generate", (("--plan",), need), (("--task-id",), need | {"type": int}), (("--last-task-id",), {"type": int, "help": "go on to this task"}), (("--output-dir",), need), (("--reference",), {}), (("--reference-sha256",), {}), (("--concurrency",), {"type": int, "default": 1, "help": "shards made at a time"}), (("--threads",), {"type": int, "help": "tasks that compress a shard"}))
+    add("run", (("--manifest",), need), (("--output-dir",), need), (("--reference",), need), (("--annotation",), need), (("--distance",), {"type": int, "default": 500}), (("--mask",), {"type": int, "choices": (0, 1), "default": 1}), (("--batch-size",), {"type": int, "default": 256}), (("--chunk-records",), {"type": int, "default": 4096}), (("--models",), {"default": "strandline.plans.demo:models"}), (("--first-task",), {"type": int, "default": 1}), (("--last-task",), {"type": int}), (("--concurrency",), {"type": int, "default": 1, "help": "shards scored at a time"}))
     add("finalize", (("--plan",), need), (("--input-dir",), need), (("--output",), need), (("--verify-checksums",), {"action": "store_true"}))
     return top
 
@@ -77,6 +78,16 @@ def scored_file(spark: SparkSession, source: str, target: str, reference: str, a
     return writers.write_vcf(out, target, header_of(spark, source), info_key, indexed=indexed)
 
 
+def run(spark: SparkSession, a: argparse.Namespace) -> int:
+    settings = runner.Settings(a.reference, a.annotation, a.distance, bool(a.mask), a.batch_size, a.chunk_records, a.models, a.info_key)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(a.chunk_records))
+    module, _, name = a.models.partition(":")
+    load = getattr(importlib.import_module(module), name)
+    scored = lambda source, target: scored_file(spark, source, target, a.reference, a.annotation, load, a.distance, bool(a.mask), a.batch_size, a.info_key, indexed=True).lines
+    print(runner.run(spark, a.manifest, a.output_dir, settings, scored, a.first_task, a.last_task, a.concurrency))
+    return 0
+
+
 def differ(spark: SparkSession, a: argparse.Namespace) -> int:
     reports: DataFrame | None = None
     base = readers.vcf(spark, a.baseline, a.info_key)
@@ -150,7 +161,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if a.command == "finalize":
         print(shards.finalize(spark, a.plan, a.input_dir, a.output, a.verify_checksums))
         return 0
-    return {"score": score, "compare": differ, "check": check, "sample": sample, "convert": convert, "runtime": runtime}[a.command](spark, a)
+    return {"score": score, "run": run, "compare": differ, "check": check, "sample": sample, "convert": convert, "runtime": runtime}[a.command](spark, a)
 
 
 if __name__ == "__main__":
