@@ -16,12 +16,15 @@ from it to the body is the threshold. Starting at the body, blocks below the
 threshold are dropped, and of each block that reaches it, at any depth, the one
 with the largest density sum in its subtree is kept as content, whole.
 
-Blocks that can't hold the article by their very meaning are not counted:
-scripts, styles, forms, menus, headers and footers outside the article, asides,
-and elements whose class, id or role names an advert, notice, menu, sidebar or
-comment list. A class or id counts as a whole ("sidebar", not "has-sidebar"). None
-of this is asked of the subtree with the largest sum, taken over all blocks, and
-of what is around it: there the density decides.
+Blocks that can't hold the article by their very meaning are not counted, however
+much they hold: scripts, styles, forms, menus, headers and footers outside the
+article, asides, reader comments, and elements whose class, id or role names an
+advert, notice, menu or sidebar. A class or id counts as a whole ("sidebar", not
+"has-sidebar"). Two things overrule such a name: a class, id or form around the
+page's ``main`` or ``h1`` is a wrapper; and if next to no text is left without the
+elements that a class or id names, the density decides which of them isn't one. A
+paragraph or heading below the densest subtree, or in an article, stays whatever
+its class.
 
 Defined results: a null or empty html gives an empty text. A page without tags
 is one block of text. Character references are decoded (cut ones as far as
@@ -79,10 +82,18 @@ OUTER = frozenset("header top topbar top-bar bottom copyright legal disclaimer".
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar".split())
 
 
+#: How an element says that it isn't the article: by class or id (or as a form, which may be around a whole page), or by its kind.
+SOFT, HARD = 1, 2
+COMMENTS = re.compile(r"(?:(?:site|page|main|primary|secondary|global|user|reader)[-_]+)?(?:comments?|comment-?list|disqus|replies|responses)(?:[-_]+\w+)*", re.I)
+PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6".split())
+#: Characters outside links that are next to no text.
+LITTLE = 50
+
+
 class Node:
     __slots__ = ("tag", "parent", "children", "named", "inside", "dropped", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
-    def __init__(self, tag: str, parent: Node | None, named: bool = False):
+    def __init__(self, tag: str, parent: Node | None, named: int = 0):
         self.tag, self.parent, self.named, self.dropped = tag, parent, named, False
         self.inside = tag in ("article", "main") or parent is not None and parent.inside
         self.children: list[Node | str] = []
@@ -90,21 +101,27 @@ class Node:
         self.density = self.total = 0.0
 
 
-def _boilerplate(tag: str, attributes: str, parent: Node) -> bool:
-    """Whether an element says of itself that it isn't the article."""
+def _boilerplate(tag: str, attributes: str, parent: Node) -> int:
+    """Whether, and how, an element says of itself that it isn't the article."""
     if tag in DROPPED:
-        return True
+        return SOFT if tag == "form" else HARD
     if tag == "header":  # the article's own header holds its title
-        return not parent.inside
+        return 0 if parent.inside else HARD
     if not attributes or tag in ("html", "body", "article", "main"):
-        return False
+        return 0
+    named = 0
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
-        if name in ("class", "id") and (any(map(BOILERPLATE.fullmatch, value.split())) or not OUTER.isdisjoint(value.lower().split()) and not parent.inside) or name == "role" and value.lower() in ROLES:
-            return True
-        if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and re.search(r"display\s*:\s*none", value, re.I):
-            return True
-    return False
+        if name in ("class", "id"):
+            if any(map(COMMENTS.fullmatch, value.split())) and tag not in PARAGRAPHS:
+                return HARD
+            if any(map(BOILERPLATE.fullmatch, value.split())) or not OUTER.isdisjoint(value.lower().split()) and not parent.inside:
+                named = SOFT
+        elif name == "role" and value.lower() in ROLES:
+            return HARD
+        elif name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and re.search(r"display\s*:\s*none", value, re.I):
+            return HARD
+    return named
 
 
 def tokens(page: str) -> Iterator[tuple[str, str, str]]:
@@ -276,20 +293,50 @@ def _around(node: Node) -> Node | None:
     return up
 
 
-def main_nodes(root: Node) -> list[Node]:
-    """The content nodes in page order, none below another."""
-    body, inside = _weigh(root)
+def _densest(inside: list[Node]) -> Node:
+    """The block of the largest sum; of equal ones that hold nothing else, the innermost."""
     top = max(inside, key=lambda x: x.total)
-    for node in inside:  # of equal ones that hold nothing else, the innermost
+    for node in inside:
         if node.total == top.total and _around(node) is top:
             top = node
-    decided = {*_above(top, root)}
-    stack = [root]
-    while stack:  # what says it isn't the article, unless it holds the densest subtree
+    return top
+
+
+def main_nodes(root: Node) -> list[Node]:
+    """The content nodes in page order, none below another."""
+    every, stack = [], [root]
+    while stack:
         node = stack.pop()
-        node.dropped = node.named and node not in decided
+        every.append(node)
         stack += [x for x in node.children if not isinstance(x, str)]
+    wrappers: set[Node] = set()  # what is around the page's main element or heading
+    for node in every:
+        if node.tag == "main" or node.tag == "h1":
+            while node is not None and node not in wrappers:
+                wrappers.add(node)
+                node = node.parent
+        elif node.tag == "body":  # an unclosed head is around it
+            for up in _above(node, root):
+                up.named = 0
+    for node in every:
+        node.dropped = bool(node.named) and not (node.named == SOFT and node in wrappers)
     body, inside = _weigh(root)
+    if body.chars - body.link_chars >= LITTLE:
+        top = _densest(inside)
+    else:
+        for node in every:
+            node.dropped = node.named == HARD
+        body, inside = _weigh(root)
+        top = _densest(inside)
+        decided = {*_above(top, root)}
+        for node in every:
+            node.dropped = node.dropped or node.named == SOFT and node not in decided and node not in wrappers
+        body, inside = _weigh(root)
+    kept = [x for x in every if x.dropped and x.named == SOFT and x.tag in PARAGRAPHS and (x.inside or any(y is top for y in _above(x, root)))]
+    if kept:
+        for node in kept:
+            node.dropped = False
+        body, inside = _weigh(root)
     if not body.chars:
         return []
     # the block of the largest sum in each subtree, the first of equal ones
