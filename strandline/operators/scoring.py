@@ -100,7 +100,10 @@ def length_batches(frames: Iterator[pd.DataFrame], batch_size: int, bound: int =
 
 
 def predicted(inputs: DataFrame, load: Callable[[], list[Scorer]], batch_size: int) -> DataFrame:
-    """``inputs`` (any keys, sequence) with acceptor and donor arrays in place of the sequence, null where that is null; models are loaded once a task."""
+    """``inputs`` (any keys, sequence) with acceptor and donor arrays in place of the sequence, null where that is null; models are loaded once a task.
+
+    Where a key ``minus`` is true, the model sees the reverse complement.
+    """
     files.ship(inputs.sparkSession)
     keys = [c for c in inputs.columns if c != "sequence"]
 
@@ -117,7 +120,11 @@ def predicted(inputs: DataFrame, load: Callable[[], list[Scorer]], batch_size: i
 
         for part in length_batches(spelt(), batch_size):
             models = models or load()
-            found = ensemble(models, one_hot(part["sequence"].tolist()), batch_size)
+            inputs = one_hot(part["sequence"].tolist())
+            if "minus" in keys:
+                minus = part["minus"].to_numpy(bool)
+                inputs[minus] = inputs[minus][:, ::-1, ::-1]  # bases are in an order whose reverse is their complements
+            found = ensemble(models, inputs, batch_size)
             yield part[keys].assign(acceptor=list(found[:, :, 1]), donor=list(found[:, :, 2]))
             while passed:
                 yield passed.pop()
@@ -184,8 +191,7 @@ def annotate(records: DataFrame, transcripts: DataFrame, blocks: DataFrame, load
     padded = F.upper(alleles.padded_window(F.col("window"), F.lit(width), F.col("start") + 1 - F.col("pos"), F.col("stop") - F.col("pos")))
     own = items.withColumn("skip_reason", why(F.col("refs")[0])).withColumn("fits", F.exists("refs", lambda r: why(r).isNull())).withColumn("padded", F.when(F.col("line_no").isNull() & F.col("fits"), padded))
     changed = F.when(F.col("alt").isNull(), F.col("padded")).otherwise(F.concat(F.substring("padded", F.lit(1), F.lit(half)), F.col("alt"), F.substring("padded", F.lit(half + 1) + F.length(F.col("refs")[0]), F.lit(width))))
-    turned = F.when(F.col("strand") == "-", alleles.reverse_complement(changed)).otherwise(changed)
-    asked = own.where("line_no is not null or fits").select("line_no", "contig", "pos", "transcript", F.col("refs")[0].alias("ref"), "alt", "skip_reason", turned.alias("sequence"))
+    asked = own.where("line_no is not null or fits").select("line_no", "contig", "pos", "transcript", F.col("refs")[0].alias("ref"), "alt", "skip_reason", (F.col("strand") == "-").alias("minus"), changed.alias("sequence"))
     told = files.written(predicted(asked, load, batch_size), "scoring-predictions")
     verdicts = told.where("line_no is not null").select("line_no", F.lit(True).alias("met"), F.col("skip_reason").alias("window_reason"))
     fine = tasks.join(verdicts.where("window_reason is null").select("line_no"), "line_no")
