@@ -24,17 +24,39 @@ def _islands(rows: DataFrame, *by: str) -> DataFrame:
 
 
 def union(intervals: DataFrame, bin_size: int = BIN) -> DataFrame:
-    """(contig, start, stop) of the islands of ``intervals``: first within bins of starts, then of what is left."""
-    valid = intervals.select("contig", F.col("start").cast("long"), F.col("stop").cast("long")).where("start >= 0 and stop > start")
-    local = _islands(valid.withColumn("bin", F.floor(F.col("start") / bin_size)), "contig", "bin")
-    return _islands(local.select("contig", "start", "stop"), "contig")
-
+    """(contig, start, stop) of the islands of ``intervals``.
 
-def tiles(islands: DataFrame, capacity: int) -> DataFrame:
-    """(contig, tile, start, stop): islands cut so that each tile of a contig holds ``capacity`` bases, the last what is left."""
-    before = Window.partitionBy("contig").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    laid = islands.withColumn("at", F.coalesce(F.sum(F.col("stop") - F.col("start")).over(before), F.lit(0)).cast("long"))
+    Islands are made within bins of starts, which hold no more distinct starts than
+    positions. A bin tells how far it reaches and where its last island begins; along
+    the bins of a contig, the reach of those before says which islands go on with an
+    earlier one, and the last of those that don't is where that one begins. So the
+    only order of a whole contig is that of one row a bin.
+    """
+    valid = intervals.select("contig", F.col("start").cast("long"), F.col("stop").cast("long")).where("start >= 0 and stop > start").groupBy("contig", "start").agg(F.max("stop").alias("stop"))
+    local = _islands(valid.withColumn("bin", F.floor(F.col("start") / bin_size)), "contig", "bin")
+    before = Window.partitionBy("contig").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    bins = local.groupBy("contig", "bin").agg(F.max("stop").alias("far"), F.max("start").alias("final")).withColumn("reach", F.max("far").over(before))
+    # the last island of a bin begins a new one if any of the bin does
+    begun = bins.withColumn("begun", F.when(F.col("reach").isNull() | (F.col("final") > F.col("reach")), F.col("final")))
+    known = begun.select("contig", "bin", "reach", F.last("begun", True).over(before).alias("earlier"))
+    inside = Window.partitionBy("contig", "bin").orderBy("start").rowsBetween(Window.unboundedPreceding, 0)
+    opens = F.when(F.col("reach").isNull() | (F.col("start") > F.col("reach")), F.col("start"))
+    named = local.join(known, ["contig", "bin"]).withColumn("first", F.coalesce(F.last(opens, True).over(inside), F.col("earlier")))
+    return named.groupBy("contig", "first").agg(F.max("stop").alias("stop")).select("contig", F.col("first").alias("start"), "stop")
+
+
+def tiles(islands: DataFrame, capacity: int, bin_size: int = BIN) -> DataFrame:
+    """(contig, tile, start, stop): islands cut so that each tile of a contig holds ``capacity`` bases, the last what is left.
+
+    Bases before an island are those of the bins of starts before its own, one row a
+    bin, and those before it in its bin.
+    """
     size = F.col("stop") - F.col("start")
+    binned = islands.withColumn("bin", F.floor(F.col("start") / bin_size))
+    before = Window.partitionBy("contig").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    sums = binned.groupBy("contig", "bin").agg(F.sum(size).alias("bases")).select("contig", "bin", F.coalesce(F.sum("bases").over(before), F.lit(0)).alias("earlier"))
+    inside = Window.partitionBy("contig", "bin").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    laid = binned.join(sums, ["contig", "bin"]).withColumn("at", (F.col("earlier") + F.coalesce(F.sum(size).over(inside), F.lit(0))).cast("long"))
     first, last = F.floor(F.col("at") / capacity), F.floor((F.col("at") + size - 1) / capacity)
     cut = laid.withColumn("tile", F.explode(F.sequence(first, last)))
     a = F.greatest(F.col("at"), F.col("tile") * capacity)

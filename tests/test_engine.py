@@ -49,6 +49,33 @@ def test_intervals_against_loops(spark):
     assert got == sorted((r["i"], s, e) for r in recs.collect() for c, s, e in raw if c == r["contig"] and r["pos"] - 1 < e and r["pos"] - 1 + len(r["ref"]) > s)
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_islands_and_tiles_over_bins(spark, seed):
+    rnd = random.Random(seed)
+    length = rnd.choice([3, 20, 90])
+    raw = [(rnd.choice("ab"), s := rnd.randint(0, 400), s + rnd.randint(1, length)) for _ in range(rnd.choice([1, 40, 150]))]
+    raw += [raw[0]] * 30 + [("a", 5, 5), ("a", -3, 2), ("c", 7, 500), ("c", 9, 11), ("c", 480, 490), ("c", 500, 501), ("c", 502, 503)]
+    want = []
+    for c, s, e in sorted(x for x in raw if 0 <= x[1] < x[2]):
+        if want and want[-1][0] == c and s <= want[-1][2]:
+            want[-1] = (c, want[-1][1], max(e, want[-1][2]))
+        else:
+            want.append((c, s, e))
+    table = spark.createDataFrame(raw, "contig string, start long, stop long")
+    size = rnd.choice([1, 7, 64, 1 << 16])
+    found = intervals.union(table, size)
+    assert sorted(map(tuple, found.collect())) == want
+    capacity, cut = rnd.choice([1, 5, 33]), []
+    for contig in sorted({w[0] for w in want}):
+        at = 0
+        for _, s, e in (w for w in want if w[0] == contig):
+            while s < e:
+                stop = min(e, s + capacity - at % capacity)
+                cut.append((contig, at // capacity, s, stop))
+                at, s = at + stop - s, stop
+    assert sorted(map(tuple, intervals.tiles(found, capacity, size).collect())) == sorted(cut)
+
+
 def test_range_scan_takes_every_line(spark, tmp_path):
     from strandline.plans import catalogue
 
