@@ -21,11 +21,14 @@ def anchors(sequences: DataFrame) -> DataFrame:
 
     ``sequence`` begins at ``start`` and may go on past ``stop``, so that
     deletions at the end can be spelt; anchors lie within [start, stop) only.
-    Yields contig, pos (1-based), anchor and the bases after it.
+    Yields contig, pos (1-based), anchor and the bases after it, "." for what is
+    none of the four.
     """
     inside = F.least(F.length("sequence"), (F.col("stop") - F.col("start")).cast("int"))
-    rows = sequences.select("contig", F.col("start").cast("long").alias("start"), F.upper("sequence").alias("bases"), inside.alias("inside")).where("inside > 0")
+    rows = sequences.select("contig", F.col("start").cast("long").alias("start"), F.regexp_replace(F.upper("sequence"), "[^ACGT]", ".").alias("bases"), inside.alias("inside")).where("inside > 0")
     for size in PIECES:
+        # a base becomes up to eight rows: pieces of long sequences, and of few files, are dealt over all tasks before
+        rows = rows if size == PIECES[0] else rows.repartition("contig", "start")
         cut = rows.withColumn("at", F.explode(F.sequence(F.lit(0), F.col("inside") - 1, F.lit(size))))
         rows = cut.select("contig", (F.col("start") + F.col("at")).alias("start"), F.substring("bases", F.col("at") + 1, F.lit(size + LONGEST_DELETION)).alias("bases"), F.least(F.col("inside") - F.col("at"), F.lit(size)).alias("inside"))
     spread = rows.select("contig", "start", "bases", F.posexplode(F.split(F.substring("bases", F.lit(1), F.col("inside")), "")).alias("i", "anchor"))
@@ -45,11 +48,13 @@ def insertions(found: DataFrame) -> DataFrame:
 
 def deletions(found: DataFrame) -> DataFrame:
     """contig, pos, ord, ref, alt: one to four bases after the anchor taken out, where all of them are known."""
-    spelt = found.withColumn("known", F.length("after") - F.length(F.expr("trim(LEADING 'A' FROM translate(after, 'CGT', 'AAA'))")))
+    unknown = F.instr("after", ".")
+    known = F.when(unknown > 0, unknown - 1).otherwise(F.length("after"))
     return (
-        spelt.where("known > 0")
+        found.select("contig", "pos", "anchor", F.concat("anchor", "after").alias("spelt"), known.alias("known"))
+        .where("known > 0")
         .withColumn("k", F.explode(F.sequence(F.lit(1), F.col("known"))))
-        .select("contig", "pos", (F.col("k") + len(BASES) - 1).alias("ord"), F.concat("anchor", F.substring("after", F.lit(1), F.col("k"))).alias("ref"), F.col("anchor").alias("alt"))
+        .select("contig", "pos", (F.col("k") + len(BASES) - 1).alias("ord"), F.substring("spelt", F.lit(1), F.col("k") + 1).alias("ref"), F.col("anchor").alias("alt"))
     )
 
 

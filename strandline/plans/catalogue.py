@@ -244,7 +244,9 @@ def insertion_universe(spark, sf_dir):
 gone as (select doc_id, pos, anchor, after, unnest(range(1, k + 1)) as k from known)
 select doc_id, cast(k + 3 as integer) as ord, anchor || after[1:k] as ref, anchor as alt, count(*) as n, cast(sum(pos) as bigint) as sum_pos from gone group by all""")
 def deletion_universe(spark, sf_dir):
-    return summed(universe.deletions(anchored(spark, sf_dir)))
+    """Added up by the reference allele alone, which tells order and alternative."""
+    added = universe.deletions(anchored(spark, sf_dir)).groupBy(F.col("contig").alias("doc_id"), "ref").agg(F.count("*").alias("n"), F.sum("pos").alias("sum_pos"))
+    return added.select("doc_id", (F.length("ref") + len(alleles.BASES) - 2).alias("ord"), "ref", F.substring("ref", 1, 1).alias("alt"), "n", "sum_pos")
 
 
 @query(f"""with {ANCHORS}, told as (select length(regexp_extract(after, '^[ACGT]*')) as k from anchors)
