@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import argparse
 import importlib
-import platform
+import json
 import sys
 import time
 from pathlib import Path
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline import __version__
-from strandline.operators import compare, sampling, scoring, transcripts
+from strandline.operators import compare, environment, sampling, scoring, transcripts
 from strandline.plans import runner, shards
 from strandline.sources import bgzf, readers, writers
 
@@ -37,7 +37,7 @@ def parser() -> argparse.ArgumentParser:
     add("check", (("--vcf",), need), (("--manifest",), need), (("--responses",), need | {"help": "folder of cached responses"}), (("--output-dir",), need), (("--distance",), {"type": int, "default": 500}), (("--mask",), {"type": int, "default": 1}))
     add("sample", (("--input",), need), (("--annotation",), need), (("--output",), need), (("--target-records",), {"type": int, "default": 25_000}), (("--genes-per-stratum",), {"type": int, "default": 12}), (("--window",), {"type": int, "default": 750}))
     add("convert", (("--input",), need), (("--output",), need), (("--include-nonprimary",), {"action": "store_true"}))
-    add("runtime", (("--output",), {}), (("--resources",), {"nargs": "*", "default": []}))
+    add("runtime", (("--output",), {}), (("--resources",), {"nargs": "*", "default": []}), (("--workers",), {"action": "store_true", "help": "refuse workers that differ from the driver"}))
     add("plan", (("--annotation",), need), (("--reference",), need), (("--output",), need), (("--target-records",), {"type": int, "default": 1_000_000}), (("--kind",), {"choices": ("snv", "indel", "both"), "default": "both"}), (("--annotation-release",), {"default": "unknown"}), (("--annotation-sha256",), {}), (("--reference-sha256",), {}))
     add("generate", (("--plan",), need), (("--task-id",), need | {"type": int}), (("--last-task-id",), {"type": int, "help": "go on to this task"}), (("--output-dir",), need), (("--reference",), {}), (("--reference-sha256",), {}), (("--concurrency",), {"type": int, "default": 1, "help": "shards made at a time"}), (("--threads",), {"type": int, "help": "tasks that compress a shard"}))
     add("run", (("--manifest",), need), (("--output-dir",), need), (("--reference",), need), (("--annotation",), need), (("--distance",), {"type": int, "default": 500}), (("--mask",), {"type": int, "choices": (0, 1), "default": 1}), (("--batch-size",), {"type": int, "default": 256}), (("--chunk-records",), {"type": int, "default": 4096}), (("--models",), {"default": "strandline.plans.demo:models"}), (("--first-task",), {"type": int, "default": 1}), (("--last-task",), {"type": int}), (("--concurrency",), {"type": int, "default": 1, "help": "shards scored at a time"}))
@@ -83,6 +83,7 @@ def run(spark: SparkSession, a: argparse.Namespace) -> int:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(a.chunk_records))
     module, _, name = a.models.partition(":")
     load = getattr(importlib.import_module(module), name)
+    environment.agree(spark)
     scored = lambda source, target: scored_file(spark, source, target, a.reference, a.annotation, load, a.distance, bool(a.mask), a.batch_size, a.info_key, indexed=True).lines
     print(runner.run(spark, a.manifest, a.output_dir, settings, scored, a.first_task, a.last_task, a.concurrency))
     return 0
@@ -136,14 +137,12 @@ def convert(spark: SparkSession, a: argparse.Namespace) -> int:
 
 
 def runtime(spark: SparkSession, a: argparse.Namespace) -> int:
-    files = [readers.resources(spark, p).head().asDict() for p in a.resources]
-    told = {"python": platform.python_version(), "spark": spark.version, "engine": __version__, "machine": platform.machine(), "resources": files}
+    files = [r.asDict() for p in a.resources for r in readers.resources(spark, p).orderBy("path").collect()]
+    told = environment.manifest(spark, files, a.workers)
     if a.output:
-        import json
-
         writers.atomically(a.output, [json.dumps(told, indent=2, sort_keys=True).encode() + b"\n"])
     else:
-        print(told)
+        print(json.dumps(told, indent=2, sort_keys=True))
     return 0
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.functions import alleles, scores
+from strandline.operators import environment
 from strandline.operators.intervals import nearest_of, stab
 from strandline.sources import files
 
@@ -119,7 +120,9 @@ def predicted(inputs: DataFrame, load: Callable[[], list[Scorer]], batch_size: i
                     yield own
 
         for part in length_batches(spelt(), batch_size):
-            models = models or load()
+            if not models:
+                environment.prepare()
+                models = load()
             inputs = one_hot(part["sequence"].tolist())
             if "minus" in keys:
                 minus = part["minus"].to_numpy(bool)
