@@ -59,12 +59,45 @@ def greedy(rows: list[tuple], quota: int) -> Iterator[tuple]:
         yield gene, *key
 
 
+def components(spans: list[tuple]) -> dict[int, int]:
+    """place -> the smallest place of its component, of windows (place, gene, contig, start, stop).
+
+    What a transcript may take depends only on transcripts of its gene name and on
+    those whose windows meet its own, so components are sampled apart.
+    """
+    root = {s[0]: s[0] for s in spans}
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    def join(a: int, b: int) -> None:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+
+    first: dict[str, int] = {}
+    for place, gene, *_ in spans:
+        join(place, first.setdefault(gene, place))
+    far: tuple[str, int, int] | None = None
+    for place, _, contig, start, stop in sorted(spans, key=lambda s: s[2:]):
+        if far is not None and far[0] == contig and start < far[1]:
+            join(place, far[2])
+            stop = max(stop, far[1])
+        far = (contig, stop, place)
+    return {x: find(x) for x in root}
+
+
 def sample(records: DataFrame, annotations: DataFrame, target: int = 25_000, per_stratum: int = 12, window: int = 750) -> DataFrame:
     """contig, pos, ref, alts, gene of the sample.
 
-    ``records``: contig, pos, ref, alts. The greedy pass runs over candidates of
-    at most 24 x 2 x ``per_stratum`` transcripts with five windows each, so its
-    input is bounded by the parameters and the density of records.
+    ``records``: contig, pos, ref, alts, and line_no if there is one. A record may
+    reach into a window from before it by the length of its reference allele, so
+    windows that lie as near as the longest one are of one component. The greedy pass
+    of a component runs in one task over the candidates of its transcripts; there are
+    at most 24 x 2 x ``per_stratum`` transcripts with five windows each, which is what
+    the driver sees.
     """
     if target < 1 or per_stratum < 1:
         raise ValueError("target and per_stratum must be at least 1")
@@ -76,6 +109,9 @@ def sample(records: DataFrame, annotations: DataFrame, target: int = 25_000, per
     anchors = anchor_positions(F.col("start"), F.col("stop"), F.col("exon_starts"), F.col("exon_stops"))
     spans = chosen.withColumn("anchors", anchors).select("contig", "place", "name", F.array_min("anchors").alias("first_anchor"), F.explode("anchors").alias("anchor"))
     spans = spans.withColumn("start", F.greatest(F.col("anchor") - window, F.lit(0))).withColumn("stop", F.col("anchor") + window + 1)
+    longest = records.agg(F.max(F.length("ref"))).head()[0] or 1
+    own = components([(r["place"], r["name"], r["contig"], r["start"] - longest, r["stop"]) for r in spans.collect()])
+    grouped = records.sparkSession.createDataFrame(sorted(own.items()), "place int, component int")
     line = F.col("line_no").cast("long") if "line_no" in records.columns else F.lit(0).cast("long")
     found = overlapping(records.select("contig", "pos", "ref", "alts", line.alias("line")), spans)
 
@@ -83,8 +119,8 @@ def sample(records: DataFrame, annotations: DataFrame, target: int = 25_000, per
         rows = pdf.sort_values(["place", "anchor", "pos", "line", "ref", "alts"])[["place", "gene", "first_anchor", "anchor", "contig", "pos", "ref", "alts"]]
         return pd.DataFrame(greedy(list(rows.itertuples(index=False, name=None)), quota), columns=["gene", "contig", "pos", "ref", "alts"])
 
-    candidates = found.select(F.lit(0).alias("everything"), "place", F.col("name").alias("gene"), "first_anchor", "anchor", "contig", "pos", "line", "ref", "alts")
-    taken = candidates.groupBy("everything").applyInPandas(run, "gene string, contig string, pos long, ref string, alts string").select("contig", "pos", "ref", "alts", "gene")
+    candidates = found.join(F.broadcast(grouped), "place").select("component", "place", F.col("name").alias("gene"), "first_anchor", "anchor", "contig", "pos", "line", "ref", "alts")
+    taken = candidates.groupBy("component").applyInPandas(run, "gene string, contig string, pos long, ref string, alts string").select("contig", "pos", "ref", "alts", "gene")
     return taken if taken.count() <= target else evenly_by_contig(taken, target)
 
 
