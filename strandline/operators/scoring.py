@@ -35,19 +35,20 @@ class Scorer(Protocol):
 
 
 class StubScorer:
-    """A deterministic stand-in for a model: channel c is a weighted count of bases around each position."""
+    """A deterministic stand-in for a model: bases have values; acceptor is the mean value within ``reach``, donor the value itself."""
 
     def __init__(self, weight: float = 1.0, reach: int = 3, context: int = CONTEXT):
         self.weight, self.reach, self.context = weight, reach, context
 
     def predict(self, inputs: np.ndarray, batch_size: int, verbose: int) -> np.ndarray:
-        signal = inputs.astype(np.float32) @ np.array([0.11, 0.23, 0.37, 0.05], np.float32)
-        sums = np.cumsum(np.pad(signal, ((0, 0), (1, 0))), axis=1)
-        half, cov = self.context // 2, inputs.shape[1] - self.context
-        at = np.arange(cov) + half
-        mean = (sums[:, at + self.reach + 1] - sums[:, at - self.reach]) / (2 * self.reach + 1)
-        acceptor = np.clip(mean * self.weight, 0, 1)
-        return np.stack([1 - acceptor, acceptor, np.clip(signal[:, at] * self.weight, 0, 1)], axis=2).astype(np.float32)
+        half, cov, reach = self.context // 2, inputs.shape[1] - self.context, self.reach
+        near = inputs[:, half - reach : half + cov + reach].astype(np.float32) @ np.array([0.11, 0.23, 0.37, 0.05], np.float32)
+        own = near[:, reach : reach + cov]
+        mean = own
+        for k in range(1, reach + 1):  # in pairs, so that both strands add alike
+            mean = mean + (near[:, reach - k : reach - k + cov] + near[:, reach + k : reach + k + cov])
+        acceptor = np.clip(mean / np.float32(2 * reach + 1) * np.float32(self.weight), 0, 1)
+        return np.stack([1 - acceptor, acceptor, np.clip(own * np.float32(self.weight), 0, 1)], axis=2).astype(np.float32)
 
 
 def one_hot(sequences: list[str]) -> np.ndarray:
@@ -191,7 +192,7 @@ def annotate(records: DataFrame, transcripts: DataFrame, blocks: DataFrame, load
     changed_to = scorable.select(*place, "ref", "alt").distinct().select(*nothing("long", "line_no"), *place, F.array("ref").alias("refs"), "alt")
     items = judged.select(*columns).unionByName(whole).unionByName(changed_to).join(windows(tasks, blocks, half, block_size), ["contig", "pos"], "left")
     why = lambda ref: alleles.skip_reason(F.lit(True), F.lit(1), F.col("window"), ref, distance, context)
-    padded = F.upper(alleles.padded_window(F.col("window"), F.lit(width), F.col("start") + 1 - F.col("pos"), F.col("stop") - F.col("pos")))
+    padded = alleles.padded_window(F.col("window"), F.lit(width), F.col("start") + 1 - F.col("pos"), F.col("stop") - F.col("pos"))  # either case is encoded alike
     own = items.withColumn("skip_reason", why(F.col("refs")[0])).withColumn("fits", F.exists("refs", lambda r: why(r).isNull())).withColumn("padded", F.when(F.col("line_no").isNull() & F.col("fits"), padded))
     changed = F.when(F.col("alt").isNull(), F.col("padded")).otherwise(F.concat(F.substring("padded", F.lit(1), F.lit(half)), F.col("alt"), F.substring("padded", F.lit(half + 1) + F.length(F.col("refs")[0]), F.lit(width))))
     asked = own.where("line_no is not null or fits").select("line_no", "contig", "pos", "transcript", F.col("refs")[0].alias("ref"), "alt", "skip_reason", (F.col("strand") == "-").alias("minus"), changed.alias("sequence"))

@@ -668,7 +668,37 @@ def pending_shards(spark, sf_dir):
     return shards.pending(rows.select("shard_id", "input_sha256"), done, "new")
 
 
-@query()
+def scored_sql() -> str:
+    """The stub models' arithmetic in single precision, around the middle of every sequence."""
+    value = {b: v for b, v in zip("ACGT", (0.11, 0.23, 0.37, 0.05))}
+    plus, minus = (" ".join(f"when '{b}' then {value[c]}" for b, c in zip("ACGT", other)) for other in ("ACGT", "TGCA"))
+    values = lambda x: f"list_transform(string_split({x}, ''), lambda b: cast(case when doc_id % 2 = 0 then case upper(b) {plus} else 0 end else case upper(b) {minus} else 0 end end as float))"
+    places = lambda x, body: f"list_transform(range(4, len({x}) - 2), lambda k: cast({body} as float))"
+    mean = lambda x: places(x, f"({x}[k] + ({x}[k - 1] + {x}[k + 1]) + ({x}[k - 2] + {x}[k + 2]) + ({x}[k - 3] + {x}[k + 3])) / 7::float")
+    summed = " + ".join(f"m * {w}::float" for w in demo.WEIGHTS)
+    told = lambda x: f"list_transform({x}, lambda m: cast(({summed}) / 5::float as float))"
+    whole = lambda x: f"case when alt_no = 0 then {x} else list_concat(list_append({x}[1:10], list_max({x}[11:13])), {x}[14:]) end"
+    names = (("ag", "alt_a", "ref_a"), ("al", "ref_a", "alt_a"), ("dg", "alt_d", "ref_d"), ("dl", "ref_d", "alt_d"))
+    deltas = ", ".join(f"{delta_sql(x, y)} as {n}" for n, x, y in names)
+    peaks = ", ".join(f"cast(list_max({n}) as double) as v_{n}, list_position({n}, list_max({n})) - 11 as p_{n}" for n, *_ in names)
+    shown = " || '|' || ".join(f"printf('%.2f', case when p_{n} {'=' if n[1] == 'g' else '<>'} exon then v_{n} * 0 else v_{n} end)" for n, *_ in names)
+    at = " || '|' || ".join(f"p_{n}" for n, *_ in names)
+    return f"""with {SEQUENCES},
+placed as (select doc_id, sequence as s, length(sequence) as n, length(sequence) // 2 + 1 as q from sequences),
+judged as (select *, case when n = 0 then 'outside transcripts' when s[q:q] = 'ß' then 'another reference base' end as skip_reason, upper(s[q:q]) as ref,
+  right(repeat('?', 13) || s[greatest(q - 13, 1):q - 1], 13) as before, left(s[q + 1:q + 13] || repeat('?', 13), 13) as behind from placed),
+changed as (select doc_id, n, q, ref, before, behind, unnest([0, 1]) as alt_no, unnest([case when ref = 'A' then 'C' else 'A' end, ref || 'GT']) as alt from judged where skip_reason is null),
+valued as (select doc_id, alt_no, alt, case when abs(1 - q) <= abs(n - q) then 1 - q else n - q end as exon, {values("before || ref || behind")} as r, {values("before || alt || behind")} as b from changed where not regexp_matches(alt, '[.*<>-]')),
+means as (select *, {mean("r")} as r_a, {places("r", "r[k]")} as r_d, {mean("b")} as b_a, {places("b", "b[k]")} as b_d from valued),
+predicted as (select doc_id, alt_no, alt, exon, {told("r_a")} as ref_a, {told("r_d")} as ref_d, {told("b_a")} as long_a, {told("b_d")} as long_d from means),
+aligned as (select *, {whole("long_a")} as alt_a, {whole("long_d")} as alt_d from predicted),
+deltas as (select doc_id, alt_no, alt, exon, {deltas} from aligned),
+peaks as (select doc_id, alt_no, alt, exon, {peaks} from deltas),
+entries as (select doc_id, string_agg(alt || '|G' || doc_id || '|' || {shown} || '|' || {at}, ',' order by alt_no) as annotation from peaks group by doc_id)
+select doc_id as line_no, skip_reason, annotation from judged left join entries using (doc_id)"""
+
+
+@query(scored_sql())
 def scored_variants(spark, sf_dir):
     """Records at the middle of every sequence, scored end to end by the stub model over the whole context."""
     return demo.scored(sequences(spark, sf_dir))
