@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandline.sources import files
+
 #: Positions in a bin of a first pass.
 BIN = 1 << 16
 
@@ -33,7 +35,7 @@ def union(intervals: DataFrame, bin_size: int = BIN) -> DataFrame:
     only order of a whole contig is that of one row a bin.
     """
     valid = intervals.select("contig", F.col("start").cast("long"), F.col("stop").cast("long")).where("start >= 0 and stop > start").groupBy("contig", "start").agg(F.max("stop").alias("stop"))
-    local = _islands(valid.withColumn("bin", F.floor(F.col("start") / bin_size)), "contig", "bin")
+    local = files.written(_islands(valid.withColumn("bin", F.floor(F.col("start") / bin_size)), "contig", "bin"), "bin-islands")
     before = Window.partitionBy("contig").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     bins = local.groupBy("contig", "bin").agg(F.max("stop").alias("far"), F.max("start").alias("final")).withColumn("reach", F.max("far").over(before))
     # the last island of a bin begins a new one if any of the bin does
@@ -52,7 +54,7 @@ def tiles(islands: DataFrame, capacity: int, bin_size: int = BIN) -> DataFrame:
     bin, and those before it in its bin.
     """
     size = F.col("stop") - F.col("start")
-    binned = islands.withColumn("bin", F.floor(F.col("start") / bin_size))
+    binned = files.written(islands.withColumn("bin", F.floor(F.col("start") / bin_size)), "islands")
     before = Window.partitionBy("contig").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     sums = binned.groupBy("contig", "bin").agg(F.sum(size).alias("bases")).select("contig", "bin", F.coalesce(F.sum("bases").over(before), F.lit(0)).alias("earlier"))
     inside = Window.partitionBy("contig", "bin").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)

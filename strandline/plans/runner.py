@@ -78,7 +78,7 @@ def claimed(spark: SparkSession, tasks: DataFrame, out_dir: str, values: dict[st
         if files.size_of(f"{path}.complete") and files.size_of(f"{path}.vcf.gz") and files.size_of(f"{path}.vcf.gz.tbi"):
             markers[r["shard_id"]] = files.read_text(f"{path}.complete").rstrip("\n").split("\t")
     paths = {r["input_vcf"] for r in rows} | {f"{out_dir}/{s}.vcf.gz" for s in markers}
-    digests = {r["path"]: r["sha256"] for r in files.digests(spark.createDataFrame([(p,) for p in sorted(paths)], "path string")).collect()}
+    digests = {p: sha for p, (_, sha) in files.digests_of(spark, list(paths)).items()}
     pending, complete = [], []
     for r in rows:
         found = digests[r["input_vcf"]]

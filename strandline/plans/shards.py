@@ -26,7 +26,7 @@ COLUMNS = ("shard_id", "kind", "regions", "estimated_records")
 
 def checked(spark: SparkSession, expected: dict[str, str | None]) -> dict[str, str]:
     """sha256 of files by path, streamed by tasks; a file that isn't there, or differs from an expected digest, is an error."""
-    found = {r["path"]: r["sha256"] for r in files.digests(spark.createDataFrame([(p,) for p in expected], "path string")).collect()}
+    found = {p: sha for p, (_, sha) in files.digests_of(spark, list(expected)).items()}
     for path, wanted in expected.items():
         if found[path] is None:
             raise ValueError(f"{path}: no such file")
@@ -57,12 +57,13 @@ def plan(bound: DataFrame, target: int, kinds: tuple[str, ...] = ("snv", "indel"
     unknown = set(kinds) - set(universe.RECORDS_PER_BASE)
     if unknown:
         raise ValueError(f"unknown kinds {sorted(unknown)}")
+    bound = files.written(bound, "plan-islands")  # read several times for every kind
     order = bound.select("contig", "reference", "ordinal").distinct()
     out = None
     for kind in kinds:
         per_base = universe.RECORDS_PER_BASE[kind]
         tiled = intervals.tiles(bound, max(1, target // per_base))
-        shards = tiled.groupBy("contig", "tile").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("spans"), F.sum(F.col("stop") - F.col("start")).alias("bases"))
+        shards = files.written(tiled.groupBy("contig", "tile").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("spans"), F.sum(F.col("stop") - F.col("start")).alias("bases")), "plan-shards")
         counts = shards.groupBy("contig").agg((F.max("tile") + 1).alias("n")).join(order, "contig")
         before = Window.orderBy("ordinal").rowsBetween(Window.unboundedPreceding, -1)
         shifts = counts.select("contig", "reference", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift"))
@@ -83,7 +84,7 @@ def totals(planned: DataFrame) -> DataFrame:
 def write_plan(spark: SparkSession, annotation: str, reference: str, path: str, target: int = 1_000_000, kinds: tuple[str, ...] = ("snv", "indel"), release: str = "unknown", annotation_sha256: str | None = None, reference_sha256: str | None = None) -> dict[str, int]:
     """The plan as a text file with its metadata; returns its totals."""
     bound = bound_intervals(readers.annotations(spark, annotation), readers.contigs(readers.fasta(spark, reference)))
-    planned = plan(bound, target, kinds)
+    planned = files.written(plan(bound, target, kinds), "plan")
     bases = bound.agg(F.coalesce(F.sum(F.col("stop") - F.col("start")), F.lit(0))).head()[0]
     digests = checked(spark, {reference: reference_sha256, annotation: annotation_sha256})
     told = {
@@ -253,8 +254,8 @@ def complete(spark: SparkSession, out_dir: str, shard_ids: list[str], source: di
     if not told:
         return {}
     paths = {f"{out_dir}/{s}.vcf.gz": s for s in told}
-    digests = files.digests(spark.createDataFrame([(p,) for p in paths], "path string")).collect()
-    return {paths[r["path"]]: told[paths[r["path"]]] for r in digests if r["sha256"] == told[paths[r["path"]]]["output_sha256"]}
+    digests = files.digests_of(spark, list(paths))
+    return {s: told[s] for p, s in paths.items() if digests[p][1] == told[s]["output_sha256"]}
 
 
 def manifest(planned: DataFrame, markers: DataFrame) -> DataFrame:

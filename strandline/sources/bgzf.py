@@ -610,36 +610,32 @@ def joined(spark: SparkSession, folder: str, parts: list[dict], target: str, fir
     def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         copied = 0
         for batch in batches:
-            rows = batch.to_pylist()
+            numbers = batch.column(0).to_pylist()
             if local:
                 out = os.open(files.located(target)[1], os.O_WRONLY)
                 try:
-                    for row in rows:  # the same bytes at the same place, whichever attempt writes them
-                        where = row["at"]
-                        for chunk in files.chunks_of(f"{folder}/{row['name']}"):
+                    for name, where in (places[i] for i in numbers):  # the same bytes at the same place, whichever attempt writes them
+                        for chunk in files.chunks_of(f"{folder}/{name}"):
                             os.pwrite(out, chunk, where)
                             where += len(chunk)
                             copied += len(chunk)
                     os.fsync(out)
                 finally:
                     os.close(out)
-            else:
-                for row in rows:
-                    system, name = files.located(target)
-                    with system.open_output_stream(name) as stream:
-                        stream.write(first)
-                        for part in json.loads(row["name"]):
-                            for chunk in files.chunks_of(f"{folder}/{part}"):
-                                stream.write(chunk)
-                                copied += len(chunk)
-                        stream.write(last)
+            elif numbers:
+                system, path = files.located(target)
+                with system.open_output_stream(path) as stream:
+                    stream.write(first)
+                    for name, _ in places:
+                        for chunk in files.chunks_of(f"{folder}/{name}"):
+                            stream.write(chunk)
+                            copied += len(chunk)
+                    stream.write(last)
         yield pa.RecordBatch.from_pylist([{"copied": copied}], schema=pa.schema([("copied", pa.int64())]))
 
-    if not local:
-        places = [(json.dumps([name for name, _ in places]), 0)]
-    if places:
-        tasks = spark.createDataFrame(places, "name string, at long").repartition(min(len(places), 4 * spark.sparkContext.defaultParallelism))
-        copied = tasks.mapInArrow(copy, "copied long").agg(F.sum("copied")).head()[0]
+    if places or not local:
+        n = len(places) if local else 1
+        copied = spark.range(0, n, 1, min(n, 4 * spark.sparkContext.defaultParallelism)).mapInArrow(copy, "copied long").agg(F.sum("copied")).head()[0]
         if copied != sum(p["bytes"] for p in parts):
             raise OSError(f"{target}: {copied} of {sum(p['bytes'] for p in parts)} bytes were copied")
     return size

@@ -172,4 +172,21 @@ def digests(paths: DataFrame, hashed: bool = True) -> DataFrame:
     return each.repartition(max(2, paths.sparkSession.sparkContext.defaultParallelism), "path").mapInArrow(read, "path string, bytes long, sha256 string")
 
 
+def digests_of(spark: SparkSession, paths: list[str]) -> dict[str, tuple[int | None, str | None]]:
+    """Bytes and sha256 of a list of files, by path; a task streams a file."""
+    ship(spark)
+    paths = sorted(set(paths))
+    if not paths:
+        return {}
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in (paths[i] for i in batch.column(0).to_pylist()):
+                n = size_of(path)
+                yield pa.RecordBatch.from_pylist([{"path": path, "bytes": n, "sha256": None if n is None else sha256_of(path)}], schema=DIGEST)
+
+    rows = spark.range(0, len(paths), 1, min(len(paths), 4 * spark.sparkContext.defaultParallelism)).mapInArrow(read, "path string, bytes long, sha256 string")
+    return {r["path"]: (r["bytes"], r["sha256"]) for r in rows.collect()}
+
+
 DIGEST = pa.schema([("path", pa.string()), ("bytes", pa.int64()), ("sha256", pa.string())])
