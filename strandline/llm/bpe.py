@@ -46,6 +46,9 @@ def byte_of_char() -> dict[str, int]:
     return out | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(printable))}
 
 
+ONE = (1,)
+
+
 class Vocabulary:
     """Tokens by rank: the bytes first, then the merges in the order of the file."""
 
@@ -69,7 +72,11 @@ class Vocabulary:
         self.ids = np.array([model["vocab"][n] for n in names], np.uint32)
         self.id_bytes = [x.tobytes() for x in self.ids]
         self.rank_of = {bytes(byte[c] for c in n): i for i, n in enumerate(names)}
-        self.longest = max(map(len, self.rank_of))
+        # how long the tokens are that end in these two bytes, the longest first: only so many need a look at a place
+        ending: dict[bytes, set[int]] = {}
+        for token in self.rank_of:
+            ending.setdefault(token[-2:], set()).add(len(token))
+        self.lengths = {end: (*sorted(n | {1}, reverse=True),) for end, n in ending.items() if len(end) == 2}
         spelt = {int(i): b for b, i in zip(self.rank_of, self.ids)} | {i: s.encode() for s, i in self.special.items()}
         self.size = max(spelt) + 1
         self.spelling = [spelt.get(i, b"") for i in range(self.size)]
@@ -108,7 +115,7 @@ class Vocabulary:
 
     def encode_words(self, words: Iterable[str]) -> dict[str, bytes]:
         """Ids (4 bytes each, little-endian) of every distinct word."""
-        rank_of, longest, fits, id_bytes = self.rank_of, self.longest, self.fits, self.id_bytes
+        rank_of, lengths, fits, known, id_bytes = self.rank_of, self.lengths, self.fits, self._fits, self.id_bytes
         out: dict[str, bytes] = {}
         # sorted words are the leaves of their trie in depth-first order; the lists hold the states of the path to the current node
         path, last, size = b"", [0], [0]
@@ -120,12 +127,20 @@ class Vocabulary:
                 shared += 1
             del last[shared + 1 :], size[shared + 1 :]
             for end in range(shared + 1, len(raw) + 1):
-                for start in range(max(0, end - longest), end):
+                for n in lengths.get(raw[end - 2 : end], ONE) if end > 1 else ONE:
+                    if n > end:
+                        continue
+                    start = end - n
                     token = rank_of.get(raw[start:end])
-                    if token is not None and (start == 0 or fits(last[start], token)):
-                        last.append(token)
-                        size.append(end - start)
-                        break
+                    if token is None:
+                        continue
+                    if start:
+                        apart = known.get(last[start] << 20 | token)
+                        if not (fits(last[start], token) if apart is None else apart):
+                            continue
+                    last.append(token)
+                    size.append(n)
+                    break
                 else:
                     raise ValueError(f"no encoding of {raw[:end]!r}")
             path, end, tokens = raw, len(raw), []
