@@ -716,3 +716,32 @@ def first_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
+
+
+#: By definition: shared shingles of all pairs of rows, links, and what each row reaches through them.
+ORACLE = r"""
+with recursive words as (
+  select row_number() over () as r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents),
+sets as materialized (
+  select r, doc_id,
+    case when len(w) >= 5 then list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))
+         when len(w) > 0 then [array_to_string(w, ' ')] else [] end as s
+  from words),
+shingles as materialized (select r, len(s) as n, unnest(s) as g from sets),
+shared as (
+  select a.r as x, b.r as y, a.n as nx, b.n as ny, count(*) as c
+  from shingles a join shingles b on a.g = b.g and a.r < b.r
+  group by all),
+linked as materialized (select x, y from shared where 100 * c >= 75 * (nx + ny - c)),
+links as materialized (select x, y from linked union all select y, x from linked),
+reached(r, y) as (
+  select r, r from sets
+  union
+  select reached.r, links.y from reached join links on reached.y = links.x),
+heads as (select reached.r, min(sets.doc_id) as component_id from reached join sets on sets.r = reached.y group by reached.r),
+counts as (select x as r, count(*) as n_links from links group by x)
+select cast(doc_id as bigint) as doc_id, cast(len(s) as bigint) as n_shingles, cast(component_id as bigint) as component_id, cast(coalesce(n_links, 0) as bigint) as n_links
+from sets join heads using (r) left join counts using (r)
+"""
