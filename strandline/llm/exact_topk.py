@@ -10,15 +10,17 @@ the block's extremes); it is a small part of the vectors' size. A search
 
 1.  scans the cells only: every query block meets every approximation block once,
     and for each query leaves the vectors whose upper bound reaches the k-th
-    largest lower bound, first in a block, then over all blocks;
+    largest lower bound, first over all blocks that one task meets, then over all
+    tasks. Query blocks are sent to as many slots as there are shuffle partitions,
+    however many approximation blocks a slot has;
 2.  reads the exact vectors of each query's FIRST * k highest upper bounds, whose
     k-th best score is a floor;
 3.  reads those of the others whose upper bound reaches the floor. Then the k-th
     result is certain.
 
 Of equal vectors in a block only the k + 1 with the smallest ids can be among the
-k best of a query, so the others send no bounds; a vector that a third of all
-rows repeat costs k + 1 rows a block and query.
+k best of a query, so the others have no bounds; a vector that a third of all
+rows repeat costs at most k + 1 bounds a block and query.
 
 Defined results: a vector that is null, empty, or holds a null or non-finite
 component takes no part, nor does one whose id is null. Rows with equal ids are
@@ -45,6 +47,8 @@ from strandline.llm.frames import at_workers, read, written
 BLOCK = 16_384
 QUERY_BLOCK = 2048
 CELLS = 256
+#: Query blocks whose survivors a task holds, and survivors of all of them, at most.
+QUERY_BLOCKS, HELD = 512, 4_000_000
 #: Times k: the candidates of a query that are read first.
 FIRST = 2
 
@@ -147,24 +151,67 @@ def bounds(query: np.ndarray, low: np.ndarray, step: np.ndarray, cells: np.ndarr
     return cells @ (q * step) + (q @ low + (np.maximum(q, 0) * step).sum() + slack), float((np.abs(q) * step).sum() + 2 * slack)
 
 
+class Survivors:
+    """What one task still holds of the vectors near each query of a block, over all approximation blocks it has met.
+
+    ``lowest`` keeps the k largest lower bounds of every query; a vector whose
+    upper bound is below the smallest of them is let go.
+    """
+
+    def __init__(self, uids: np.ndarray, k: int) -> None:
+        self.uids, self.lowest = uids, np.full((len(uids), k), -np.inf)
+        self.held: list[list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = [[] for _ in uids]
+        self.n = 0
+
+    def meet(self, i: int, near: np.ndarray, upper: np.ndarray, width: float) -> None:
+        k = self.lowest.shape[1]
+        best = np.partition(upper, -k)[-k:] if len(upper) > k else upper
+        best = np.concatenate([self.lowest[i], best - width])
+        self.lowest[i] = np.partition(best, -k)[-k:]
+        left = np.flatnonzero((upper >= self.lowest[i].min()) & (upper > -np.inf))
+        if len(left):
+            self.held[i].append((near[left], upper[left] - width, upper[left]))
+            self.n += len(left)
+
+    def rows(self) -> pa.RecordBatch | None:
+        """(query_uid, uid, lower, upper) of what is left; nothing is held afterwards, the lower bounds stay."""
+        out = []
+        for i, parts in enumerate(self.held):
+            if parts:
+                uids, lower, upper = (np.concatenate(c) for c in zip(*parts))
+                left = upper >= self.lowest[i].min()
+                out.append((np.full(int(left.sum()), self.uids[i]), uids[left], lower[left], upper[left]))
+        self.held, self.n = [[] for _ in self.uids], 0
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["query_uid", "uid", "lower", "upper"]) if out else None
+
+
 def _meet(k: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks: dict[bytes, Survivors] = {}
         for batch in batches:
-            for r in batch.to_pylist():
+            names = batch.schema.names
+            for at in range(batch.num_rows):  # one at a time: a row holds a block of either side
+                r = dict(zip(names, (batch.column(c)[at].as_py() for c in range(len(names)))))
                 dim, own = r["dim"], np.frombuffer(r["open"], bool)
                 uids = np.frombuffer(r["uids"], np.int64)[own]
                 low, step = np.frombuffer(r["low"], np.float64), np.frombuffer(r["step"], np.float64)
                 cells = np.frombuffer(r["cells"], np.uint8).reshape(-1, dim)[own].astype(np.float64)
-                query_uids = np.frombuffer(r["q_uids"], np.int64)
-                out = []
-                for uid, query in zip(query_uids, np.frombuffer(r["q_exact"], np.int64).reshape(-1, dim)):
+                key = r["q_uids"][:8]  # its first query tells a block of queries
+                found = blocks.pop(key, None) or Survivors(np.frombuffer(r["q_uids"], np.int64), k)
+                blocks[key] = found  # last among those at hand
+                for i, query in enumerate(np.frombuffer(r["q_exact"], np.int64).reshape(-1, dim)):
                     upper, width = bounds(query, low, step, cells)
-                    upper[uids == uid] = -np.inf
-                    floor = np.partition(upper, -k)[-k] - width if len(upper) > k else -np.inf
-                    near = np.flatnonzero((upper >= floor) & (upper > -np.inf))
-                    out.append((np.full(len(near), uid), uids[near], upper[near] - width, upper[near]))
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["query_uid", "uid", "lower", "upper"])
+                    upper[uids == found.uids[i]] = -np.inf
+                    found.meet(i, uids, upper, width)
+                # what doesn't fit is told as it is; the search takes the floor over all tasks anyway
+                while len(blocks) > QUERY_BLOCKS or sum(b.n for b in blocks.values()) > HELD:
+                    told = blocks.pop(next(iter(blocks))).rows()
+                    if told is not None:
+                        yield told
+        for found in blocks.values():
+            told = found.rows()
+            if told is not None:
+                yield told
 
     return rows
 
@@ -199,9 +246,11 @@ def exactly(pairs: DataFrame, exact: DataFrame) -> DataFrame:
 def search(exact: DataFrame, file: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
     """The k best of all other rows for every row whose id is divisible by ``every``."""
     n = file.agg(F.coalesce(F.sum("n"), F.lit(0))).head()[0]
-    slots = max(1, math.ceil(n / BLOCK))
+    spark = exact.sparkSession
+    slots = max(1, min(math.ceil(n / BLOCK), int(spark.conf.get("spark.sql.shuffle.partitions"))))
     queries = exact.where(F.col("vec_id") % every == 0).select("uid", "dim", "exact").mapInArrow(_query_rows, QUERIES_DDL)
-    # each query block is sent to every slot of file blocks: the stated query set against all rows, in blocks
+    # each query block is sent to every slot of file blocks: the stated query set against all rows, in blocks;
+    # a slot is about a task, so copies of queries follow the tasks and not the vectors
     sent = queries.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
     met = file.withColumn("slot", F.pmod(F.xxhash64("block"), F.lit(slots)).cast("int")).join(sent, ["slot", "dim"])
     found = met.select("dim", "uids", "open", "low", "step", "cells", "q_uids", "q_exact").mapInArrow(_meet(k), BOUNDS_DDL)

@@ -9,6 +9,7 @@ import zlib
 from itertools import product
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 
@@ -126,6 +127,32 @@ def test_topk_large_components(spark):
         exact_topk.products([blob(1 << 32, 0)], [blob(1 << 32, 1)])
 
 
+@pytest.mark.parametrize("blocks,held", [(512, 4_000_000), (1, 4_000_000), (512, 60)])
+def test_survivors_of_a_task(monkeypatch, blocks, held):
+    """No true result is let go over many blocks, nor when a task has to tell what it holds before its end."""
+    for name, value in (("BLOCK", 50), ("QUERY_BLOCK", 2), ("QUERY_BLOCKS", blocks), ("HELD", held)):
+        monkeypatch.setattr(exact_topk, name, value)
+    rnd, k = np.random.default_rng(3), 10
+    vectors = np.floor(1024 * rnd.normal(size=(400, 8))).astype(np.int64)
+    vectors[40:80] = vectors[40]
+    table = pa.RecordBatch.from_arrays([pa.array(np.arange(400)), pa.array(np.arange(400)), pa.array(np.full(400, 8, np.int32)), pa.array([v.tobytes() for v in vectors], pa.binary())], names=["uid", "vec_id", "dim", "exact"])
+    queries = [q for b in exact_topk._query_rows(iter([table.select(["uid", "dim", "exact"]).slice(0, 7)])) for q in b.to_pylist()]
+    file = [f for b in exact_topk._file_rows(k)(iter([table])) for f in b.to_pylist()]
+    assert len(queries) == 4 and len(file) == 8
+    names = ["dim", "uids", "open", "low", "step", "cells", "q_uids", "q_exact"]
+    met = pa.RecordBatch.from_pylist([{c: (f | q)[c] for c in names} for f in file for q in queries])
+    found = pd.concat(b.to_pandas() for b in exact_topk._meet(k)(iter([met])))
+    assert not found.duplicated(["query_uid", "uid"]).any()
+    for q in range(7):
+        scores = vectors @ vectors[q]
+        best = sorted((i for i in range(400) if i != q), key=lambda i: (-scores[i], i))[:k]
+        own = found[found["query_uid"] == q]
+        assert set(best) <= set(own["uid"]) and q not in set(own["uid"])
+        assert ((own["lower"] <= scores[own["uid"]]) & (scores[own["uid"]] <= own["upper"])).all()
+    if (blocks, held) == (512, 4_000_000):
+        assert len(found) < 7 * 4 * k  # not k of every block
+
+
 def test_topk_of_copies(spark, monkeypatch):
     monkeypatch.setattr(exact_topk, "BLOCK", 30)
     rows = [(i, [1.0, 2.0] if i % 3 else [float(i % 5), 1.0]) for i in range(150)] + [(300, [1.0, 2.0]), (0, [1.0, 2.0])]
