@@ -1,24 +1,43 @@
-"""Gapless ranks and evenly spread rows, without sorting a whole table in one task."""
+"""Gapless ranks and evenly spread rows, without sorting a table, a stratum or a run of equal values in one task."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandline.sources import files
+
 
-def global_rank(df: DataFrame, by: str, order: list[str], name: str = "rank", bins: int = 64) -> DataFrame:
-    """Rows with their place from 0 in (by, *order). ``by`` is a number.
+def placed(df: DataFrame, strata: list[str], order: list[str], parts: int | None = None) -> DataFrame:
+    """Rows with rank_at, their place from 0 within their stratum in ``order``, and rank_length, the rows of the stratum.
 
-    Quantiles of ``by`` cut the table into bins; ranks are taken within bins and
-    shifted by the counts of the bins before. Equal values of ``by`` share a bin.
+    The table is cut into ``parts`` ranges of (strata, order), as many as there are
+    shuffle partitions unless given, and written with the number of the range. Ranks
+    are taken within (stratum, range) and shifted by the counts of the stratum's
+    ranges before: a row for each stratum and for each cut within one. Rows that agree in
+    everything are told apart by a number of their own, so they may lie in many ranges.
+    Null strata are a stratum, nulls come first in the order, and rows that tie are in
+    any order among themselves. An empty table gives an empty result.
     """
-    cuts = sorted(set(df.approxQuantile(by, [i / bins for i in range(1, bins)], 0.005))) if bins > 1 else []
-    binned = df.withColumn("rank_bin", F.coalesce(F.size(F.filter(F.array(*map(F.lit, cuts)).cast("array<double>"), lambda c: c <= F.col(by).cast("double"))), F.lit(0)))
-    counts = binned.groupBy("rank_bin").agg(F.count("*").alias("rank_n"))  # at most `bins` rows
-    before = Window.orderBy("rank_bin").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = counts.select("rank_bin", F.coalesce(F.sum("rank_n").over(before), F.lit(0)).alias("rank_shift"))
-    inside = Window.partitionBy("rank_bin").orderBy(by, *order)
-    return binned.withColumn("rank_in", F.row_number().over(inside) - 1).join(F.broadcast(shifts), "rank_bin").withColumn(name, (F.col("rank_in") + F.col("rank_shift")).cast("long")).drop("rank_bin", "rank_in", "rank_shift")
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tied = df.withColumn("rank_tie", F.monotonically_increasing_id())
+    held = files.written(tied.repartitionByRange(parts, *strata, *order, "rank_tie").withColumn("rank_part", F.spark_partition_id()), "ranges")
+    counts = held.groupBy(*strata, "rank_part").agg(F.count("*").alias("rank_n"))
+    along = Window.partitionBy(*strata)
+    before = along.orderBy("rank_part").rowsBetween(Window.unboundedPreceding, -1)
+    names = {c: f"rank_of_{c}" for c in (*strata, "rank_part")}
+    shifts = counts.select(*(F.col(c).alias(n) for c, n in names.items()), F.coalesce(F.sum("rank_n").over(before), F.lit(0)).alias("rank_shift"), F.sum("rank_n").over(along).alias("rank_length"))
+    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()])
+    inside = F.row_number().over(Window.partitionBy(*strata, "rank_part").orderBy(*order, "rank_tie")) - 1
+    found = held.withColumn("rank_in", inside).join(shifts, same)
+    return found.select(*df.columns, (F.col("rank_in") + F.col("rank_shift")).cast("long").alias("rank_at"), F.col("rank_length").cast("long").alias("rank_length"))
+
+
+def global_rank(df: DataFrame, by: str, order: list[str], name: str = "rank", bins: int | None = None) -> DataFrame:
+    """Rows with their place from 0 in (by, *order); ``bins`` ranges are ranked apart."""
+    return placed(df, [], [by, *order], bins).drop("rank_length").withColumnRenamed("rank_at", name)
 
 
 def spread_indexes(length: Column, count: int) -> Column:
@@ -27,7 +46,7 @@ def spread_indexes(length: Column, count: int) -> Column:
     i * (length - 1) / (count - 1) is rounded half to even.
     """
     if count < 1:
-        raise ValueError("count must be at least 1")
+        raise ValueError(f"{count} rows can't be spread")
     if count == 1:
         some = F.array(F.floor((length - 1) / 2).cast("long"))
     else:
@@ -39,7 +58,7 @@ def spread_indexes(length: Column, count: int) -> Column:
 def spread_kept(index: Column, length: Column, count: int) -> Column:
     """Whether the row at ``index`` of ``length`` is one of ``count`` evenly spread ones, without an array per row."""
     if count < 1:
-        raise ValueError("count must be at least 1")
+        raise ValueError(f"{count} rows can't be spread")
     if count == 1:
         return F.when(length <= 1, F.lit(True)).otherwise(index == F.floor((length - 1) / 2))
     step = (length - 1) / F.lit(count - 1)
@@ -48,14 +67,13 @@ def spread_kept(index: Column, length: Column, count: int) -> Column:
     return (length <= count) | hit(near) | hit(near + 1) | hit(near - 1)
 
 
-def stratified(df: DataFrame, strata: list[str], order: list[str], count: int) -> DataFrame:
+def stratified(df: DataFrame, strata: list[str], order: list[str], count: int, parts: int | None = None) -> DataFrame:
     """``count`` rows of every stratum, evenly spread over its order. Adds index and length."""
-    window = Window.partitionBy(*strata)
-    ranked = df.withColumn("index", (F.row_number().over(window.orderBy(*order)) - 1).cast("long")).withColumn("length", F.count("*").over(window).cast("long"))
+    ranked = placed(df, strata, order, parts).withColumnsRenamed({"rank_at": "index", "rank_length": "length"})
     return ranked.where(spread_kept(F.col("index"), F.col("length"), count))
 
 
 def evenly(df: DataFrame, by: str, order: list[str], count: int) -> DataFrame:
     """``count`` rows evenly spread over the whole order of a table. Adds rank."""
-    length = df.count()
-    return global_rank(df, by, order).where(spread_kept(F.col("rank"), F.lit(length), count))
+    ranked = placed(df, [], [by, *order])
+    return ranked.where(spread_kept(F.col("rank_at"), F.col("rank_length"), count)).drop("rank_length").withColumnRenamed("rank_at", "rank")

@@ -182,6 +182,23 @@ def test_even_spread(spark, count):
         ranking.spread_kept(F.lit(1), F.lit(1), 0)
 
 
+def test_ranks_of_a_hot_stratum_over_ranges(spark):
+    rnd = random.Random(4)
+    rows = [("hot" if i % 3 else rnd.choice(["a", "b", None]), rnd.choice([1.5, 2.5, None]) if i % 2 else 7.0, i // 2) for i in range(400)] + [("hot", 7.0, 0)] * 60
+    table = spark.createDataFrame(rows, "s string, v double, k long").repartition(3)
+    ranked = ranking.placed(table, ["s"], ["v", "k"], 7).collect()
+    null_first = lambda r: (r[1] is not None, r[1] or 0, r[2])
+    for s in ("hot", "a", "b", None):
+        own = sorted((r for r in ranked if r["s"] == s), key=lambda r: r["rank_at"])
+        wanted = sorted((r for r in rows if r[0] == s), key=null_first)
+        assert [r["rank_at"] for r in own] == list(range(len(wanted))) and {r["rank_length"] for r in own} == {len(wanted)}
+        assert [(r["s"], r["v"], r["k"]) for r in own] == wanted
+    kept = ranking.stratified(table, ["s"], ["v", "k"], 5).groupBy("s").count().collect()
+    assert {r["s"]: r["count"] for r in kept} == dict.fromkeys(("hot", "a", "b", None), 5)
+    assert {r["rank"] for r in ranking.evenly(table, "v", ["k"], 4).collect()} == {0, 153, 306, 459}
+    assert ranking.stratified(table.limit(0), ["s"], ["v"], 5).count() == 0 and ranking.global_rank(table.limit(0), "v", ["k"]).count() == 0
+
+
 def greedy_loop(selected, records, quota, window):
     """The plain double loop: transcripts, anchors, records in order."""
     seen, counts = [], {}
