@@ -3,6 +3,15 @@
 Every stage takes what the one before kept, is written as Parquet to the shared
 folder and read again, so a lost executor costs at most the stage at hand. All
 stages but the last return the columns of ``documents``.
+
+Defined results: no rows give no rows in every stage. A null text counts as empty.
+The classifiers score an empty text like one without words or lines, so it stays or
+goes with all others of its kind; the dedup of equal texts keeps one empty text, that
+of near duplicates all of them, for they link with nothing. Of rows that tie, the one
+with the smallest doc_id stays, a null doc_id only where no other has one, and one row of
+those that agree in id and text. Texts of any length are read whole. Other columns are
+passed through, whatever their names; packing ignores them. Without labels of both
+classes the classifiers give every row the share of label 1 (0 without labels).
 """
 
 from __future__ import annotations
