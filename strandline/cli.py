@@ -110,7 +110,7 @@ def check(spark: SparkSession, a: argparse.Namespace) -> int:
     local = compare.local_index(readers.vcf(spark, a.vcf, a.info_key))
     told = compare.outside_check(readers.manifest(spark, a.manifest).select("variant", "gene"), local, readers.responses(spark, a.responses), a.distance, a.mask)
     summary = compare.outside_summary(told)
-    writers.write_report(told, str(Path(a.output_dir) / "results.json"))
+    writers.write_results(told, ["variant", "gene"], str(Path(a.output_dir) / "results.json"))
     writers.write_report(summary, str(Path(a.output_dir) / "summary.json"))
     return int(not summary.head()["passed"])
 

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandline.functions import alleles
+from strandline.operators import ranking
 from strandline.sources import bgzf, files
 
 
@@ -97,6 +98,18 @@ def write_report(rows: DataFrame, path: str) -> str:
     return atomically(path, [json.dumps(found, indent=2, sort_keys=True).encode() + b"\n"])
 
 
+def write_results(rows: DataFrame, order: list[str], path: str) -> bgzf.Written:
+    """A JSON list of a table of any size, one row a line in ``order``; no row passes the driver.
+
+    Keys are sorted and null fields left out, as in ``write_report``. Without rows the list is empty.
+    """
+    told = rows.select(*order, F.to_json(F.struct(*sorted(rows.columns))).alias("line"))
+    ranked = ranking.placed(told, [], order)
+    body = ranked.select(F.lit(0).alias("closing"), "rank_at", F.concat(F.when(F.col("rank_at") == 0, " ").otherwise(","), F.col("line")).alias("line"))
+    end = rows.sparkSession.range(1).select(F.lit(1).alias("closing"), F.lit(0).cast("long").alias("rank_at"), F.lit("]").alias("line"))
+    return write_lines(body.unionByName(end), ["closing", "rank_at"], path, ["["])
+
+
 def write_shards(records: DataFrame, path: str, shard: str = "shard_id") -> None:
     """Records of any number as Parquet, a folder for each shard."""
     records.repartition(shard).sortWithinPartitions(shard, "contig", "pos", "ord").write.mode("overwrite").partitionBy(shard).parquet(path)

@@ -405,3 +405,17 @@ def test_all_batches_but_the_last_of_a_length_are_full(seed):
     assert all(set(sizes[:-1]) <= {16} and sizes[-1] <= 16 for sizes in by.values())
     held = list(scoring.length_batches(iter(frames), 1000, bound=100))  # very many bases that wait are let go
     assert sorted(k for f in held for k in f["key"]) == list(range(200)) and len(held) > 3
+
+
+def test_results_of_any_number_are_one_list(spark, tmp_path):
+    rows = [(f"v{i % 40}", "g" if i % 3 else None, i * 0.5, None) for i in range(200)] + [("v1", "g", 0.5, None)] * 2
+    table = spark.createDataFrame(rows, "variant string, gene string, largest double, line string").repartition(5)
+    path = tmp_path / "results.json"
+    writers.write_results(table, ["variant", "gene"], str(path))
+    found = json.loads(path.read_text())
+    key = lambda r: (r["variant"], r.get("gene") is not None)
+    assert len(found) == 202 and found == sorted(found, key=key)
+    assert sorted((r["variant"], r.get("gene") or "", r["largest"]) for r in found) == sorted((v, g or "", x) for v, g, x, _ in rows)
+    assert all(list(r) == sorted(r) for r in found)
+    writers.write_results(table.limit(0), ["variant", "gene"], str(tmp_path / "none.json"))
+    assert json.loads((tmp_path / "none.json").read_text()) == []
