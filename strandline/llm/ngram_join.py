@@ -24,8 +24,9 @@ the exact number of other rows that it links with.
     shares a prefix shingle if it links, and its sizes lie in one band or two
     that adjoin. Tiles whose classes are all of one component are dropped.
     In a tile the bit counts of hashed bitmaps bound a pair's overlap from
-    above; only pairs that pass are intersected exactly. In the first round
-    each pair of components gets its most promising pair alone; in the second,
+    above; only pairs that pass are intersected exactly. In the first rounds
+    each component gets its most promising pair alone, so their rows follow the
+    number of components and not that of their pairs; in the last,
     over what is still apart, every pair gets its test. Tiles of more than
     TILE classes are split into pairs of parts.
 6.  Links. No link leaves a component, so all classes of a component meet in
@@ -383,7 +384,7 @@ def mixed_only(rows: DataFrame) -> DataFrame:
     return rows.join(several, "token", "left_semi")
 
 
-#: From a tile: the pair (a, b) of the highest bound for two components, or a class with all those it may be linked with.
+#: From a tile: the pair (a, b) of the highest bound for a component, or a class with all those it may be linked with.
 PAIRS_DDL = "a long, b long, comp_a long, comp_b long, bound long"
 LISTS_DDL = "a long, others array<bigint>"
 
@@ -412,10 +413,15 @@ def once(pairs: np.ndarray, x: int, y: int) -> np.ndarray:
 
 
 def best_of(pairs: np.ndarray) -> np.ndarray:
-    """Of the pairs (a, b, comp_a, comp_b, bound) of each two components the one of the highest bound."""
-    return once(pairs[:, np.lexsort((pairs[1], pairs[0], -pairs[4], pairs[3], pairs[2]))], 2, 3)
+    """Of the pairs (a, b, comp_a, comp_b, bound) those that are the one of the highest bound for either component: at most one a component."""
+    comp, at = np.concatenate([pairs[2], pairs[3]]), np.tile(np.arange(pairs.shape[1]), 2)
+    order = np.lexsort((pairs[1, at], pairs[0, at], -pairs[4, at], comp))
+    first = np.unique(comp[order], return_index=True)[1]
+    return pairs[:, np.unique(at[order[first]])]
 
 
+#: Rounds of one pair a component go on as long as more than one in AGAIN pairs links; it changes what is left to the last round, never the links.
+AGAIN = 5
 #: Pairs that a task holds before it tells the best ones.
 HELD = 1_000_000
 
@@ -513,7 +519,8 @@ def candidates(kept: DataFrame, signatures: DataFrame, percent: int, single: boo
     """Pairs of classes of different components that tiles and bitmaps can't rule out.
 
     ``kept``: token, node, n, band, pos, comp of shingles in several components. With
-    ``single``, each pair of components has its pair of the highest bound alone.
+    ``single``, each component has its pair of the highest bound alone, so that a group
+    of many components gives no more pairs than it has components.
     """
     spread = kept.withColumn("own", F.explode(F.array(F.lit(True), F.lit(False)))).withColumn("tile_band", F.col("band") + F.when(F.col("own"), 0).otherwise(1))
     tile = ["token", "tile_band"]
@@ -530,7 +537,8 @@ def candidates(kept: DataFrame, signatures: DataFrame, percent: int, single: boo
     key = [*tile, "i", "j"]
     tiles = rows.repartition(*key).sortWithinPartitions(*key).mapInArrow(_tiles(percent, single), PAIRS_DDL if single else LISTS_DDL)
     if single:
-        return tiles.groupBy("comp_a", "comp_b").agg(F.max(F.struct("bound", "a", "b")).alias("best")).select("best.a", "best.b")
+        ends = tiles.select(F.explode(F.array("comp_a", "comp_b")).alias("comp"), F.struct("bound", "a", "b").alias("pair"))
+        return ends.groupBy("comp").agg(F.max("pair").alias("best")).select("best.a", "best.b").distinct()
     # tiles that share a pair tell it again and again: lists of a class are joined before pairs are spelt out
     return tiles.groupBy("a").agg(F.array_distinct(F.flatten(F.collect_list("others"))).alias("others")).select("a", F.explode("others").alias("b"))
 
@@ -665,15 +673,21 @@ def grouped(docs: DataFrame, width: int = 5, percent: int = 75, id_col: str = "d
     discard(posted)
     anchors = kept.groupBy("node").agg(F.min("token").alias("anchor"))  # by hash alone: near copies agree in it most likely
     comps = anchored(sets.join(anchors, "node"), percent)
-    for single in (True, False):
+    single = True
+    while True:
         labelled = kept.join(comps, "node", "left").select("token", "node", "n", "band", "pos", F.coalesce("root", "node").alias("comp"))
-        left = written(mixed_only(labelled), "kept")  # the second round needs no more than what the first one keeps
+        left = written(mixed_only(labelled), "kept")  # a round needs no more than what the one before it keeps
         discard(kept)
-        edges = verified(candidates(left, signatures, percent, single), sets, comps, percent)
-        kept = left
-        if not edges.isEmpty():
+        pairs = written(candidates(left, signatures, percent, single), "pairs")
+        edges = verified(pairs, sets, comps, percent)
+        kept, found = left, edges.count()
+        if found:
             comps = merged(comps, edges)
+        last, single = not single, AGAIN * found > pairs.count()
+        discard(pairs)
         release(spark)
+        if last:
+            break
     others = link_counts(sets, comps, classes, percent) if counted else None
     links_of = F.lit(None).cast("long") if others is None else F.coalesce("others", F.lit(0)) + F.col("rows") - 1
     rooted = classes.join(comps, "node", "left")

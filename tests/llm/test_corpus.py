@@ -380,6 +380,42 @@ def test_ngram_links(spark, monkeypatch, part, tokens):
     assert len({n for i, _, n in wanted if i is not None and i >= 4000}) > 5
 
 
+def test_ngram_rounds_follow_the_components(spark, monkeypatch):
+    """A group of near copies gives the first rounds a pair a component, not all pairs of them."""
+    rnd = random.Random(5)
+    base, near = [f"g{i}" for i in range(200)], []
+    for i in range(60):
+        w = list(base)
+        for k in rnd.sample(range(200), rnd.randint(1, 9)):
+            w[k] = f"x{i}-{k}"
+        near.append((i, " ".join(w)))
+    rounds, verified = [], ngram_join.verified
+
+    def seen(pairs, *rest):
+        rounds.append(pairs.count())
+        return verified(pairs, *rest)
+
+    # anchors find nothing here, so that tiles meet 60 components
+    monkeypatch.setattr(ngram_join, "anchored", lambda sets, percent: sets.select("node", sets["node"].alias("root")).limit(0))
+    monkeypatch.setattr(ngram_join, "verified", seen)
+    found = ngram_join.near_duplicates(docs_of(spark, near).repartition(3)).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == sorted(components(near))
+    assert 30 <= rounds[0] <= 60 and len(rounds) > 1
+
+
+def test_best_pairs_stay_best_when_combined():
+    rnd = np.random.default_rng(2)
+    comp = np.sort(np.array([rnd.choice(40, 2, replace=False) for _ in range(700)]), 1).T
+    pairs = np.stack([comp[0] + 100, comp[1] + 100, comp[0], comp[1], rnd.integers(0, 9, 700)])
+    best = ngram_join.best_of(pairs)
+    assert best.shape[1] <= 40 and set(best[2:4].ravel()) == set(pairs[2:4].ravel())
+    for c in range(40):
+        of = lambda p: p[4, (p[2] == c) | (p[3] == c)].max()
+        assert of(best) == of(pairs)
+    halves = np.concatenate([ngram_join.best_of(pairs[:, :300]), ngram_join.best_of(pairs[:, 300:])], axis=1)
+    assert sorted(map(tuple, ngram_join.best_of(halves).T)) == sorted({tuple(p) for p in best.T})
+
+
 def test_ngram_empty(spark):
     assert ngram_join.near_duplicates(docs_of(spark, []).limit(0)).count() == 0
     rows = ngram_join.near_duplicates(docs_of(spark, [(1, None), (2, ""), (3, "lonely")])).collect()
