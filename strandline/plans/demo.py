@@ -34,14 +34,14 @@ def scored(sequences: DataFrame, distance: int = 10, block_size: int = 1 << 16)
     one transcript covers it.
     """
     flank = scoring.CONTEXT
-    own = sequences.select("doc_id", "sequence").repartition("doc_id")  # rows grow by two flanks, so they are spread before
     n = F.length("sequence") + 2 * flank
     pos = (F.floor(n / 2) + 1).cast("long")
     ref = F.when(F.col("sequence") == "", "A").otherwise(F.upper(F.substring("sequence", (pos - flank).cast("int"), F.lit(1))))
+    # read three times, so made once; flanks are put on where blocks are made
+    whole = files.written(sequences.select(F.col("doc_id").cast("string").alias("contig"), F.col("doc_id").alias("line_no"), "sequence", n.alias("n"), pos.alias("pos"), ref.alias("ref")), "demo-contigs", "zstd")
     padded = F.concat(F.repeat(F.lit("A"), flank), "sequence", F.repeat(F.lit("A"), flank))
-    # read three times, so made once
-    whole = files.written(own.select(F.col("doc_id").cast("string").alias("contig"), F.col("doc_id").alias("line_no"), padded.alias("bases"), n.alias("n"), pos.alias("pos"), ref.alias("ref")), "demo-contigs")
-    blocks = whole.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / block_size)))).select("contig", "block", F.expr(f"substring(bases, cast(block * {block_size} + 1 as int), {block_size})").alias("sequence"))
+    piece = F.when(F.col("n") <= block_size, F.col("bases")).otherwise(F.expr(f"substring(bases, cast(block * {block_size} + 1 as int), {block_size})"))
+    blocks = whole.select("contig", "n", padded.alias("bases")).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / block_size)))).select("contig", "block", piece.alias("sequence"))
     records = whole.select("line_no", "contig", "pos", "ref", F.array(F.when(F.col("ref") == "A", "C").otherwise("A"), F.concat("ref", F.lit("GT")), F.lit("<DEL>")).alias("alts"))
     start, stop = F.lit(flank).cast("long"), (F.col("n") - flank).cast("long")
     transcripts = whole.select(F.col("line_no").alias("transcript"), F.concat(F.lit("G"), "contig").alias("gene"), "contig", F.when(F.col("line_no") % 2 == 0, "+").otherwise("-").alias("strand"), start.alias("start"), stop.alias("stop"), F.array(start).alias("exon_starts"), F.array(stop).alias("exon_stops")).where("stop > start")

@@ -135,10 +135,10 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read again: its lineage ends here."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

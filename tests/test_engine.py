@@ -15,7 +15,7 @@ from strandline import cli
 from strandline.functions import alleles, scores
 from strandline.operators import compare, intervals, ranking, sampling, scoring, transcripts, universe
 from strandline.plans import shards
-from strandline.sources import readers, writers
+from strandline.sources import files, readers, writers
 from strandline.streaming import files as stream_files
 
 
@@ -371,6 +371,47 @@ def test_score_command(spark, tmp_path):
     assert json.loads((tmp_path / "c.json").read_text())[0]["passed"] is True
 
 
+def test_a_place_goes_to_the_models_once(spark, monkeypatch):
+    distance, context, size = 2, 20, 16
+    half, cov = 12, 5
+    rnd = random.Random(5)
+    bases = "".join(rnd.choice("ACGTacgtn") for _ in range(39)) + "acgta" + "".join(rnd.choice("ACGTacgt") for _ in range(56))
+    blocks = spark.createDataFrame([("1", k, bases[size * k : size * k + size]) for k in range(7)], "contig string, block long, sequence string")
+    table = [(1, "G1", "1", "+", 5, 90, [5], [90]), (2, "G2", "1", "-", 30, 48, [30], [48])]
+    tx = spark.createDataFrame(table, "transcript long, gene string, contig string, strand string, start long, stop long, exon_starts array<long>, exon_stops array<long>")
+    at = lambda p, n=1: bases[p - 1 : p - 1 + n].upper()
+    rows = [(40, "A", ["C", "<DEL>"]), (40, "A", ["C"]), (40, "A", ["AGT", "G"]), (40, "ACG", ["A"]), (40, "AC", ["TT"]), (40, "G", ["A"]), (40, "ACGTA", ["A"]), (20, at(20), ["AT" if at(20) == "A" else "A"]), (10, at(10), ["T"]), (89, at(89), ["T"]), (95, at(95), ["T"]), (40, "A", [])]
+    records = spark.createDataFrame([(i, "1", *r) for i, r in enumerate(rows)], "line_no long, contig string, pos long, ref string, alts array<string>")
+    asked, real = [], scoring.predicted
+    monkeypatch.setattr(scoring, "predicted", lambda inputs, *more: asked.append(inputs.count()) or real(inputs, *more))
+    load = lambda: [scoring.StubScorer(w, 3, context) for w in (0.6, 1.0)]
+    batches, write = {}, files.written
+    monkeypatch.setattr(files, "written", lambda df, name, *more: batches.update({name: spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None)}) or write(df, name, *more))
+    got = {r["line_no"]: r for r in scoring.annotate(records, tx, blocks, load, distance, False, 3, size, context).collect()}
+    assert batches == {"scoring-tasks": None, "scoring-predictions": str(8 << 20)} and spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None
+    assert asked == [4]  # places that a transcript covers, whatever is asked for there
+    reasons = {5: alleles.OTHER_REFERENCE, 6: alleles.LONG_REFERENCE, 8: alleles.UNREADABLE, 9: alleles.NEAR_END, 10: alleles.NO_TRANSCRIPT, 11: alleles.NO_ALTERNATIVE}
+    assert {i: r["skip_reason"] for i, r in got.items()} == {i: reasons.get(i) for i in range(len(rows))}
+    for i, (p, ref, alts) in enumerate(rows):
+        wanted = []
+        for alt in (a for a in alts if i not in reasons and a[0] != "<"):
+            for _, gene, _, strand, a, b, *_ in table:
+                if not a < p <= b:
+                    continue
+                if len(ref) > 1 and len(alt) > 1:
+                    wanted.append("|".join([alt, gene, *"........"]))
+                    continue
+                x = "".join(c if a <= k < b else "N" for k, c in enumerate(bases))[p - 1 - half : p + half]
+                y = x[:half] + alt + x[half + len(ref) :]
+                if strand == "-":
+                    x, y = (s[::-1].translate(str.maketrans("ACGTacgt", "TGCAtgca")) for s in (x, y))
+                r, q = (scoring.ensemble(load(), scoring.one_hot([s]), 1)[0][:, 1:] for s in (x, y))
+                r, q = (r[::-1], q[::-1]) if strand == "-" else (r, q)
+                assert len(r) == cov
+                wanted.append("|".join([alt, gene, *numpy_entry(r, q, len(ref), len(alt), 0, False).split("|")[2:]]))
+        assert got[i]["annotation"] == (",".join(wanted) or None), i
+
+
 def test_demo_scores_over_the_whole_context(spark, monkeypatch):
     from strandline.plans import demo
 

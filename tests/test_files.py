@@ -8,6 +8,7 @@ import threading
 import time
 from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -407,6 +408,46 @@ def test_all_batches_but_the_last_of_a_length_are_full(seed):
     assert sorted(k for f in held for k in f["key"]) == list(range(200)) and len(held) > 3
 
 
+def test_only_rows_that_wait_are_held():
+    import gc
+    import weakref
+
+    import pandas as pd
+
+    class Text(str):  # can be referred to weakly
+        pass
+
+    held = []
+
+    def frames():
+        for n in (101, 2, 2, 101, 2, 2):
+            texts = [Text("ACGTA"[: 3 + 2 * (i % 2)]) for i in range(n)]
+            marks = [weakref.ref(t) for t in texts]
+            frame = pd.DataFrame({"key": range(n), "sequence": texts}, dtype=object)
+            del texts
+            yield frame
+            del frame
+            held.append(marks)
+            gc.collect()
+            # of frames before the last, the batch that was told last and what waits for one of either length
+            assert sum(m() is not None for marks in held[:-1] for m in marks) <= 16 + 2 * 15
+
+    assert sum(len(f) for f in scoring.length_batches(frames(), 16)) == 210 and len(held) == 6
+
+
+def test_inputs_are_spelt_out_a_few_at_a_time():
+    import pyarrow as pa
+
+    item = {"transcript": 1, "strand": "-", "start": 0, "stop": 100, "ref": "A"}
+    places = [{"contig": "1", "pos": 50 + i, "verdicts": [{"ref": "A", "skip_reason": None if i % 2 else "another"}], "items": [item | {"alt": a} for a in ("C", "AG")], "window": "ACGTA" * 5} for i in range(40)]
+    frames = list(scoring.asked_of(pa.RecordBatch.from_pylist(places), 12, 200))
+    assert sum(len(f) for f in frames) == 20 * 3 and all(f["sequence"].str.len().sum() < 200 + 26 for f in frames)
+    first = frames[0].iloc[:3]
+    assert first["sequence"].tolist() == ["ACGTA" * 5, "ACGTA" * 2 + "ACCTA" + "ACGTA" * 2, "ACGTA" * 2 + "ACAGTA" + "ACGTA" * 2] and first["alt"].tolist() == [None, "C", "AG"]
+    turned = scoring.one_hot(["ACGTN", "AACCn"], np.array([True, False]))
+    assert (turned == scoring.one_hot(["NACGT", "AACCN"])).all()
+
+
 def test_results_of_any_number_are_one_list(spark, tmp_path):
     rows = [(f"v{i % 40}", "g" if i % 3 else None, i * 0.5, None) for i in range(200)] + [("v1", "g", 0.5, None)] * 2
     table = spark.createDataFrame(rows, "variant string, gene string, largest double, line string").repartition(5)
